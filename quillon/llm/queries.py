@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op7_decontaminate, op9_pieces
+from . import op1_toxicity, op3_pii, op7_decontaminate, op9_pieces
 from .common import table
 
 
@@ -17,6 +17,14 @@ def tokenizer() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_pii.found(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op7_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("spans", "items")
