@@ -26,7 +26,7 @@ GRAMS = (3, 4, 5, 6)
 LEAST_SHARE = 0.005  # of the sample's texts must hold a subword, two at least, for it to have a vector
 WIDTH = 8
 RATE = 1.0
-EPOCHS = 6
+EXAMPLES = 64_000  # that training sees: the sample in several rounds, more of them if it is small
 SCALE = np.float32(40)  # of averages before the softmax
 MARKS = b".,;:!?\"'()[]{}|#*$%&<>-"
 LONGEST = 48  # bytes of a word that subwords are taken from; longer words are cut into pieces of this size
@@ -71,7 +71,7 @@ class Subwords(dict):
 class Model:
     """Vectors of subwords and a two-column softmax over their average, trained by mini-batches."""
 
-    def __init__(self, texts: list[str], labels: list[int], width: int = WIDTH, epochs: int = EPOCHS, seed: int = 1):
+    def __init__(self, texts: list[str], labels: list[int], width: int = WIDTH, examples: int | None = None, seed: int = 1):
         least = max(2, round(LEAST_SHARE * len(texts)))
         grams_of = Subwords()
         # a first count by hash leaves few enough subwords for an exact one
@@ -102,7 +102,7 @@ class Model:
         self.vectors = rng.normal(0, 0.05, (len(self.place), width)).astype(np.float32)
         self.softmax = rng.normal(0, 0.5, (width, 2)).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
-        self._fit(bags, np.array(labels, np.int64), epochs, rng)
+        self._fit(bags, np.array(labels, np.int64), max(1, (examples or EXAMPLES) // max(len(texts), 1)), rng)
 
     def _fit(self, bags: list, labels: np.ndarray, epochs: int, rng, rate: float | None = None, batch: int = 32) -> None:
         share = float(labels.mean()) if len(labels) else 0.0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op3_pii, op7_decontaminate, op9_pieces
+from . import op1_toxicity, op3_pii, op6_quality, op7_decontaminate, op9_pieces, op10_minhash
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_pii.found(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op7_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.drop("spans", "items")
@@ -34,6 +38,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_pieces.encoded(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_minhash.duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and k[2:3].isdigit() and callable(f)}
 
