@@ -1,23 +1,46 @@
-"""The corpus pipeline: each stage works on what the one before it kept."""
+"""The corpus pipeline: each stage works on all that the one before it kept, and its decisions take effect."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillon.llm import op7_decontaminate, op9_pieces
+from quillon.llm import op1_toxicity, op4_lines, op7_decontaminate, op9_pieces, op10_minhash
 from quillon.llm.common import stored, table
 from quillon.llm.queries import tokenizer
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be toxic go."""
+    return op1_toxicity.kept(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeats of runs of lines with 50 words or more are cut out; documents that are nothing else go."""
+    return op4_lines.removed(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five words, 0.8) stays: that with the smallest id."""
+    return op10_minhash.kept(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go; single benchmark passages are cut out of the others."""
     return op7_decontaminate.removed(docs, table(spark, sf_dir, "benchmark"))
 
 
-def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of what is left."""
     return op9_pieces.encoded(docs, tokenizer(), with_ids=True)
 
 
-STAGES = [("benchmark decontamination", decontaminated), ("sentencepiece", encoded)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("minhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("sentencepiece", pieces),
+]
 #: No stage's method can be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 

@@ -10,13 +10,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import LOWER, UPPER, mapped, pick
+from .common import mapped, pick
 
 #: ASCII letters lowered; other ASCII characters but digits become blanks; all bytes of longer characters stay.
 NORMAL = bytes(
@@ -132,7 +135,7 @@ class Automaton:
         items: set[int] = set()
         if not self.least or len(ws) < self.least:
             return spans, items
-        code = np.fromiter(map(self.ids.get, ws, ZEROS(len(ws))), np.int64, len(ws))
+        code = np.fromiter(map(self.ids.get, ws, repeat(0, len(ws))), np.int64, len(ws))
         for lo, hi in self._runs(code):
             state = size = 0
             for at, c in enumerate(code[lo:hi].tolist(), lo + 1):
@@ -170,12 +173,6 @@ class Automaton:
         return list(zip(lo[long].tolist(), hi[long].tolist(), strict=True))
 
 
-def ZEROS(n: int):
-    from itertools import repeat
-
-    return repeat(0, n)
-
-
 def blocks_of(items: DataFrame, block_words: int) -> list[list[tuple[int, list[bytes]]]]:
     """Items in blocks of at most block_words words (one item at least). Test items are a stated query set; equal
     items, null ids and null texts may occur, and neither an empty item nor one without an id is a query."""
@@ -267,16 +264,12 @@ def removed(
     Cut spans run from the first to the last character of the hit words. Rows without a hit keep their text as it is,
     a null text stays null. All columns stay.
     """
-    from pyspark.sql.pandas.functions import pandas_udf
-
     setup = matcher(docs, items, window, block_words, item_id, item_text)
     per = round(1 / share)
     state: list = []
 
     @pandas_udf(T.StructType([T.StructField("drop", T.BooleanType()), T.StructField("text", T.StringType())]))
-    def cut(texts: "pd.Series") -> "pd.DataFrame":  # noqa: F821
-        import pandas as pd
-
+    def cut(texts: pd.Series) -> pd.DataFrame:
         if not state:
             state.append(setup())
         rows = []
@@ -291,10 +284,9 @@ def removed(
                 rows.append((False, without(text, spans)))
         return pd.DataFrame(rows, columns=["drop", "text"])
 
-    plain = F.translate(F.col(text_col), UPPER, LOWER)  # evaluated by the JVM only to keep null texts null
     made = docs.withColumn("__cut", cut(F.col(text_col)))
     return made.where(~F.col("__cut.drop")).withColumn(
-        text_col, F.when(plain.isNull(), F.lit(None)).otherwise(F.col("__cut.text"))
+        text_col, F.when(F.col(text_col).isNull(), F.lit(None)).otherwise(F.col("__cut.text"))
     ).select(*docs.columns)
 
 

@@ -78,3 +78,24 @@ def repeated_bytes(docs: list[tuple[int, str | None]], k: int = 50) -> dict[int,
         spans = sum(1 for p in range(len(b)) if gone[p] and (p == 0 or not gone[p - 1]))
         out[i] = len(b), sum(gone), spans, hashlib.sha256(rest).hexdigest()
     return out
+
+
+def repeated_lines(docs: list[tuple[int, str | None]], least: int = 50) -> dict[int, list[int]]:
+    """id -> indices of deleted lines: those in any run of `least` words or more that occurs earlier."""
+    lines = {i: [" ".join(words(x, lower=False)) for x in (t or "").split("\n") if WORD.search(x)] for i, t in docs}
+    first: dict[tuple[str, ...], tuple[int, int]] = {}
+    runs = []
+    for i, own in lines.items():
+        for a in range(len(own)):
+            n = 0
+            for b in range(a + 1, len(own) + 1):
+                n += len(own[b - 1].split())
+                if n >= least:
+                    run = tuple(own[a:b])
+                    runs.append((i, a, b, run))
+                    first[run] = min(first.get(run, (i, a)), (i, a))
+    out: dict[int, set[int]] = {i: set() for i in lines}
+    for i, a, b, run in runs:
+        if first[run] < (i, a):
+            out[i].update(range(a, b))
+    return {i: sorted(x) for i, x in out.items()}
