@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op3_pii, op4_lines, op6_quality, op7_decontaminate, op9_pieces, op10_minhash
+from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op6_quality, op7_decontaminate, op9_pieces, op10_minhash
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_pii.found(table(spark, sf_dir, "documents"))
 
