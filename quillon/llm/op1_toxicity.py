@@ -23,7 +23,8 @@ from .common import lowered, mapped, pick
 TRAIN_DOCS = 8000
 TRAIN_CHARS = 200_000
 GRAMS = (3, 4, 5, 6)
-LEAST_SHARE = 0.005  # of the sample's texts must hold a subword, two at least, for it to have a vector
+#: A subword has a vector if its words' counts of texts add up to this share of the sample, two at least.
+LEAST_SHARE = 0.006
 WIDTH = 8
 RATE = 1.0
 EXAMPLES = 64_000  # that training sees: the sample in several rounds, more of them if it is small
@@ -58,46 +59,38 @@ def words(text: str | None) -> set[bytes]:
     return out
 
 
-class Subwords(dict):
-    """word -> its subwords, remembered for a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> set[str]:
-        got = subwords(word)
-        if len(self) < 40_000:
-            self[word] = got
-        return got
-
-
 class Model:
     """Vectors of subwords and a two-column softmax over their average, trained by mini-batches."""
 
     def __init__(self, texts: list[str], labels: list[int], width: int = WIDTH, examples: int | None = None, seed: int = 1):
         least = max(2, round(LEAST_SHARE * len(texts)))
-        grams_of = Subwords()
+        number: dict[bytes, int] = {}
+        docs = [np.array([number.setdefault(w, len(number)) for w in sorted(words(t))], np.int64) for t in texts]
+        often = np.zeros(len(number), np.int64)  # documents of each word
+        for d in docs:
+            often[d] += 1
         # a first count by hash leaves few enough subwords for an exact one
-        rough = np.zeros(1 << 22, np.int32)
-        for t in texts:
-            grams = {crc32(g.encode("utf-8", "replace")) & 0x3FFFFF for w in words(t) for g in grams_of[w]}
-            rough[np.fromiter(grams, np.int64, len(grams))] += 1
-        often = rough >= least
+        rough = np.zeros(1 << 22, np.int64)
+        slots = [np.array([crc32(g.encode("utf-8", "replace")) & 0x3FFFFF for g in subwords(w)], np.int32) for w in number]
+        for k, own in enumerate(slots):
+            rough[own] += often[k]
         count: dict[str, int] = {}
-        for t in texts:
-            for g in {g for w in words(t) for g in grams_of[w]}:
-                if often[crc32(g.encode("utf-8", "replace")) & 0x3FFFFF]:
-                    count[g] = count.get(g, 0) + 1
+        for k, (w, own) in enumerate(zip(number, slots, strict=True)):
+            if (rough[own] >= least).any():
+                n = int(often[k])
+                for g in subwords(w):
+                    if rough[crc32(g.encode("utf-8", "replace")) & 0x3FFFFF] >= least:
+                        count[g] = count.get(g, 0) + n
+        del slots
         self.place = {g: i for i, g in enumerate(sorted(g for g, n in count.items() if n >= least))}
+        known = [np.array([i for i in map(self.place.get, subwords(w)) if i is not None], np.int32) for w in number]
         bags = []
-        for t in texts:
-            total: dict[int, float] = {}
-            ws = sorted(words(t))
-            for w in ws:
-                known = [k for k in map(self.place.get, sorted(grams_of[w])) if k is not None]
-                for k in known:
-                    total[k] = total.get(k, 0.0) + 1 / len(known)
-            at = np.fromiter(total, np.int32, len(total))
-            order = np.argsort(at)
-            share = np.fromiter(total.values(), np.float32, len(total)) / max(len(ws), 1)
-            bags.append((at[order], share[order].astype(np.float32)))
+        for d in docs:
+            parts = [known[k] for k in d]
+            ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            at, where = np.unique(ids, return_inverse=True)
+            bags.append((at, np.bincount(where, np.repeat(1 / np.maximum(sizes, 1) / max(len(d), 1), sizes), len(at)).astype(np.float32)))
         rng = np.random.default_rng(seed)
         self.vectors = rng.normal(0, 0.05, (len(self.place), width)).astype(np.float32)
         self.softmax = rng.normal(0, 0.5, (width, 2)).astype(np.float32)
@@ -193,7 +186,7 @@ def scored(
     Null and empty texts have no words; the softmax's bias alone scores them, as it scores words without any known
     subword. Without usable labels every score is that of a share of 1 in 10,000. Labels with other values than 0 and 1
     are not used. Only the bounded sample is shuffled; the model that is shipped has a vector for each subword of the
-    sample that is in LEAST_SHARE of its texts.
+    sample that is frequent enough (LEAST_SHARE).
     """
     docs = pick(docs, id_col, text_col)
     held = docs.sparkSession.sparkContext.broadcast(trained(docs, labels, train_docs).numbers())

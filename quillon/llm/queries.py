@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op6_quality, op7_decontaminate, op9_pieces, op10_minhash
+from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op9_pieces, op10_minhash
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_lines.report(table(spark, sf_dir, "documents"))
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_katz.scored(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_quality.judged(table(spark, sf_dir, "documents"))
 
