@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op9_pieces, op10_minhash
+from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash
 from .common import table
 
 
@@ -46,6 +46,10 @@ def op7_decontaminate_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("spans", "items")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_suffixes.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_pieces.encoded(table(spark, sf_dir, "documents"), tokenizer())
 
