@@ -1 +1,57 @@
+"""Queries over graphs."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import contacts, graph
+from .inputs import SQL_E, edges, table
+from .registry import query
+
+
+@query("graph_edges", f"with {SQL_E} select i, j, v from e where i < j")
+def graph_edges(spark, sf):
+    return edges(spark, sf).where("i < j")
+
+
+@query("connected_components", """with recursive l as (select distinct c_nationkey * 10 + c_custkey % 3 i, c_custkey % 97 + 1000 j from customer where c_custkey % 5 = 0), b as (select i, j from l union select j, i from l),
+r(node, reach) as (select i, i from b union select r.node, b.j from r join b on b.i = r.reach) select node, min(reach) component from r group by 1""")
+def connected_components(spark, sf):
+    c = table(spark, sf, "customer").where("c_custkey % 5 = 0")
+    l = c.select((F.col("c_nationkey") * 10 + F.col("c_custkey") % 3).alias("i"), (F.col("c_custkey") % 97 + 1000).alias("j")).distinct()  # noqa: E741
+    return graph.components(l)
+
+
+def heavy(spark, sf):
+    from ..operators.matrix import above_percentile
+
+    return above_percentile(contacts.off_diagonal(edges(spark, sf)), 60)
+
+
+@query("modularity_clusters")
+def modularity_clusters(spark, sf):
+    return graph.clustered(heavy(spark, sf), 1.0)
+
+
+@query("modularity_quality")
+def modularity_quality(spark, sf):
+    e = heavy(spark, sf)
+    return graph.modularity(e, graph.clustered(e, 1.0))
+
+
+@query("modularity_pinned")
+def modularity_pinned(spark, sf):
+    pins = table(spark, sf, "supplier").where("s_suppkey <= 10").select(F.col("s_suppkey").alias("node"), (F.col("s_suppkey") % 2).alias("cluster"))
+    return graph.clustered(heavy(spark, sf), 1.0, pins)
+
+
+@query("resolution_sweep")
+def resolution_sweep(spark, sf):
+    """The first resolution with more large clusters than seed genes, else the last."""
+    e = heavy(spark, sf)
+    got = None
+    for gamma in (1.0, 20.0, 40.0):
+        got = graph.clustered(e, gamma).withColumn("gamma", F.lit(gamma))
+        if got.groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 2").count() > 8:
+            break
+    return got
