@@ -1 +1,79 @@
+"""Round trips through the sources and sinks: a table is written in a format to the shared folder and scanned again."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources import formats, tables
+from ..streaming import counts
+from .inputs import SQL_P, paired, table
+from .registry import query
+
+
+@query("fasta_roundtrip", r"select 'd' || doc_id contig, length(regexp_replace(replace(text, '>', ''), '\s', '', 'g')) length from documents where length(regexp_replace(replace(text, '>', ''), '\s', '', 'g')) >= 1000")
+def fasta_roundtrip(spark, sf):
+    path = tables.shared_dir(spark)
+    d = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("contig"), F.regexp_replace(F.translate("text", ">", ""), r"\s", "").alias("seq"))
+    formats.fasta_lines(d).select("value").write.text(path)
+    return formats.fasta(spark, path, 1000).select("contig", F.col("length"))
+
+
+@query("fasta_count", "select count(*) records from documents")
+def fasta_count(spark, sf):
+    path = tables.shared_dir(spark)
+    d = table(spark, sf, "documents").select(F.concat(F.lit(">d"), F.col("doc_id").cast("string"), F.lit("\n"), F.regexp_replace("text", r"[>\s]", "")).alias("value"))
+    d.write.text(path)
+    return formats.fasta_count(spark, path)
+
+
+@query("bin_folder_scan", r"select lang bin, count(*) contigs, cast(sum(length(regexp_replace(replace(text, '>', ''), '\s', '', 'g'))) as bigint) extent from documents where length(text) > 0 group by 1")
+def bin_folder_scan(spark, sf):
+    path = tables.shared_dir(spark)
+    d = table(spark, sf, "documents").where("length(text) > 0").select(F.col("lang").alias("bin"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("contig"), F.regexp_replace(F.translate("text", ">", ""), r"\s", "").alias("seq"))
+    formats.write_bins(d, path)
+    got = formats.fasta(spark, f"{path}/*")
+    return got.groupBy(F.regexp_extract("file", "bin=([^/]+)", 1).alias("bin")).agg(F.count("*").alias("contigs"), F.sum("length").alias("extent"))
+
+
+@query("sam_roundtrip", "select count(*) n, cast(sum(l_linenumber) as bigint) flags, cast(sum(l_partkey) as bigint) pos from lineitem where (l_linenumber & 4) = 0")
+def sam_roundtrip(spark, sf):
+    path = tables.shared_dir(spark)
+    li = table(spark, sf, "lineitem")
+    f = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")]
+    li.select(F.concat_ws("\t", *f, F.lit("60"), F.lit("50M"), F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*"), F.lit("NM:i:1")).alias("value")).write.text(path)
+    s = formats.sam(spark, path)
+    return s.where(F.col("flag").bitwiseAND(F.lit(4)) == 0).agg(F.count("*").alias("n"), F.sum("flag").alias("flags"), F.sum("pos").alias("pos"))
+
+
+@query("tsv_roundtrip", "select p_partkey contig, p_brand cluster from part")
+def tsv_roundtrip(spark, sf):
+    path = tables.shared_dir(spark)
+    formats.write_clusters(table(spark, sf, "part").select(F.col("p_partkey").alias("contig"), F.col("p_brand").alias("cluster")), path)
+    return spark.read.option("sep", "\t").schema("contig long, cluster string").csv(path)
+
+
+@query("metrics_report", "select 'orders: ' || count(*) as value from orders union all select 'mean: ' || format('{:.4f}', avg(o_totalprice)) from orders union all select 'none: N/A'")
+def metrics_report(spark, sf):
+    one = table(spark, sf, "orders").agg(F.count("*").alias("orders"), F.avg("o_totalprice").alias("mean"), F.lit(None).cast("double").alias("none"))
+    return formats.metrics_lines(one)
+
+
+@query("streaming_pair_counts", f"with {SQL_P} select least(a, b) i, greatest(a, b) j, count(*) v from p group by 1, 2")
+def streaming_pair_counts(spark, sf):
+    source, out = tables.shared_dir(spark), tables.shared_dir(spark)
+    p = paired(spark, sf).select("a", "b")
+    p.write.parquet(source)
+    stream = spark.readStream.schema(p.schema).parquet(source)
+    counts.run_once(counts.pair_counts(stream), out, tables.shared_dir(spark))
+    return spark.read.parquet(out)
+
+
+@query("streaming_windows", """select cast(epoch(time_bucket(interval '1 day', ts, timestamp '1970-01-01')) as bigint) "day", event_type, count(*) v from events group by 1, 2""")
+def streaming_windows(spark, sf):
+    source, out = tables.shared_dir(spark), tables.shared_dir(spark)
+    e = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    e.write.parquet(source)
+    stream = spark.readStream.schema(e.schema).parquet(source)
+    by = stream.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("v"))
+    counts.run_once(by, out, tables.shared_dir(spark))
+    return spark.read.parquet(out).select(F.unix_timestamp("w.start").alias("day"), "event_type", "v")
