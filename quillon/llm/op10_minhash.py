@@ -14,13 +14,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from .common import MULTIPLIER, Hashes, dropped, lowered, mixed, pa_schema, pick, pieces, released, stored
 
 BINS, ROWS = 128, 4  # 32 bands of 4: two sets of similarity 0.8 share no bucket with a probability of 5e-8
-CENTRES = 8  # further centres of a bucket in the second round; each later round has twice as many
+CENTRES = 32  # further centres of a bucket in the second round; each later round has twice as many
 SHINGLE, SIMILARITY = 5, 0.8
 
 
@@ -125,11 +125,12 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels.select(F.col("cls").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels.join(near, labels.cls == near.a).select("cls", F.col("label").alias("was"), F.least("label", "near").alias("l"))
         up = labels.select(F.col("cls").alias("l"), F.col("label").alias("further"))
-        new = stored(hooked.join(up, "l", "left").select("cls", "was", F.least("l", "further").alias("label")), "labels")
-        changed = new.where(F.col("was") != F.col("label")).limit(1).count()
+        moves = Observation()
+        new = hooked.join(up, "l", "left").select("cls", "was", F.least("l", "further").alias("label"))
+        new = stored(new.observe(moves, F.count_if(F.col("was") != F.col("label")).alias("n")).select("cls", "label"), "labels")
         dropped(labels)
-        labels = new.select("cls", "label")
-        if not changed:
+        labels = new
+        if not moves.get["n"]:
             return labels
 
 
@@ -160,35 +161,41 @@ def duplicates(
 
     rank = F.struct("central", (-F.col("cls")).alias("least"), "n")
     centre = members.groupBy("band", "key").agg(F.max(rank).alias("c")).select("band", "key", (-F.col("c.least")).alias("centre"), F.col("c.n").alias("m"))
-    edges, tested, labels, used, more = None, None, None, None, CENTRES
-    while True:
-        close = (100 * F.least("n", "m") >= round(100 * similarity) * F.greatest("n", "m")) & (F.col("cls") != F.col("centre"))
-        pairs = (
-            members.join(centre, ["band", "key"])
-            .where(close if labels is None else close & (F.col("own_label") != F.col("label")))
-            .select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b"))
-            .distinct()
-        )
+    close = (100 * F.least("n", "m") >= round(100 * similarity) * F.greatest("n", "m")) & (F.col("cls") != F.col("centre"))
+
+    def judged(members: DataFrame, centre: DataFrame, other: Column, tested: DataFrame | None) -> tuple[DataFrame, DataFrame, int]:
+        """New candidate pairs of centres and their bucket mates, the linked ones among them, and how many these are."""
+        pairs = members.join(centre, ["band", "key"]).where(close & other).select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct()
         pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = stored(linked(pairs, sets, similarity), "found")
-        tested = pairs if tested is None else tested.union(pairs)
-        edges = found if edges is None else edges.union(found)
+        links = Observation()
+        found = stored(linked(pairs, sets, similarity).observe(links, F.count("*").alias("n")), "found")
         released(spark)
-        labels = components(edges)
-        # buckets with several components: all classes outside the largest become centres, some in each round
-        named = members.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        return pairs, found, links.get["n"]
+
+    tested, edges, _ = judged(members, centre, F.lit(True), None)
+    labels, used, more = components(edges), None, CENTRES
+    while True:
+        # buckets with several components: all classes outside the largest become centres, so many in each round
+        named = members.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         by = named.groupBy("band", "key", "label").agg(F.count("*").alias("size"))
         main = by.groupBy("band", "key").agg(F.max(F.struct("size", "label")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-        named = stored(named.join(main.select("band", "key", F.col("m.label").alias("main")), ["band", "key"]), "named")
+        named = named.join(main.select("band", "key", F.col("m.label").alias("main")), ["band", "key"])
         outside = named.where("label != main").select("band", "key", F.col("cls").alias("centre"), F.col("n").alias("m"), F.col("label").alias("own_label"))
         if used is not None:
             outside = outside.join(used, ["band", "key", "centre"], "left_anti")
         turn = F.row_number().over(Window.partitionBy("band", "key").orderBy("centre"))
-        centre = stored(outside.withColumn("turn", turn).where(F.col("turn") <= more).drop("turn"), "centres")
-        if not centre.limit(1).count():
+        last = Observation()
+        outside = stored(outside.withColumn("turn", turn).observe(last, F.max("turn").alias("turn")), "outside")
+        turns, done, links = last.get["turn"] or 0, 0, 0
+        while done < turns and not links:
+            now = outside.where((F.col("turn") > done) & (F.col("turn") <= done + more)).drop("turn")
+            pairs, found, links = judged(named.select("band", "key", "cls", "n", "label"), now, F.col("own_label") != F.col("label"), tested)
+            used = now.select("band", "key", "centre") if used is None else used.union(now.select("band", "key", "centre"))
+            tested, edges = tested.union(pairs), edges.union(found)
+            done, more = done + more, 2 * more
+        if not links:
             break
-        used = centre.select("band", "key", "centre") if used is None else used.union(centre.select("band", "key", "centre"))
-        members, more = named.drop("main"), 2 * more
+        labels = components(edges)
     out = classes.select("k1", "k2", "cls").join(labels, "cls", "left").select("k1", "k2", F.coalesce("label", "cls").alias("component"))
     found = rows.drop("bands").join(out, ["k1", "k2"], "left")
     lone = F.col("doc_id").isNull() | (F.col("n") == 0)
