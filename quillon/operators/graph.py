@@ -192,3 +192,33 @@ def best_resolution(edges: DataFrame, gammas: Iterable[float], score) -> tuple[f
         if best is None or s > best[0]:
             best = s, g, got
     return best[1], best[2]
+
+
+def resplit(edges: DataFrame, members: DataFrame, stats: DataFrame, least: int, comp: float = 50.0, cont: float = 10.0, gamma: float = 1.0) -> DataFrame:
+    """bin, piece, contig: contaminated bins (completeness at least comp, contamination above cont) are cut into the
+    communities of their own contacts, pieces of at least `least` length stay; other bins pass as they are. A bin is
+    one group, with its own contacts only."""
+    bad = stats.where((F.col("completeness") >= comp) & (F.col("contamination") > cont)).select("bin")
+    good = members.join(bad, "bin", "left_anti").select("bin", F.lit("0").alias("piece"), "contig")
+    own = members.join(bad, "bin", "left_semi")
+    end = lambda c: own.select(F.col("contig").alias(c), F.col("bin").alias(f"bin_{c}"))
+    inner = edges.where("i <> j").join(end("i"), "i").join(end("j"), "j").where("bin_i = bin_j").select(F.col("bin_i").alias("bin"), "i", "j", F.col("v").cast("double").alias("v"))
+    kind = dict(members.dtypes)["contig"]
+
+    def run(key: tuple, nodes: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
+        weights = {(min(a, b), max(a, b)): w for a, b, w in zip(links["i"], links["j"], links["v"], strict=True)}
+        names = sorted(set(nodes["contig"]))
+        found = moved(names, weights, sum(weights.values()) or 1.0, gamma)
+        length = dict(zip(nodes["contig"], nodes["length"], strict=True))
+        size: dict = defaultdict(int)
+        for n in names:
+            size[found[n]] += length[n]
+        first: dict = {}
+        for n in names:
+            first.setdefault(found[n], str(n))
+        rows = [(key[0], first[found[n]], n) for n in names if size[found[n]] >= least]
+        return pd.DataFrame(rows, columns=["bin", "piece", "contig"])
+
+    bin_kind = dict(members.dtypes)["bin"]
+    cut = own.groupBy("bin").cogroup(inner.groupBy("bin")).applyInPandas(run, f"bin {bin_kind}, piece string, contig {kind}")
+    return good.union(cut)

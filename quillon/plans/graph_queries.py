@@ -55,3 +55,11 @@ def resolution_sweep(spark, sf):
         if got.groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 2").count() > 8:
             break
     return got
+
+
+@query("bin_resplit")
+def bin_resplit(spark, sf):
+    s = table(spark, sf, "supplier")
+    m = s.select((F.col("s_nationkey") % 4).alias("bin"), F.col("s_suppkey").alias("contig"), F.lit(1000).cast("long").alias("length"))
+    stats = spark.createDataFrame([(b, 60.0 + b, 5.0 + 4 * b) for b in range(4)], "bin int, completeness double, contamination double")
+    return graph.resplit(heavy(spark, sf), m, stats, 2000)

@@ -196,3 +196,12 @@ def test_library_does_not_import_the_text_operators():
             for n in ast.walk(ast.parse(p.read_text())):
                 names = [a.name for a in n.names] if isinstance(n, ast.Import) else [n.module or "", *[a.name for a in n.names]] if isinstance(n, ast.ImportFrom) else []
                 assert not any("llm" in x.split(".") for x in names), p
+
+
+def test_resplit(spark):
+    e = spark.createDataFrame([(a, b, 1.0) for g in (0, 10) for a in range(g, g + 4) for b in range(a + 1, g + 4)] + [(3, 10, 0.1), (20, 21, 1.0)], "i long, j long, v double")
+    rows = [("x", n, 100) for g in (0, 10) for n in range(g, g + 4)] + [("x", 30, 100), ("y", 20, 100), ("y", 21, 100)]
+    m = spark.createDataFrame(rows, "bin string, contig long, length long")
+    s = spark.createDataFrame([("x", 80.0, 20.0), ("y", 80.0, 2.0)], "bin string, completeness double, contamination double")
+    got = {r.contig: (r.bin, r.piece) for r in graph.resplit(e, m, s, 200).collect()}
+    assert got == {**{n: ("x", "0") for n in range(4)}, **{n: ("x", "10") for n in range(10, 14)}, 20: ("y", "0"), 21: ("y", "0")}
