@@ -28,7 +28,7 @@ LEAST = 50
 GRAM = 24
 BLOCK = 12_000_000  # bytes of a block, one document at least
 CHUNK = 1_000_000  # strings whose hashes are in memory at once
-SORT = 4_000_000  # bytes that a suffix array is built over, one minimiser's stretches at least
+SORT = 3_000_000  # bytes that a suffix array is built over, one minimiser's stretches at least
 MOST = 64  # strings of one stretch
 SPREAD = 1000  # a minimiser in more blocks than this is dealt by whole strings instead
 LAST = (1 << 63) - 1  # a null id: smaller than none
@@ -45,9 +45,10 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     # the sampled places; one more ends the first third's names if the length is 3k + 1
     one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
     sample = np.concatenate((one, two))
-    if 3 * wide <= 62:
-        key = (t[sample] << 2 * wide) | (t[sample + 1] << wide) | t[sample + 2]
-        order = np.argsort(key, kind="stable")
+    if 3 * wide <= 64:
+        u = t.astype(np.uint64)
+        key = (u[sample] << np.uint64(2 * wide)) | (u[sample + 1] << np.uint64(wide)) | u[sample + 2]
+        order = np.argsort(key)
         k = key[order]
         new = k[1:] != k[:-1]
     else:
@@ -67,21 +68,16 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     sampled = sampled[sampled < n]
     rest = np.arange(0, n, 3)
     size = int(rank.max()) + 1
-    rest = rest[np.argsort(t[rest] * size + rank[rest + 1], kind="stable")]
-    # merge: for each remaining suffix, the number of sampled ones before it, by bisection
-    low, high = np.zeros(len(rest), np.int64), np.full(len(rest), len(sampled), np.int64)
-    while (open_ := low < high).any():
-        at = np.flatnonzero(open_)
-        mid = (low[at] + high[at]) // 2
-        i, j = rest[at], sampled[mid]
-        by_one = j % 3 == 1
-        less = np.where(
-            by_one,
-            (t[j] < t[i]) | (t[j] == t[i]) & (rank[j + 1] < rank[i + 1]),
-            (t[j] < t[i]) | (t[j] == t[i]) & ((t[j + 1] < t[i + 1]) | (t[j + 1] == t[i + 1]) & (rank[j + 2] < rank[i + 2])),
-        )
-        low[at] = np.where(less, mid + 1, low[at])
-        high[at] = np.where(less, high[at], mid)
+    rest = rest[np.argsort(t[rest] * size + rank[rest + 1])]
+    # merge: the sampled suffixes before each remaining one, counted apart for the two kinds of places, since a suffix is
+    # compared with the first kind by one symbol and a rank, and with the second by two symbols and a rank
+    ones, twos = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
+    low = np.searchsorted(t[ones] * size + rank[ones + 1], t[rest] * size + rank[rest + 1])
+    if 2 * wide + size.bit_length() <= 62:
+        pair = (t[:-1] << wide) | t[1:]
+    else:
+        _, pair = np.unique((t[:-1] << wide) | t[1:], return_inverse=True)
+    low += np.searchsorted(pair[twos] * size + rank[twos + 2], pair[rest] * size + rank[rest + 2])
     out = np.empty(n, np.int64)
     place = low + np.arange(len(rest))
     taken = np.zeros(n, bool)
