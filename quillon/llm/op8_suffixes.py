@@ -183,6 +183,14 @@ def _runs(data: np.ndarray, at: int, least: int) -> tuple[np.ndarray, np.ndarray
 BLOCKS = "block long, ids binary, sizes binary, data binary"
 
 
+def packed(data: bytes) -> bytes:
+    return pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, decompressed_size=int(size), codec="zstd", asbytes=True) if size else b""
+
+
 def blocked(texts: DataFrame) -> DataFrame:
     out = pa_schema(BLOCKS)
 
@@ -193,7 +201,7 @@ def blocked(texts: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             nonlocal made, held, ids, raw
-            row = [(part << 32) + made, np.array(ids, np.int64).tobytes(), np.array([len(x) for x in raw], np.int64).tobytes(), b"".join(raw)]
+            row = [(part << 32) + made, np.array(ids, np.int64).tobytes(), np.array([len(x) for x in raw], np.int64).tobytes(), packed(b"".join(raw))]
             made, held, ids, raw = made + 1, 0, [], []
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, out, strict=True)], schema=out)
 
@@ -212,7 +220,8 @@ def blocked(texts: DataFrame) -> DataFrame:
 
 def all_runs(ids: bytes, sizes: bytes, data: bytes, least: int) -> tuple[np.ndarray, ...]:
     """Starts, ends, minimisers and document numbers of a block's runs, and its data, ids and document starts."""
-    own, size, raw = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64), np.frombuffer(data, np.uint8)
+    own, size = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
+    raw = np.frombuffer(unpacked(data, size.sum()), np.uint8)
     begin = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
     parts = [runs_of(raw[a : a + n], least) for a, n in zip(begin, size, strict=True)]
     counts = [len(p[0]) for p in parts]
@@ -319,14 +328,14 @@ def sorted_out(blocks: DataFrame, told: DataFrame, buckets: int, least: int) ->
             for b in range(buckets if s else 0):
                 if s.own[b]:
                     texts = list(s.own[b])
-                    rows.append((b, r.block, b"".join(texts), np.array([len(x) for x in texts], np.uint8).tobytes(), np.array(s.least_id[b], np.int64).tobytes()))
+                    rows.append((b, r.block, packed(b"".join(texts)), np.array([len(x) for x in texts], np.uint8).tobytes(), np.array(s.least_id[b], np.int64).tobytes()))
         return pd.DataFrame(rows, columns=["bucket", "block", "data", "sizes", "owners"])
 
     def answer(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         known: dict[bytes, int] = {}
         number, of_row = [], []
         for data, sizes in zip(group["data"], group["sizes"], strict=True):
-            at = 0
+            data, at = unpacked(data, sum(sizes)), 0
             for n in sizes:
                 number.append(known.setdefault(data[at : at + n], len(known)))
                 at += n
@@ -383,7 +392,7 @@ def deduplicated(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", te
         asked, got = parts[parts["bucket"] < 0], parts[parts["bucket"] >= 0]
         for r in own.itertuples():
             sizes, ids = np.frombuffer(r.sizes, np.int64), np.frombuffer(r.ids, np.int64)
-            data = np.frombuffer(r.data, np.uint8)
+            data = np.frombuffer(unpacked(r.data, sizes.sum()), np.uint8)
             begin = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
             cover = np.zeros(len(data) + 1, np.int32)
             if len(got):
