@@ -164,7 +164,31 @@ def coded(blocks: DataFrame, told: DataFrame, total: int, vocabulary: int) -> Da
     return blocks.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInPandas(put, CODED)
 
 
-PAIRS = "bucket int, block long, crowded boolean, first binary, second binary, counts binary, docs binary, times binary"
+PAIRS = "bucket int, block long, crowded boolean, data binary"
+
+
+def wrapped(*arrays: np.ndarray) -> bytes:
+    """Arrays as byte planes, compressed: numbers that are alike in size share their high bytes."""
+    raw = b"".join([np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays if len(a)])
+    head = np.array([len(raw), *map(len, arrays)], np.int64).tobytes()
+    return head + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unwrapped(data: bytes, *types: type) -> list[np.ndarray]:
+    head = np.frombuffer(data, np.int64, len(types) + 1)
+    raw = pa.decompress(data[8 * len(head) :], decompressed_size=int(head[0]), codec="zstd", asbytes=True) if head[0] else b""
+    out, at = [], 0
+    for n, kind in zip(head[1:].tolist(), types, strict=True):
+        size = np.dtype(kind).itemsize
+        plane = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.ascontiguousarray(plane.T).view(kind).ravel())
+        at += n * size
+    return out
+
+
+def runs(x: np.ndarray) -> np.ndarray:
+    """Starts of runs of equal values."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
 
 
 def pairs_of(table: DataFrame, buckets: int, hot: int, ids: type, counts_type: type, training: bool) -> DataFrame:
@@ -211,30 +235,39 @@ def pairs_of(table: DataFrame, buckets: int, hot: int, ids: type, counts_type: t
                     for k in range(some, min(2 * buckets, some + 64)):
                         o = order[edges[k] : edges[k + 1]]
                         if len(o):
-                            rows.append((
-                                k // 2, r["block"], bool(k % 2), first[o].astype(ids).tobytes(), second[o].astype(ids).tobytes(),
-                                count[o].tobytes(), b"" if training else docs[o].tobytes(), times[o].astype(np.uint32).tobytes(),
-                            ))
+                            pair = runs(own[o])  # each pair once, each first word once
+                            p = o[pair]
+                            f = runs(first[p])
+                            rows.append((k // 2, r["block"], bool(k % 2), wrapped(
+                                first[p[f]].astype(ids), lengths(f, len(p)), second[p].astype(ids), count[p], lengths(pair, len(o)),
+                                docs if training else docs[o], times[o].astype(np.uint32),
+                            )))
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return table.select("block", "sizes", "held", "numbers", "counts", "tokens").mapInArrow(send, PAIRS)
 
 
+def lengths(starts: np.ndarray, total: int) -> np.ndarray:
+    return np.diff(np.append(starts, total)).astype(np.uint32)
+
+
 class Pairs:
     """A bucket's distinct pairs by first word, and for each entry its pair and times."""
 
     def __init__(self, group: pd.DataFrame, ids: type, counts_type: type):
-        first = np.frombuffer(b"".join(group["first"]), ids)
-        second = np.frombuffer(b"".join(group["second"]), ids)
-        count = np.frombuffer(b"".join(group["counts"]), counts_type)
-        crowded = np.repeat(group["crowded"].to_numpy(bool), [len(x) // 4 for x in group["times"]])
-        self.times = np.frombuffer(b"".join(group["times"]), np.uint32)
+        parts = [unwrapped(x, ids, np.uint32, ids, counts_type, np.uint32, np.uint32, np.uint32) for x in group["data"]]
+        joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        first, second, count = np.repeat(joined[0], joined[1]), joined[2], joined[3]
+        self.docs, self.times = joined[5], joined[6]
+        self.sizes = np.cumsum([0, *[len(p[6]) for p in parts]])  # entries of each row of the group
+        crowded = np.repeat(group["crowded"].to_numpy(bool), [len(p[2]) for p in parts])
         order = np.lexsort((second, first))
         f, s = first[order], second[order]
         new = np.append(True, (f[1:] != f[:-1]) | (s[1:] != s[:-1]))
-        self.pair = np.empty(len(order), np.int64)
-        self.pair[order] = np.cumsum(new) - 1
+        pair = np.empty(len(order), np.int64)
+        pair[order] = np.cumsum(new) - 1
+        self.pair = np.repeat(pair, joined[4])
         at = order[new]
         self.first, self.count, self.crowded = first[at], count[at], crowded[at]
         self.start = np.flatnonzero(np.append(True, self.first[1:] != self.first[:-1]))
@@ -318,7 +351,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     # second pass: the pairs' share of each document's score
     def judge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         own = Pairs(group, ids, counts_type)
-        docs = np.frombuffer(b"".join(group["docs"]), np.uint32)
+        docs = own.docs
         c = np.bincount(own.pair, np.where(docs % 2 == 0, own.times, 0), len(own.first)).astype(np.int64)
         p = words.p(own.count)
         sums = own.sums(c, p)
@@ -328,9 +361,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         with np.errstate(all="ignore"):
             seen = np.log10(d[np.minimum(c, K + 1)] * c * shrink[own.word] / total[own.word])
         value = np.where(c > 0, seen, np.log10(weight[own.word]) + np.log10(p))[own.pair] * own.times
-        sizes = np.cumsum([0, *[len(x) // 4 for x in group["times"]]])
         rows = []
-        for block, a, b in zip(group["block"], sizes, sizes[1:], strict=False):
+        for block, a, b in zip(group["block"], own.sizes, own.sizes[1:], strict=False):
             at, where = np.unique(docs[a:b] // 2, return_inverse=True)
             rows.append((block, at.astype(np.uint32).tobytes(), np.bincount(where, value[a:b], len(at)).tobytes()))
         return pd.DataFrame(rows, columns=["block", "at", "value"])
