@@ -346,6 +346,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     d = discounts(rows.pop(-1, np.zeros(K + 2)))
     crowded = {k: (float(backoff(v, d)), float(v[0]), float(shrunk(v, d))) for k, v in rows.items()}
     held = spark.sparkContext.broadcast(crowded)
+    del surveyed, rows  # a frame that was run itself keeps its shuffle files as long as it lives
     released(spark)
 
     # second pass: the pairs' share of each document's score
