@@ -1,11 +1,13 @@
-"""Scalar expressions: alignment flags and CIGAR, names, sequences, means and formats. All are JVM-side columns."""
+"""Scalar expressions: alignment flags and CIGAR, names, sequences, means and formats. All but translated are JVM-side columns."""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Bits of an alignment flag (fixed values of the format).
 PAIRED, UNMAPPED, MATE_UNMAPPED, REVERSE, FIRST, SECOND = 0x1, 0x4, 0x8, 0x10, 0x40, 0x80
@@ -167,11 +169,19 @@ def log_sum_exp(a: Column, b: Column) -> Column:
 
 #: Codons in the order of the bases A, C, G, T (fixed values of the standard code).
 AMINO = "KNKNTTTTRSRSIIMIQHQHPPPPRRRRLLLLEDEDAAAAGGGGVVVV*Y*YSSSS*CWCLFLF"
+#: Number of each letter's base (4 for no base), and amino acid of each three such numbers.
+BASES = np.array(["ACGT".find(chr(c).upper()) % 5 for c in range(128)], np.uint8)
+RESIDUES = np.array([ord("X") if 4 in (i // 25, i // 5 % 5, i % 5) else ord(AMINO[i // 25 * 16 + i // 5 % 5 * 4 + i % 5]) for i in range(125)], np.uint8)
 
 
-def translated(seq: Column) -> Column:
+def protein(seq: str | None) -> str:
     """Amino acids of whole codons; X for a codon with another letter."""
-    table = F.create_map(*[F.lit(x) for i, a in enumerate(AMINO) for x in ("ACGT"[i // 16] + "ACGT"[i // 4 % 4] + "ACGT"[i % 4], a)])
-    n = F.floor(F.length(seq) / 3).cast("int")
-    k = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_join(F.transform(k, lambda i: F.coalesce(table[F.upper(F.substring(seq, i * 3 + 1, F.lit(3)))], F.lit("X"))), "")
+    points = np.frombuffer((seq or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = len(points) // 3
+    letters = BASES[np.minimum(points[: 3 * n], 127)].reshape(n, 3)
+    return RESIDUES[letters @ np.array([25, 5, 1])].tobytes().decode()
+
+
+def translated(seq: Column) -> Column:
+    """The protein of a whole sequence, in linear time: a substring for each codon would scan from the start each time."""
+    return F.pandas_udf(lambda seqs: seqs.map(protein), StringType())(seq)

@@ -119,7 +119,7 @@ def bp_to_mbp(spark, sf):
 
 @query("codon_translation")
 def codon_translation(spark, sf):
-    return seqs(spark, sf).select("doc_id", C.translated(F.substring("seq", 1, 300)).alias("protein"))
+    return seqs(spark, sf).select("doc_id", C.translated(F.col("seq")).alias("protein"))
 
 
 @query("log_sum_exp", "select p_partkey k, round(greatest(p_size, p_retailprice / 100) + ln(1 + exp(-abs(p_size - p_retailprice / 100))), 6) l from part")

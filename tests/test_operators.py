@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
 from quillon.operators import bins, contacts, graph, matrix, models, ordering
+from quillon.plans import registry
+from quillon.plans.scalar_queries import seqs
 from quillon.sources import formats
 
 READS = [
@@ -110,6 +112,16 @@ def test_sequences(spark):
         C.motif_regex("HindII")
 
 
+def test_whole_texts_are_translated(spark, tmp_path):
+    texts = ["", "ac", "gat", "acgtn" * 200, "tttß\n\U0001f600" * 500, "gattacacat" * 5001, None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    code = {a + b + c: C.AMINO[16 * i + 4 * j + k] for i, a in enumerate("ACGT") for j, b in enumerate("ACGT") for k, c in enumerate("ACGT")}
+    seq = {r.doc_id: r.seq or "" for r in seqs(spark, str(tmp_path)).collect()}
+    want = {d: "".join(code.get(s[p : p + 3].upper(), "X") for p in range(0, len(s) - 2, 3)) for d, s in seq.items()}
+    got = {r.doc_id: r.protein for r in registry.queries()["codon_translation"](spark, str(tmp_path)).collect()}
+    assert got == want and max(map(len, got.values())) == 16670
+
+
 def test_gap_remap_and_zscore(spark):
     df = spark.createDataFrame([(0, 0, True), (0, 1, False), (0, 2, True), (0, 3, True)], "g int, k int, mask boolean")
     got = ordering.gap_shift(df, "g", "k", F.col("mask")).orderBy("k").collect()
