@@ -148,9 +148,28 @@ def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((b, a) if flip else (a, b) for a, b in pairs)
 
 
-def matched_bins(markers: list[tuple[str, list[str]]], weight, intra: float, inter: float, own: dict[str, set[str]]) -> dict[str, int]:
+def sums_of(contigs: np.ndarray, i: np.ndarray, j: np.ndarray, v: np.ndarray):
+    """sums(new, placed, n): weights of each new contig to all members of each of n bins. contigs are sorted and hold all ends."""
+    at, to = (np.searchsorted(contigs, np.concatenate(x)) for x in ((i, j), (j, i)))
+    order = np.argsort(at, kind="stable")
+    first, to, v = np.searchsorted(at[order], np.arange(len(contigs) + 1)), to[order], np.concatenate([v, v]).astype(float)[order]
+
+    def sums(new: list, placed: dict, n: int) -> np.ndarray:
+        bin_of = np.full(len(contigs), -1)
+        bin_of[np.searchsorted(contigs, list(placed))] = list(placed.values())
+        out = np.zeros((len(new), n))
+        for r, c in enumerate(np.searchsorted(contigs, new)):
+            b, x = bin_of[to[first[c] : first[c + 1]]], v[first[c] : first[c + 1]]
+            out[r] = np.bincount(b[b >= 0], x[b >= 0], n)
+        return out
+
+    return sums
+
+
+def matched_bins(markers: list[tuple[str, list[str]]], weight, intra: float, inter: float, own: dict[str, set[str]], sums=None) -> dict[str, int]:
     """contig -> bin. The first marker's contigs open bins; each later marker's are matched with the bins by mean weight
-    to the members, taken if it is at least intra and no marker is shared, and open a bin if no weight is above inter."""
+    to the members, taken if it is at least intra and no marker is shared, and open a bin if no weight is above inter.
+    sums(new, placed, bins), if given, stands for weight(contig, member) over many at once."""
     bins: list[list[str]] = []
     held: list[set[str]] = []
     placed: dict[str, int] = {}
@@ -168,7 +187,10 @@ def matched_bins(markers: list[tuple[str, list[str]]], weight, intra: float, int
             continue
         if not new or not bins:
             continue
-        w = np.array([[np.mean([weight(c, x) for x in b]) for b in bins] for c in new])
+        if sums is None:
+            w = np.array([[np.mean([weight(c, x) for x in b]) for b in bins] for c in new])
+        else:
+            w = sums(new, placed, len(bins)) / [len(b) for b in bins]
         left = set()
         for r, b in assignment(-w):
             if w[r, b] >= intra and not held[b] & own.get(new[r], set()):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -141,18 +142,17 @@ def oriented_reads(spark, sf):
 
 @query("marker_matching")
 def marker_matching(spark, sf):
-    """Marker contigs matched to bins by contacts. The driver holds one marker's contigs and the bins' members at a time;
-    markers are bounded by the parameter below, the longest-loaded first."""
-    most = 12
+    """Marker contigs matched to bins by contacts, over all markers, the longest-loaded first. The driver holds the
+    marker contigs, their markers and the contacts between them (as arrays); one marker's contigs are matched at a time."""
     h = marker_hits(spark, sf).select("marker", "contig").distinct()
-    top = bins.marker_order(h).orderBy(F.desc("contigs"), F.desc("load"), "marker").limit(most)
-    rows = h.join(F.broadcast(top.select("marker", "contigs", "load")), "marker").orderBy(F.desc("contigs"), F.desc("load"), "marker", "contig").collect()
+    order = bins.marker_order(h)
+    rows = h.join(order, "marker").orderBy(F.desc("contigs"), F.desc("load"), "marker", "contig").select("marker", "contig").collect()
     markers: dict[str, list] = {}
     own: dict = {}
     for r in rows:
         markers.setdefault(r.marker, []).append(r.contig)
         own.setdefault(r.contig, set()).add(r.marker)
-    known = spark.createDataFrame([(c,) for c in own], "contig long")
-    w = {(r.i, r.j): r.v for r in contacts.restricted(edges(spark, sf), known).collect()}
-    placed = graph.matched_bins(list(markers.items()), lambda a, b: float(w.get((min(a, b), max(a, b)), 0)), 1.0, 0.0, own)
+    e = contacts.restricted(contacts.off_diagonal(edges(spark, sf)), h.select("contig").distinct()).toPandas()
+    sums = graph.sums_of(np.array(sorted(own), np.int64), *(e[c].to_numpy() for c in ("i", "j", "v")))
+    placed = graph.matched_bins(list(markers.items()), None, 1.0, 0.0, own, sums)
     return spark.createDataFrame(sorted(placed.items()), "contig long, bin long")

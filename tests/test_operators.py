@@ -217,3 +217,28 @@ def test_resplit(spark):
     s = spark.createDataFrame([("x", 80.0, 20.0), ("y", 80.0, 2.0)], "bin string, completeness double, contamination double")
     got = {r.contig: (r.bin, r.piece) for r in graph.resplit(e, m, s, 200).collect()}
     assert got == {**{n: ("x", "0") for n in range(4)}, **{n: ("x", "10") for n in range(10, 14)}, 20: ("y", "0"), 21: ("y", "0")}
+
+
+def test_all_markers_are_matched(spark, tmp_path):
+    """14 markers on contigs 1 and 2, then two on one contig each: 3 touches contig 1, 4 touches none."""
+    on = [(m, c) for m in range(14) for c in (1, 2)] + [(14, 3), (15, 4)]
+    hit = [(100 + n, 1, m, c, 1.0, 50.0) for n, (m, c) in enumerate(on)]
+    link = [(o, k, 0, c, 1.0, 20.0) for o in (1, 2) for k, c in ((1, 1), (2, 3))]
+    kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
+    spark.createDataFrame(hit + link, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(m, f"m{m:02}", 1) for m in range(16)], "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = registry.queries()["marker_matching"](spark, str(tmp_path)).collect()
+    assert {r.contig: r.bin for r in got} == {1: 0, 2: 1, 3: 0, 4: 2}
+
+
+def test_sums_agree_with_single_weights():
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        n = int(rng.integers(2, 30))
+        w = {(a, b): int(rng.integers(1, 5)) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.3}
+        markers = [(f"m{k}", sorted(rng.choice(n, rng.integers(1, n), replace=False).tolist())) for k in range(15)]
+        own = {c: {m for m, on in markers if c in on and rng.random() < 0.2} for c in range(n)}
+        ends = np.array([*w, (0, 1)])
+        sums = graph.sums_of(np.arange(n), ends[:, 0], ends[:, 1], np.array([*w.values(), 0]))
+        plain = graph.matched_bins(markers, lambda a, b: float(w.get((min(a, b), max(a, b)), 0)), 1.0, 0.0, own)
+        assert graph.matched_bins(markers, None, 1.0, 0.0, own, sums) == plain
