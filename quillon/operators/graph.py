@@ -77,12 +77,8 @@ def moved(nodes: list, weights: dict, total: float, gamma: float, fixed: dict |
         groups = new
 
 
-def clustered(edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = None) -> DataFrame:
-    """node, cluster (its least node) by modularity with a resolution. Communities never span components, so each
-    component is one group; the total weight is global. Fixed (node, cluster) pins nodes to communities.
-
-    A component has to fit a task; larger ones should be cut by a higher percentile of weights first.
-    """
+def weighted(edges: DataFrame, fixed: DataFrame | None = None) -> tuple[DataFrame, float]:
+    """What clustered() works on, for several resolutions: stored weights with their components and pins, and the total."""
     from ..sources.tables import stored
 
     parts = stored(components(edges))
@@ -94,6 +90,17 @@ def clustered(edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = No
     else:
         pin = lambda c: fixed.select(F.col("node").alias(c), F.col("cluster").cast("string").alias(f"f{c}"))
         rows = rows.join(pin("i"), "i", "left").join(pin("j"), "j", "left")
+    return stored(rows), total
+
+
+def clustered(edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = None, ready: tuple[DataFrame, float] | None = None) -> DataFrame:
+    """node, cluster (its least node) by modularity with a resolution. Communities never span components, so each
+    component is one group; the total weight is global. Fixed (node, cluster) pins nodes to communities.
+    ready is weighted(edges, fixed), if it is at hand.
+
+    No contact is dropped, so a component has to fit a task: there is no distributed move phase.
+    """
+    rows, total = ready or weighted(edges, fixed)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         weights = {(a, b): w for a, b, w in zip(frame["i"], frame["j"], frame["v"], strict=True)}

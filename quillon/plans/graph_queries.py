@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import contacts, graph
+from ..operators import bins, contacts, graph
+from ..sources.tables import stored
+from .bin_queries import hits
 from .inputs import SQL_E, edges, table
 from .registry import query
 
@@ -22,37 +24,43 @@ def connected_components(spark, sf):
     return graph.components(l)
 
 
-def heavy(spark, sf):
-    from ..operators.matrix import above_percentile
+#: The resolutions of the reference's sweep.
+GAMMAS = (1.0, *map(float, range(20, 501, 20)))
 
-    return above_percentile(contacts.off_diagonal(edges(spark, sf)), 60)
+
+def links(spark, sf):
+    """All contacts between different contigs."""
+    return contacts.off_diagonal(edges(spark, sf))
 
 
 @query("modularity_clusters")
 def modularity_clusters(spark, sf):
-    return graph.clustered(heavy(spark, sf), 1.0)
+    return graph.clustered(links(spark, sf), 1.0)
 
 
 @query("modularity_quality")
 def modularity_quality(spark, sf):
-    e = heavy(spark, sf)
+    e = links(spark, sf)
     return graph.modularity(e, graph.clustered(e, 1.0))
 
 
 @query("modularity_pinned")
 def modularity_pinned(spark, sf):
     pins = table(spark, sf, "supplier").where("s_suppkey <= 10").select(F.col("s_suppkey").alias("node"), (F.col("s_suppkey") % 2).alias("cluster"))
-    return graph.clustered(heavy(spark, sf), 1.0, pins)
+    return graph.clustered(links(spark, sf), 1.0, pins)
 
 
 @query("resolution_sweep")
 def resolution_sweep(spark, sf):
     """The first resolution with more large clusters than seed genes, else the last."""
-    e = heavy(spark, sf)
+    h = hits(spark, sf)
+    genes = h.join(F.broadcast(bins.seed_marker(h).select("marker")), "marker", "left_semi").agg(F.count_distinct("contig")).first()[0]
+    e = links(spark, sf)
+    ready = graph.weighted(e)
     got = None
-    for gamma in (1.0, 20.0, 40.0):
-        got = graph.clustered(e, gamma).withColumn("gamma", F.lit(gamma))
-        if got.groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 2").count() > 8:
+    for gamma in GAMMAS:
+        got = stored(graph.clustered(e, gamma, ready=ready).withColumn("gamma", F.lit(gamma)))
+        if got.groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 2").count() > genes:
             break
     return got
 
@@ -62,4 +70,4 @@ def bin_resplit(spark, sf):
     s = table(spark, sf, "supplier")
     m = s.select((F.col("s_nationkey") % 4).alias("bin"), F.col("s_suppkey").alias("contig"), F.lit(1000).cast("long").alias("length"))
     stats = spark.createDataFrame([(b, 60.0 + b, 5.0 + 4 * b) for b in range(4)], "bin int, completeness double, contamination double")
-    return graph.resplit(heavy(spark, sf), m, stats, 2000)
+    return graph.resplit(links(spark, sf), m, stats, 2000)

@@ -242,3 +242,18 @@ def test_sums_agree_with_single_weights():
         sums = graph.sums_of(np.arange(n), ends[:, 0], ends[:, 1], np.array([*w.values(), 0]))
         plain = graph.matched_bins(markers, lambda a, b: float(w.get((min(a, b), max(a, b)), 0)), 1.0, 0.0, own)
         assert graph.matched_bins(markers, None, 1.0, 0.0, own, sums) == plain
+
+
+def test_weak_contacts_are_clustered(spark, tmp_path):
+    """Contigs 5 and 6 have weak contacts only; the seed marker is on two contigs, and no resolution gives three large clusters."""
+    pairs = [(1, 2)] * 3 + [(3, 4)] * 3 + [(5, 1), (6, 3)]
+    link = [(o, k, 0, c, 1.0, 20.0) for o, ends in enumerate(pairs) for k, c in enumerate(ends)]
+    hit = [(100 + c, 1, 0, c, 1.0, 50.0) for c in (1, 2)]
+    kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
+    spark.createDataFrame(link + hit, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(0, "m", 1)], "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
+    assert {r.node: r.cluster for r in run("modularity_clusters")} == {1: 1, 2: 1, 5: 1, 3: 3, 4: 3, 6: 3}
+    assert run("modularity_quality")[0].modularity == pytest.approx(0.5)
+    swept = run("resolution_sweep")
+    assert {r.node for r in swept} == set(range(1, 7)) and {r.gamma for r in swept} == {500.0}
