@@ -1,7 +1,7 @@
 """Quality rules: how many documents of a host share a line, and what is left of a document without such lines.
 
 A pass over the texts gives the base counts and, for each distinct normalised line, its hash and its words. Lines are
-then counted by host and hash; documents with equal texts count once, for copies are no template. Lines in more
+then counted by host and hash over distinct document ids, so exact copies count in full like near ones. Lines in more
 documents of a host than the limits allow are removed, and documents that keep too little are rejected.
 """
 
@@ -20,8 +20,8 @@ from .common import SPACE, Hashes, mixed, pa_schema, pick, pieces, stored
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-#: A line is removed if it is in more documents of a host than both: so many, and this share of the host's.
-LIMIT_DOCS = 50
+#: A line is removed if it is in more documents of a host than both: this share of the host's, and a floor for small hosts.
+LIMIT_DOCS = 5
 LIMIT_SHARE = 0.01
 #: A document is depleted if less than this share of its words, or fewer than LEAST_WORDS, are on other lines.
 LEAST_SHARE = 0.5
@@ -30,7 +30,7 @@ SALTS = 16
 NUMBER = re.compile(rb"[0-9]+")
 
 SCHEMA = (
-    "rid long, doc_id long, host string, print long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "rid long, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, lines array<struct<line: long, words: int>>"
 )
 
@@ -98,9 +98,8 @@ def measured(docs: DataFrame, host_col: str, id_col: str, text_col: str) -> Data
                 rows = []
                 for rid, doc_id, text, host in zip(*[c.slice(lo, hi - lo).to_pylist() for c in batch.columns], strict=True):
                     text = text or ""
-                    mark = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
                     lines = [{"line": k, "words": v} for k, v in lines_of(text).items()]
-                    rows.append((rid, doc_id, host or "", mark, *counts(text, hashes), lines))
+                    rows.append((rid, doc_id, host or "", *counts(text, hashes), lines))
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
     picked = pick(docs, id_col, text_col, F.col(host_col).cast("string").alias("host"))
@@ -123,9 +122,9 @@ def judged(
     stays spread. The measured table (no texts) is written to the shared folder and read twice.
     """
     base = stored(measured(docs, host_col, id_col, text_col), "measured")
-    own = base.select("rid", "host", "print", F.explode("lines").alias("x")).select("rid", "host", "print", "x.line", "x.words")
-    once = own.groupBy("host", "line", "print").agg(F.lit(1).alias("one"))  # documents with equal texts count once
-    hosts = base.select("host", "print").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    own = base.select("rid", "host", "doc_id", F.explode("lines").alias("x")).select("rid", "host", "doc_id", "x.line", "x.words")
+    once = own.groupBy("host", "line", "doc_id").agg(F.lit(1).alias("one"))  # rows with one id count once
+    hosts = base.select("host", "doc_id").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     often = once.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > limit_docs)
     over = (
         often.join(hosts, "host")

@@ -164,6 +164,22 @@ def test_frequent_lines(spark):
     assert all(got[i] == (True, 13) for i in range(60)) and not any(got[100 + i][0] for i in range(5)) and got[200] == (True, 0)
 
 
+def test_frequent_lines_of_copies_and_hosts_of_any_size(spark):
+    """The line is on a fifth of each host's documents: near copies, or exact ones, in a host of 50 and of 1,000."""
+    line = "click here to read all of the terms of this site today"
+    body = lambda i: " ".join(f"w{i}x{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(30))
+    rows, want = [], {}
+    for h, (n, exact) in enumerate([(50, False), (50, True), (1000, False), (1000, True)]):
+        for k in range(n):
+            i, on = 10_000 * h + k, k % 5 == 0
+            rows.append((i, f"{line}\n{body(h if exact else i)}" if on else body(i), f"h{h}"))
+            want[i] = (not on, 42) if on and exact else (True, 12 if on else 0)
+    rows.append((90_000, f"{line}\n{body(90_000)}", "small"))
+    want[90_000] = (True, 0)
+    got = {r.doc_id: (r.kept, r.n_removed_words) for r in op6_quality.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert got == want
+
+
 def test_automaton():
     rng = random.Random(3)
     for _ in range(300):
