@@ -3,24 +3,25 @@
 Equal shingle sets are one class from the start, named by its smallest id. A class's signature is the smallest hash of
 each bin of one permutation; an empty bin takes the value of the bin that its own sequence of probes meets first.
 Bands of bins are buckets. In each bucket one class, the one whose buckets are fullest, is the centre, and only it is
-compared with the others (on full sets). Classes that this leaves outside the bucket's main component become centres in
-later rounds until none is left, so no pair of bucket mates goes unjudged, and no round makes all pairs of a group.
+compared with the others (on full sets). Two bucket mates that this leaves in different components can only be linked if
+their differences from the centre have much in common, which a join on the rarest of these differences tells; such pairs
+are then judged on full sets. So no link of bucket mates is lost, and no step makes all pairs of a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import MULTIPLIER, Hashes, dropped, lowered, mixed, pa_schema, pick, pieces, released, stored
+from .common import MULTIPLIER, Hashes, dropped, lowered, mixed, pa_schema, pick, pieces, stored
 
 BINS, ROWS = 128, 4  # 32 bands of 4: two sets of similarity 0.8 share no bucket with a probability of 5e-8
-CENTRES = 32  # further centres of a bucket in the second round; each later round has twice as many
 SHINGLE, SIMILARITY = 5, 0.8
 
 
@@ -89,32 +90,46 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
 
 def sets_of(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """The full set of each class, from the text of its smallest id."""
-    schema = "cls long, own array<long>"
+    schema = "cls long, k long, own array<long>"
     out = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes(300_000)
         for batch in batches:
             for lo, hi in pieces(batch):
-                ids, own = [], []
+                ids, k, own = [], [], []
                 for i, text, k1, k2 in zip(*[c.slice(lo, hi - lo).to_pylist() for c in batch.columns], strict=True):
                     s = shingles(text, words, hashes)
                     if keys(s) == (k1, k2):  # an id may have several rows with different texts
                         ids.append(i)
+                        k.append(k1)
                         own.append(s.view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(own, out.field("own").type)], schema=out)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(k, pa.int64()), pa.array(own, out.field("own").type)], schema=out)
 
     return docs.join(classes.select(F.col("cls").alias("doc_id"), "k1", "k2"), "doc_id").select("doc_id", "text", "k1", "k2").mapInArrow(run, schema)
 
 
-def linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, by exact integer arithmetic. Joins only, so that a partition
+def fraction(similarity: float) -> tuple[int, int]:
+    """The similarity as written, exactly: 0.8 is 4 / 5."""
+    f = Fraction(str(similarity))
+    if not 0 < f <= 1:
+        raise ValueError("similarity must be above 0 and at most 1")
+    return f.numerator, f.denominator
+
+
+def alike(d: Column, n: Column, m: Column, similarity: float) -> Column:
+    """Whether sets of n and m that differ in d elements are similar enough: similarity s means d <= (1-s)/(1+s) * (n+m)."""
+    p, q = fraction(similarity)
+    return (q + p) * d <= (q - p) * (n + m)
+
+
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, each side's key and size, and own: what is in one set of the pair alone. Joins only, so that a partition
     made large by one frequent class can be split."""
-    a = sets.select(F.col("cls").alias("a"), F.col("own").alias("own_a"))
-    b = sets.select(F.col("cls").alias("b"), F.col("own").alias("own_b"))
-    both = F.size(F.array_intersect("own_a", "own_b"))
-    union = F.size("own_a") + F.size("own_b") - both
-    return pairs.join(b, "b").join(a, "a").where(100 * both >= round(100 * similarity) * union).select("a", "b")
+    sides = [sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("k", "own")], F.col("cls").alias(x)) for x in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    own = F.concat(F.array_except("own_a", "own_b"), F.array_except("own_b", "own_a"))
+    return both.select("a", "b", "k_a", "k_b", F.size("own_a").alias("n"), F.size("own_b").alias("m"), own.alias("own"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -142,61 +157,38 @@ def duplicates(
     Null and empty texts have no shingles and are linked with nothing; rows with a null id are left alone (component
     null, kept). Rows that repeat an id are rows of the same document: each counts with its own text. Texts are read
     twice and shuffled once, to fetch the full sets of classes that share a bucket; everything else is a few numbers a
-    row. Tables that outlive a round are in the shared folder.
+    row. Tables that outlive a step are in the shared folder.
     """
-    spark = docs.sparkSession
     docs = pick(docs, id_col, text_col)
     rows = stored(signed(docs, words), "signed")
     some = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = stored(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
-    released(spark)
-    mates = classes.select("cls", "n", F.posexplode("bands").alias("band", "key"))
-    sizes = mates.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
-    crowd = stored(mates.join(sizes, ["band", "key"]), "crowd")
+    classes = stored(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes")
+    mates = classes.select("cls", F.explode("bands").alias("key"))  # a key differs by its band
+    sizes = mates.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    crowd = stored(mates.join(sizes, "key"), "crowd")
     central = crowd.groupBy("cls").agg(F.sum("size").alias("central"))
-    members = stored(crowd.join(central, "cls").select("band", "key", "cls", "n", "central"), "members")
-    dropped(crowd)
+    members = stored(crowd.join(central, "cls").select("key", "cls", "central"), "members")
     sets = stored(sets_of(docs, classes.join(members.select("cls").distinct(), "cls", "left_semi"), words), "sets")
-    released(spark)
-
-    rank = F.struct("central", (-F.col("cls")).alias("least"), "n")
-    centre = members.groupBy("band", "key").agg(F.max(rank).alias("c")).select("band", "key", (-F.col("c.least")).alias("centre"), F.col("c.n").alias("m"))
-    close = (100 * F.least("n", "m") >= round(100 * similarity) * F.greatest("n", "m")) & (F.col("cls") != F.col("centre"))
-
-    def judged(members: DataFrame, centre: DataFrame, other: Column, tested: DataFrame | None) -> tuple[DataFrame, DataFrame, int]:
-        """New candidate pairs of centres and their bucket mates, the linked ones among them, and how many these are."""
-        pairs = members.join(centre, ["band", "key"]).where(close & other).select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = Observation()
-        found = stored(linked(pairs, sets, similarity).observe(links, F.count("*").alias("n")), "found")
-        released(spark)
-        return pairs, found, links.get["n"]
-
-    tested, edges, _ = judged(members, centre, F.lit(True), None)
-    labels, used, more = components(edges), None, CENTRES
-    while True:
-        # buckets with several components: all classes outside the largest become centres, so many in each round
-        named = members.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        by = named.groupBy("band", "key", "label").agg(F.count("*").alias("size"))
-        main = by.groupBy("band", "key").agg(F.max(F.struct("size", "label")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-        named = named.join(main.select("band", "key", F.col("m.label").alias("main")), ["band", "key"])
-        outside = named.where("label != main").select("band", "key", F.col("cls").alias("centre"), F.col("n").alias("m"), F.col("label").alias("own_label"))
-        if used is not None:
-            outside = outside.join(used, ["band", "key", "centre"], "left_anti")
-        turn = F.row_number().over(Window.partitionBy("band", "key").orderBy("centre"))
-        last = Observation()
-        outside = stored(outside.withColumn("turn", turn).observe(last, F.max("turn").alias("turn")), "outside")
-        turns, done, links = last.get["turn"] or 0, 0, 0
-        while done < turns and not links:
-            now = outside.where((F.col("turn") > done) & (F.col("turn") <= done + more)).drop("turn")
-            pairs, found, links = judged(named.select("band", "key", "cls", "n", "label"), now, F.col("own_label") != F.col("label"), tested)
-            used = now.select("band", "key", "centre") if used is None else used.union(now.select("band", "key", "centre"))
-            tested, edges = tested.union(pairs), edges.union(found)
-            done, more = done + more, 2 * more
-        if not links:
-            break
-        labels = components(edges)
+    dropped(crowd)
+
+    # in each bucket all are compared with its centre
+    centre = members.groupBy("key").agg(F.max(F.struct("central", (-F.col("cls")).alias("least"))).alias("c"))
+    pairs = members.join(centre, "key").select(F.col("cls").alias("a"), (-F.col("c.least")).alias("b")).where("a <> b").distinct()
+    star = stored(differences(pairs, sets), "star")
+    dropped(members)
+    labels = components(star.where(alike(F.size("own"), F.col("n"), F.col("m"), similarity)))
+
+    # bucket mates in different components: only those whose differences from the centre have enough in common
+    more = Observation()
+    rest = stored(differences(stored(candidates(star, labels, similarity), "rest"), sets), "judged")
+    links = rest.where(alike(F.size("own"), F.col("n"), F.col("m"), similarity)).select("a", "b")
+    up, down = (labels.select(F.col("cls").alias(x), F.col("label").alias(f"of_{x}")) for x in "ab")
+    bridges = links.join(up, "a", "left").join(down, "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    bridges = stored(bridges.where("a <> b").observe(more, F.count("*").alias("n")), "bridges")
     out = classes.select("k1", "k2", "cls").join(labels, "cls", "left").select("k1", "k2", F.coalesce("label", "cls").alias("component"))
+    if more.get["n"]:
+        joined = components(bridges).select(F.col("cls").alias("component"), "label")
+        out = out.join(joined, "component", "left").select("k1", "k2", F.coalesce("label", "component").alias("component"))
     found = rows.drop("bands").join(out, ["k1", "k2"], "left")
     lone = F.col("doc_id").isNull() | (F.col("n") == 0)
     component = F.when(lone, F.col("doc_id")).otherwise(F.col("component"))
@@ -206,6 +198,41 @@ def duplicates(
     )
 
 
+def candidates(star: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of one centre's classes in different components that may be linked; no linked pair is missing.
+
+    Let x and y differ from their centre in X and Y. They differ from each other in what is in one of X and Y alone, so
+    they are linked if and only if X and Y share t = (|X| + |Y| - (1-s)/(1+s) * (|x| + |y|)) / 2 elements or more, and t
+    is above 0 unless both are linked with the centre. Of two sets that share t elements, the first common one in any
+    fixed order has t - 1 behind it in both. Elements are ordered by how few of the centre's classes have them, and those
+    of one class alone are skipped, so that what a family's members have in common seldom comes up.
+    """
+    p, q = fraction(similarity)
+    name = lambda x: labels.select(F.col("cls").alias(x), F.col("label").alias(f"of_{x}"))
+    named = (
+        star.join(name("a"), "a", "left").join(name("b"), "b", "left")
+        .select("a", "b", "k_a", "k_b", "n", "own", F.coalesce("of_a", "a").alias("label"), F.coalesce("of_b", "b").alias("main"))
+    )
+    mixed_in = named.groupBy("b").agg(F.min(F.least("label", "main")).alias("lo"), F.max(F.greatest("label", "main")).alias("hi"))
+    named = stored(named.join(mixed_in.where("lo < hi").select("b"), "b"), "named")
+    each = named.select("a", "b", "k_a", "k_b", "n", "label", F.size("own").alias("d"), F.explode("own").alias("e"))
+    often = each.groupBy("b", "e").agg(F.count("*").alias("times")).where("times > 1")
+    own = each.join(often, ["b", "e"]).groupBy("b", "k_b", "a", "k_a", "n", "d", "label").agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("own"))
+    at = own.select("b", "k_b", "a", "n", "d", "label", (F.col("d") - F.size("own")).alias("alone"), F.posexplode("own").alias("at", "x"))
+    at = at.select("b", "k_b", "a", "n", "d", "label", F.col("x.e").alias("e"), (F.col("alone") + F.col("at")).alias("at")).where(p * F.col("at") <= (q - p) * F.col("n"))
+    at = stored(at, "prefixes")
+    left = at.select("b", "k_b", "e", *[F.col(c).alias(f"{c}1") for c in ("a", "n", "d", "label", "at")])
+    right = at.select("b", "k_b", "e", *[F.col(c).alias(f"{c}2") for c in ("a", "n", "d", "label", "at")])
+    least = (q + p) * (F.col("d1") + F.col("d2")) - (q - p) * (F.col("n1") + F.col("n2"))  # 2 (q+p) t
+    fits = (
+        (F.col("a1") < F.col("a2")) & (F.col("label1") != F.col("label2"))
+        & (q * F.least("n1", "n2") >= p * F.greatest("n1", "n2"))
+        & (2 * (q + p) * (F.col("d1") - F.col("at1")) >= least) & (2 * (q + p) * (F.col("d2") - F.col("at2")) >= least)
+    )
+    same = [left[c] == right[c] for c in ("b", "k_b", "e")]
+    return left.join(right, same[0] & same[1] & same[2] & fits).select(F.col("a1").alias("a"), F.col("a2").alias("b")).distinct()
+
+
 def kept(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those rows whose document is not the smallest id of its component; all columns stay."""
     gone = duplicates(docs, words, similarity, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
