@@ -134,15 +134,15 @@ def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """cls and label (the smallest class reachable) of every class with a link: least labels along links, then label of label."""
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "cls"), "labels")
+    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links", True)
+    labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "cls"), "labels", True)
     while True:
         near = both.join(labels.select(F.col("cls").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels.join(near, labels.cls == near.a).select("cls", F.col("label").alias("was"), F.least("label", "near").alias("l"))
         up = labels.select(F.col("cls").alias("l"), F.col("label").alias("further"))
         moves = Observation()
         new = hooked.join(up, "l", "left").select("cls", "was", F.least("l", "further").alias("label"))
-        new = stored(new.observe(moves, F.count_if(F.col("was") != F.col("label")).alias("n")).select("cls", "label"), "labels")
+        new = stored(new.observe(moves, F.count_if(F.col("was") != F.col("label")).alias("n")).select("cls", "label"), "labels", True)
         dropped(labels)
         labels = new
         if not moves.get["n"]:
@@ -165,26 +165,25 @@ def duplicates(
     classes = stored(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes")
     mates = classes.select("cls", F.explode("bands").alias("key"))  # a key differs by its band
     sizes = mates.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    crowd = stored(mates.join(sizes, "key"), "crowd")
+    crowd = stored(mates.join(sizes, "key"), "crowd", True)
     central = crowd.groupBy("cls").agg(F.sum("size").alias("central"))
-    members = stored(crowd.join(central, "cls").select("key", "cls", "central"), "members")
-    sets = stored(sets_of(docs, classes.join(members.select("cls").distinct(), "cls", "left_semi"), words), "sets")
-    dropped(crowd)
+    sets = stored(sets_of(docs, classes.join(central, "cls", "left_semi"), words), "sets")
 
     # in each bucket all are compared with its centre
+    members = crowd.join(central, "cls").select("key", "cls", "central")
     centre = members.groupBy("key").agg(F.max(F.struct("central", (-F.col("cls")).alias("least"))).alias("c"))
     pairs = members.join(centre, "key").select(F.col("cls").alias("a"), (-F.col("c.least")).alias("b")).where("a <> b").distinct()
     star = stored(differences(pairs, sets), "star")
-    dropped(members)
+    dropped(crowd)
     labels = components(star.where(alike(F.size("own"), F.col("n"), F.col("m"), similarity)))
 
     # bucket mates in different components: only those whose differences from the centre have enough in common
     more = Observation()
-    rest = stored(differences(stored(candidates(star, labels, similarity), "rest"), sets), "judged")
+    rest = stored(differences(stored(candidates(star, labels, similarity), "rest", True), sets), "judged", True)
     links = rest.where(alike(F.size("own"), F.col("n"), F.col("m"), similarity)).select("a", "b")
     up, down = (labels.select(F.col("cls").alias(x), F.col("label").alias(f"of_{x}")) for x in "ab")
     bridges = links.join(up, "a", "left").join(down, "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-    bridges = stored(bridges.where("a <> b").observe(more, F.count("*").alias("n")), "bridges")
+    bridges = stored(bridges.where("a <> b").observe(more, F.count("*").alias("n")), "bridges", True)
     out = classes.select("k1", "k2", "cls").join(labels, "cls", "left").select("k1", "k2", F.coalesce("label", "cls").alias("component"))
     if more.get["n"]:
         joined = components(bridges).select(F.col("cls").alias("component"), "label")
@@ -220,7 +219,7 @@ def candidates(star: DataFrame, labels: DataFrame, similarity: float) -> DataFra
     own = each.join(often, ["b", "e"]).groupBy("b", "k_b", "a", "k_a", "n", "d", "label").agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("own"))
     at = own.select("b", "k_b", "a", "n", "d", "label", (F.col("d") - F.size("own")).alias("alone"), F.posexplode("own").alias("at", "x"))
     at = at.select("b", "k_b", "a", "n", "d", "label", F.col("x.e").alias("e"), (F.col("alone") + F.col("at")).alias("at")).where(p * F.col("at") <= (q - p) * F.col("n"))
-    at = stored(at, "prefixes")
+    at = stored(at, "prefixes", True)
     left = at.select("b", "k_b", "e", *[F.col(c).alias(f"{c}1") for c in ("a", "n", "d", "label", "at")])
     right = at.select("b", "k_b", "e", *[F.col(c).alias(f"{c}2") for c in ("a", "n", "d", "label", "at")])
     least = (q + p) * (F.col("d1") + F.col("d2")) - (q - p) * (F.col("n1") + F.col("n2"))  # 2 (q+p) t
