@@ -417,6 +417,7 @@ def deduplicated(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", te
         return pd.DataFrame(out, columns=["rep", "own", "n_removed", "n_spans", "kept_sha256"])
 
     done = blocks.groupBy("block").cogroup(given.groupBy("block")).applyInPandas(finish, "rep long, own string, n_removed long, n_spans long, kept_sha256 string")
+    done = done.dropDuplicates(["rep", "own"])  # rows that repeat an id and its text have one answer
     copy = (F.col("n") >= least) & (F.col("id") != F.col("first"))
     empty = hashlib.sha256(b"").hexdigest()
     return (
