@@ -7,7 +7,6 @@ documents of a host than the limits allow are removed, and documents that keep t
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +25,6 @@ LIMIT_SHARE = 0.01
 #: A document is depleted if less than this share of its words, or fewer than LEAST_WORDS, are on other lines.
 LEAST_SHARE = 0.5
 LEAST_WORDS = 10
-SALTS = 16
-NUMBER = re.compile(rb"[0-9]+")
 
 SCHEMA = (
     "rid long, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -78,12 +75,14 @@ def counts(text: str, hashes: Hashes) -> tuple[int, int, int, int, int]:
 
 
 def lines_of(text: str) -> dict[int, int]:
-    """Hash of each distinct normalised line (lowered, blanks squeezed, numbers alike) -> words on such lines."""
+    """Hash of each distinct normalised line (lowered, blanks squeezed, words that are numbers alike unless the line has no
+    other words) -> words on such lines."""
     out: dict[int, int] = {}
     for line in text.encode("utf-8", "surrogatepass").lower().split(b"\n"):
         words = line.split()
         if words:
-            h = xxhash.xxh3_64_intdigest(NUMBER.sub(b"0", b" ".join(words))) - (1 << 63)
+            plain = [b"0" if w.isdigit() else w for w in words]
+            h = xxhash.xxh3_64_intdigest(b" ".join(plain if any(w != b"0" for w in plain) else words)) - (1 << 63)
             out[h] = out.get(h, 0) + len(words)
     return out
 
@@ -118,25 +117,16 @@ def judged(
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_removed_words.
 
     Null and empty texts have no words and fail the base rule; null hosts are one host. A hot line costs each task one
-    partial count, and the join with the lines over the limits is salted, so a line that a third of all documents hold
-    stays spread. The measured table (no texts) is written to the shared folder and read twice.
+    partial count, and the join with the lines over the limits has nothing grouped by line above it, so Spark splits the
+    partition of a line that a third of all documents hold. The measured table (no texts) is written to the shared folder and read twice.
     """
     base = stored(measured(docs, host_col, id_col, text_col), "measured")
     own = base.select("rid", "host", "doc_id", F.explode("lines").alias("x")).select("rid", "host", "doc_id", "x.line", "x.words")
     once = own.groupBy("host", "line", "doc_id").agg(F.lit(1).alias("one"))  # rows with one id count once
     hosts = base.select("host", "doc_id").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     often = once.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > limit_docs)
-    over = (
-        often.join(hosts, "host")
-        .where(F.col("n") > limit_share * F.col("host_docs"))
-        .select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    removed = (
-        own.withColumn("salt", (F.col("rid") % SALTS).cast("int"))
-        .join(over, ["host", "line", "salt"])
-        .groupBy("rid")
-        .agg(F.sum("words").alias("gone"))
-    )
+    over = often.join(hosts, "host").where(F.col("n") > limit_share * F.col("host_docs")).select("host", "line")
+    removed = own.join(over, ["host", "line"]).groupBy("rid").agg(F.sum("words").alias("gone"))
     left = F.col("n_words") - F.coalesce("gone", F.lit(0))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     depleted = (left < LEAST_WORDS) | (left < least_share * F.col("n_words"))
