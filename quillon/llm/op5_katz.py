@@ -1,11 +1,14 @@
-"""Katz backoff scores: Good-Turing discounted counts of words and word pairs with exactly normalised backoff weights.
-
-Counts are exchanged in packed arrays. Documents become blocks of numbered words (a table). Blocks send their distinct
-words to buckets, which count them and answer with numbers and counts. Word pairs then go to the bucket of their first
-word, where everything that p(word | first word) needs is at hand: the pair's count, the first word's count, and the
-backoff weight from the discounted pairs and the words' own probabilities. Pairs of a first word that would crowd its
-bucket are dealt by the second word too; its sums are then put together from all buckets (there are few such words).
-A first pass over pairs gives the counts of counts, a second the scores.
+"""Katz backoff scores of any order: Good-Turing discounted n-gram counts with exactly normalised backoff weights.
+
+Documents become blocks of numbered words (a table); blocks send their distinct words to buckets, which count them and
+answer with numbers and counts. Then each block sends its distinct n-grams, with how often they occur in training, to the
+bucket of the word before the last. That one bucket holds every history that ends with this word, of every length, so
+p(w | h), its backoff weight and the shorter histories that it backs off to are all at hand, and the recursion needs no
+further exchange. The buckets' counts by order are a table in the shared folder (grams). Once its counts of counts are
+known, each bucket evaluates its n-grams and answers each block, which adds the logarithms up by document.
+
+A word that ends more histories than a bucket should hold is dealt by the word before it as well, over as many buckets
+as its count asks for; its pairs are then counted apart, by pair, and sent to all of these buckets.
 """
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import Hashes, dropped, lowered, mixed, pa_schema, pick, released, stored
 
+ORDER = 3  # words of the longest n-grams
 K = 5  # counts up to this one are discounted
-BLOCK = 2_000_000  # tokens of a block
-BUCKET = 2_000_000  # tokens' pairs of a bucket
-HOT = 4  # a first word with a bucket's tokens divided by this is dealt by the second word as well
+BLOCK = 500_000  # tokens of a block
+BUCKET = 1_000_000  # tokens of a bucket, and occurrences of a history's last word before it is dealt further
+UNKNOWN, START = 0, 1  # numbers of what is no word of the training documents
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 
 BLOCKS = (
@@ -94,17 +98,16 @@ class Unigrams:
     """Discounted probabilities of words by their counts; what is left is the one unknown word's."""
 
     def __init__(self, total: int, n: np.ndarray):
-        self.total, self.d = total, discounts(n)
-        small = sum(n[r] * r * (1 - self.d[r]) for r in range(1, K + 1))
-        self.unknown = min(1.0, small / total) if total else 1.0
-        if self.unknown <= 0:
-            raise ValueError("no mass is left for unknown words")
+        self.total, self.d, self.shrink = total, discounts(n), 1.0
+        self.unknown = sum(n[r] * r * (1 - self.d[r]) for r in range(1, K + 1)) / total if total else 1.0
+        if not self.unknown:  # no word is rare enough to be discounted: the unknown word gets half an occurrence
+            self.unknown, self.shrink = 0.5 / (total + 0.5), total / (total + 0.5)
 
     def p(self, count: np.ndarray) -> np.ndarray:
         if not self.total:
             return np.ones(len(count))
         c = count.astype(np.float64)
-        return np.where(count > 0, self.d[np.minimum(count, K + 1).astype(np.int64)] * c / self.total, self.unknown)
+        return np.where(count > 0, self.d[np.minimum(count, K + 1).astype(np.int64)] * c * (self.shrink / self.total), self.unknown)
 
 
 def counted(blocks: DataFrame, buckets: int) -> DataFrame:
@@ -145,26 +148,37 @@ def counted(blocks: DataFrame, buckets: int) -> DataFrame:
 CODED = "block long, docs binary, nulls binary, held binary, sizes binary, known binary, base binary, numbers binary, counts binary, tokens binary"
 
 
-def coded(blocks: DataFrame, told: DataFrame, total: int, vocabulary: int) -> DataFrame:
+def as_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def coded(blocks: DataFrame, told: DataFrame, total: int, vocabulary: int, ids: type, counts_type: type) -> DataFrame:
     """Blocks with the numbers and counts of their words, and each document's known tokens and base score."""
+    schema = pa_schema(CODED)
 
-    def put(key: tuple, own: pd.DataFrame, parts: pd.DataFrame) -> pd.DataFrame:
+    def put(own: pa.Table, parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("at")
+        numbers = np.frombuffer(b"".join(parts["numbers"].to_pylist()), np.uint64)
+        counts = np.frombuffer(b"".join(parts["counts"].to_pylist()), np.int64)
         rows = []
-        for r in own.itertuples():
-            parts = parts.sort_values("at")
-            numbers = np.frombuffer(b"".join(parts["numbers"]), np.uint64)
-            counts = np.frombuffer(b"".join(parts["counts"]), np.int64)
-            tokens, sizes = np.frombuffer(r.tokens, np.uint32), np.frombuffer(r.sizes, np.uint32)
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+        for r in own.to_pylist():
+            tokens, sizes = np.frombuffer(r["tokens"], np.uint32), np.frombuffer(r["sizes"], np.uint32)
+            starts = begins(sizes)
             base = np.log10((counts + 0.5) / (total + 0.5 * (vocabulary + 1)))[tokens]
             known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
-            rows.append((r.block, r.docs, r.nulls, r.held, r.sizes, known.tobytes(), np.add.reduceat(base, starts).tobytes(), numbers.tobytes(), counts.astype(np.uint32 if total < 1 << 32 else np.uint64).tobytes(), r.tokens))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in CODED.split(", ")])
+            rows.append((
+                r["block"], r["docs"], r["nulls"], r["held"], r["sizes"], known.tobytes(), np.add.reduceat(base, starts).tobytes(),
+                numbers.astype(ids).tobytes(), counts.astype(counts_type).tobytes(), r["tokens"],
+            ))
+        return as_table(rows, schema)
 
-    return blocks.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInPandas(put, CODED)
+    own = blocks.select("block", "docs", "nulls", "held", "sizes", "tokens")
+    return own.groupBy("block").cogroup(told.where("block >= 0").groupBy("block")).applyInArrow(put, CODED)
 
 
-PAIRS = "bucket int, block long, crowded boolean, data binary"
+def begins(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)[:-1]))
 
 
 def wrapped(*arrays: np.ndarray) -> bytes:
@@ -191,209 +205,343 @@ def runs(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
 
 
-def pairs_of(table: DataFrame, buckets: int, hot: int, ids: type, counts_type: type, training: bool) -> DataFrame:
-    """For each block and bucket: pairs, the second word's count, how often, and (second pass) the document in the block
-    times two, plus one if it is held out. Pairs after an unknown word are left to the block itself."""
-    schema = pa_schema(PAIRS)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                sizes, tokens = np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["tokens"], np.uint32)
-                numbers, counts = np.frombuffer(r["numbers"], np.uint64), np.frombuffer(r["counts"], counts_type)
-                held = np.frombuffer(r["held"], bool)
-                n = len(numbers)
-                doc = np.repeat(np.arange(len(sizes), dtype=np.uint32) * 2 + held, sizes)
-                before = np.empty(len(tokens), np.int64)
-                before[1:] = tokens[:-1]
-                before[np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)] = n  # the start, a word of its own
-                first = np.append(numbers, np.uint64(1))[before]
-                fine = first > 0
-                if training:
-                    fine &= doc % 2 == 0
-                key = before[fine] * n + tokens[fine]
-                if training:
-                    own, times = np.unique(key, return_counts=True)
-                    docs = np.zeros(0, np.uint32)
-                else:
-                    docs = doc[fine]
-                    order = np.lexsort((docs, key))
-                    key, docs = key[order], docs[order]
-                    new = np.ones(len(key), bool)
-                    new[1:] = (key[1:] != key[:-1]) | (docs[1:] != docs[:-1])
-                    at = np.flatnonzero(new)
-                    own, docs, times = key[at], docs[at], np.diff(np.append(at, len(key)))
-                a, b = own // n, own % n
-                first, second, count = np.append(numbers, np.uint64(1))[a], numbers[b], counts[b]
-                crowded = np.append(counts > hot, True)[a]
-                bucket = (mixed(np.where(crowded, first * np.uint64(31) + second, first)) % np.uint64(buckets)).astype(np.int32)
-                place = bucket * 2 + crowded
-                order = np.argsort(place, kind="stable")
-                edges = np.searchsorted(place[order], np.arange(2 * buckets + 1))
-                for some in range(0, 2 * buckets, 64):
-                    rows = []
-                    for k in range(some, min(2 * buckets, some + 64)):
-                        o = order[edges[k] : edges[k + 1]]
-                        if len(o):
-                            pair = runs(own[o])  # each pair once, each first word once
-                            p = o[pair]
-                            f = runs(first[p])
-                            rows.append((k // 2, r["block"], bool(k % 2), wrapped(
-                                first[p[f]].astype(ids), lengths(f, len(p)), second[p].astype(ids), count[p], lengths(pair, len(o)),
-                                docs if training else docs[o], times[o].astype(np.uint32),
-                            )))
-                    if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    return table.select("block", "sizes", "held", "numbers", "counts", "tokens").mapInArrow(send, PAIRS)
-
-
 def lengths(starts: np.ndarray, total: int) -> np.ndarray:
     return np.diff(np.append(starts, total)).astype(np.uint32)
 
 
-class Pairs:
-    """A bucket's distinct pairs by first word, and for each entry its pair and times."""
-
-    def __init__(self, group: pd.DataFrame, ids: type, counts_type: type):
-        parts = [unwrapped(x, ids, np.uint32, ids, counts_type, np.uint32, np.uint32, np.uint32) for x in group["data"]]
-        joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        first, second, count = np.repeat(joined[0], joined[1]), joined[2], joined[3]
-        self.docs, self.times = joined[5], joined[6]
-        self.sizes = np.cumsum([0, *[len(p[6]) for p in parts]])  # entries of each row of the group
-        crowded = np.repeat(group["crowded"].to_numpy(bool), [len(p[2]) for p in parts])
-        order = np.lexsort((second, first))
-        f, s = first[order], second[order]
-        new = np.append(True, (f[1:] != f[:-1]) | (s[1:] != s[:-1]))
-        pair = np.empty(len(order), np.int64)
-        pair[order] = np.cumsum(new) - 1
-        self.pair = np.repeat(pair, joined[4])
+class Plan:
+    """What decides the bucket of an n-gram; the same for all blocks."""
+
+    def __init__(self, order: int, buckets: int, most: int, ids: type, counts_type: type):
+        self.order, self.buckets, self.most, self.ids, self.counts_type = order, buckets, most, ids, counts_type
+
+    def places(self, last: np.ndarray, often: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Buckets of histories by their last word and its count; a frequent one's also by the word before it."""
+        sub = mixed(before.astype(np.uint64) + np.uint64(0x51ED)) % (1 + often.astype(np.uint64) // np.uint64(self.most))
+        return (mixed(last.astype(np.uint64) * np.uint64(31) + sub) % np.uint64(self.buckets)).astype(np.int32)
+
+
+class Grams:
+    """A block's distinct n-grams after known words, in the order of their buckets."""
+
+    def __init__(self, r: dict, plan: Plan):
+        sizes, tokens = np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["tokens"], np.uint32).astype(np.int64)
+        self.counts = np.frombuffer(r["counts"], plan.counts_type)
+        numbers = np.frombuffer(r["numbers"], plan.ids)
+        held = np.frombuffer(r["held"], bool)
+        self.starts, self.tokens, n = begins(sizes), tokens, len(numbers)
+        self.ids = np.append(numbers, plan.ids(START))
+        often = np.append(self.counts, self.counts[tokens[sizes[0] - 1]])  # a document starts as often as it ends
+        columns = [tokens]  # the word, then the words before it from the nearest on; n stands before a document's first
+        for _ in range(plan.order - 1):
+            h = np.empty_like(tokens)
+            h[1:] = columns[-1][:-1]
+            h[self.starts] = n
+            columns.append(h)
+        self.asked = np.flatnonzero(self.ids[columns[1]] > 0)
+        columns = [c[self.asked] for c in columns]
+        key = columns[1] * (n + 1) + columns[0]
+        for c in columns[2:]:
+            if int(key.max(initial=0)) >= (1 << 62) // (n + 1):
+                key = np.unique(key, return_inverse=True)[1]
+            key = key * (n + 1) + c
+        order = np.argsort(key)
+        new = runs(key[order])
+        which = np.empty(len(key), np.int64)
+        which[order] = np.repeat(np.arange(len(new)), lengths(new, len(key)))
         at = order[new]
-        self.first, self.count, self.crowded = first[at], count[at], crowded[at]
-        self.start = np.flatnonzero(np.append(True, self.first[1:] != self.first[:-1]))
-        self.word = np.repeat(np.arange(len(self.start)), np.diff(np.append(self.start, len(at))))
+        local = [c[at] for c in columns]
+        train = np.repeat(~held, sizes)[self.asked]
+        times = np.bincount(which, train, len(at)).astype(np.uint32)
+        self.often = often[local[1]]
+        split = local[2] if plan.order > 2 else local[0]
+        place = plan.places(self.ids[local[1]], self.often, self.ids[split])
+        dealt = np.argsort(place, kind="stable")
+        self.buckets, self.edges = np.unique(place[dealt], return_index=True)
+        self.edges = np.append(self.edges, len(dealt))
+        back = np.empty(len(dealt), np.int64)
+        back[dealt] = np.arange(len(dealt))
+        self.which = back[which]  # of each asked token
+        self.local, self.times, self.often = [c[dealt] for c in local], times[dealt], self.often[dealt]
+
+
+MESSAGE = "bucket int, block long, data binary"
+
+
+def sent(table: DataFrame, plan: Plan) -> DataFrame:
+    """For each block and bucket: last words of histories, words after them with their counts, the words before them
+    from the second on, and how often each n-gram is in training."""
+    schema = pa_schema(MESSAGE)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                g = Grams(r, plan)
+                for some in range(0, len(g.buckets), 64):
+                    rows = []
+                    for b, lo, hi in zip(g.buckets[some : some + 64].tolist(), g.edges[some:].tolist(), g.edges[some + 1 :].tolist(), strict=False):
+                        w, v, *more = [c[lo:hi] for c in g.local]
+                        pair = runs(v * (len(g.ids) + 1) + w)
+                        first = runs(v[pair])
+                        rows.append((b, r["block"], wrapped(
+                            g.ids[v[pair[first]]], (g.often[lo:hi][pair[first]] >= plan.most).view(np.uint8), lengths(first, len(pair)),
+                            g.ids[w[pair]], np.append(g.counts, 0)[w[pair]].astype(plan.counts_type), lengths(pair, hi - lo),
+                            g.times[lo:hi], *[g.ids[c] for c in more],
+                        )))
+                    yield from as_table(rows, schema).to_batches()
 
-    def sums(self, c: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """For each first word, from its pairs seen in training: occurrences, pairs seen r times (r = 1 to K), and the
-        probability that the words alone give to what was seen after it."""
-        parts = [c, *[c == r for r in range(1, K + 1)], np.where(c > 0, p, 0.0)]
-        return np.stack([np.add.reduceat(x.astype(np.float64), self.start) for x in parts])
+    return table.select("block", "sizes", "held", "numbers", "counts", "tokens").mapInArrow(send, MESSAGE)
 
 
-def backoff(sums: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """Weights that make the seen and the unseen words' probabilities after a first word add up to 1."""
+def frequent(table: DataFrame, plan: Plan, words: Unigrams) -> tuple[DataFrame, DataFrame]:
+    """Counts of the pairs that begin with a word dealt over several buckets, and the sums of each such word: rows
+    (bucket, first, second, n, sums) for every bucket that holds some of its histories; and counts of their counts."""
+    schema = pa_schema("first long, second long, p double, n long")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                if not (np.frombuffer(r["counts"], plan.counts_type) >= plan.most).any():
+                    continue
+                g = Grams(r, plan)
+                mine = np.flatnonzero((g.often >= plan.most) & (g.times > 0))
+                key, times = g.local[1][mine] * (len(g.ids) + 1) + g.local[0][mine], g.times[mine]
+                own, where = np.unique(key, return_inverse=True)
+                v, w = np.divmod(own, len(g.ids) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (g.ids[v].astype(np.int64), g.ids[w].astype(np.int64), words.p(g.counts[w]), np.bincount(where, times, len(own)).astype(np.int64))], schema=schema
+                )
+
+    pairs = table.select("block", "sizes", "held", "numbers", "counts", "tokens").mapInArrow(send, "first long, second long, p double, n long")
+    pairs = stored(pairs.groupBy("first", "second").agg(F.first("p").alias("p"), F.sum("n").alias("n")), "pairs", True)
+    names = [F.sum("n").cast("double"), *[F.count_if(F.col("n") == r).cast("double") for r in range(1, K + 1)], F.sum("p")]
+    sums = pairs.groupBy("first").agg(F.array(*names).alias("sums"))
+    every = pairs.select("first", "second", "n", F.lit(None).cast("array<double>").alias("sums")).unionByName(sums.selectExpr("first", "0L second", "cast(sums[0] as long) n", "sums"))
+    wide = every.join(sums.selectExpr("first", "cast(sums[0] as long) total"), "first")
+    places = "bucket int, first long, second long, n long, sums array<double>"
+    out = pa_schema(places)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("total").to_numpy()
+            times = 1 + total // plan.most
+            at = np.repeat(np.arange(len(times)), times)
+            sub = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+            first = batch.column("first").to_numpy()[at].astype(np.uint64)
+            bucket = (mixed(first * np.uint64(31) + sub.astype(np.uint64)) % np.uint64(plan.buckets)).astype(np.int32)
+            rest = [batch.column(c).take(pa.array(at)) for c in ("first", "second", "n", "sums")]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), *rest], schema=out)
+
+    return wide.select("first", "second", "n", "sums", "total").mapInArrow(spread, places), pairs
+
+
+GRAMS = "bucket int, grams binary, frequent binary, blocks binary, sizes binary, at binary, stats array<long>"
+
+
+def gathered(messages: DataFrame, wide: DataFrame, plan: Plan) -> DataFrame:
+    """One row for each bucket: its distinct n-grams with their counts, the pairs of frequent words that it may need,
+    for each block which n-grams it asks for, and counts of counts for each order from two on."""
+    schema = pa_schema(GRAMS)
+    types = [plan.ids, np.uint8, np.uint32, plan.ids, plan.counts_type, np.uint32, np.uint32, *[plan.ids] * (plan.order - 2)]
+
+    def gather(asked: pa.Table, often: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return as_table([], schema)
+        parts = [unwrapped(x.as_py(), *types) for x in asked["data"]]
+        sizes = np.array([len(x[6]) for x in parts], np.int64)
+        first, flag, n_first, second, count, n_pair, times, *more = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        del parts
+        first, flag = np.repeat(first, n_first), np.repeat(flag, n_first)
+        first, flag, second, count = (np.repeat(x, n_pair) for x in (first, flag, second, count))
+        columns = [first, second, *more]
+        order = sorting(columns)
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for c in columns:
+            x = c[order]
+            new[1:] |= x[1:] != x[:-1]
+        at = np.empty(len(order), np.uint32)
+        at[order] = np.cumsum(new) - 1
+        begin = np.flatnonzero(new)
+        total = np.add.reduceat(times[order].astype(np.int64), begin)
+        one = order[begin]
+        columns = [c[one] for c in columns]
+        stats, flag = [], flag[one]
+        for k in range(2, plan.order + 1):
+            c = total if k == plan.order else np.add.reduceat(total, changes(columns[:k]))
+            if k == 2:
+                c = c[flag[changes(columns[:2])] == 0]
+            stats += [int(np.count_nonzero(c == r)) for r in range(K + 2)]
+        f = often["first"].to_numpy(), often["second"].to_numpy(), often["n"].to_numpy()
+        sums = np.array([x for x in often["sums"].to_pylist() if x is not None], np.float64).reshape(-1, K + 2)
+        is_sum = np.array([x is not None for x in often["sums"].to_pylist()], np.uint8)
+        row = (
+            asked["bucket"][0].as_py(), wrapped(columns[0], flag, columns[1], count[one], total.astype(np.uint64), *columns[2:]),
+            wrapped(*f, is_sum, sums.ravel()), asked["block"].to_numpy().tobytes(), sizes.tobytes(), wrapped(at), stats,
+        )
+        return as_table([row], schema)
+
+    return messages.groupBy("bucket").cogroup(wide.groupBy("bucket")).applyInArrow(gather, GRAMS)
+
+
+def sorting(columns: list[np.ndarray]) -> np.ndarray:
+    """An order by the columns, the first one first."""
+    bits = [int(c.max(initial=0)).bit_length() for c in columns]
+    if sum(bits) > 64:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c, b in zip(columns, bits, strict=True):
+        key = (key << np.uint64(b)) | c.astype(np.uint64)
+    return np.argsort(key)
+
+
+def changes(columns: list[np.ndarray]) -> np.ndarray:
+    """Starts of runs of rows that are equal in all columns."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = False
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def sums_of(count: np.ndarray, lower: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """For each history, from what is seen after it in training: occurrences, words seen r times (r = 1 to K), and the
+    probability that the shorter history gives to the words seen."""
+    parts = [count, *[count == r for r in range(1, K + 1)], np.where(count > 0, lower, 0.0)]
+    return np.stack([np.bincount(group, x, n) for x in parts])
+
+
+def backoff(sums: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights that make the seen and the unseen words' probabilities after a history add up to 1, and what the seen
+    ones are multiplied by: where nothing was discounted, for all was seen often, half an occurrence is set aside."""
     total, mass = sums[0], sums[-1]
     left = sum(sums[r] * r * (1 - d[r]) for r in range(1, K + 1))
     with np.errstate(all="ignore"):
-        # with no pair seen a few times nothing was discounted: then the unseen words get half an occurrence
         weight = np.where(left > 0, left / total, 0.5 / (total + 0.5)) / (1 - mass)
-    return np.where(total > 0, weight, 1.0)
+        shrink = np.where(left > 0, 1.0, total / (total + 0.5))
+    return np.where(total > 0, weight, 1.0), shrink
+
+
+def evaluated(row: dict, plan: Plan, words: Unigrams, d: list[np.ndarray]) -> np.ndarray:
+    """log10 of the probability of each n-gram of a bucket, by recursion over the length of its history."""
+    types = [plan.ids, np.uint8, plan.ids, plan.counts_type, np.uint64, *[plan.ids] * (plan.order - 2)]
+    first, flag, second, count, total, *more = unwrapped(row["grams"], *types)
+    f_first, f_second, f_n, is_sum, f_sums = unwrapped(row["frequent"], np.int64, np.int64, np.int64, np.uint8, np.float64)
+    columns, lower = [first, second, *more], words.p(count)
+    for k in range(2, plan.order + 1):
+        begin = changes(columns[:k])  # distinct n-grams of k words
+        c = np.add.reduceat(total.astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+        history = [columns[j][begin] for j in range(k) if j != 1]
+        if k == 2:
+            group = np.cumsum(np.append(True, history[0][1:] != history[0][:-1])) - 1 if len(begin) else begin
+            mine = np.flatnonzero(flag[begin] > 0)
+            if len(mine):  # pairs of a word that is dealt over several buckets
+                pair = is_sum == 0
+                known = pd.Series(f_n[pair], pd.MultiIndex.from_arrays([f_first[pair], f_second[pair]]))
+                known = known[~known.index.duplicated()]
+                asked = pd.MultiIndex.from_arrays([first[begin][mine].astype(np.int64), second[begin][mine].astype(np.int64)])
+                c[mine] = known.reindex(asked, fill_value=0).to_numpy()
+        else:
+            order = sorting(history)
+            group = np.empty(len(order), np.int64)
+            x = np.zeros(len(order), np.int64)
+            x[changes([h[order] for h in history])[1:]] = 1
+            group[order] = np.cumsum(x)
+        n = int(group.max(initial=-1)) + 1
+        sums = sums_of(c, lower[begin], group, n)
+        if k == 2 and len(mine):
+            given = pd.DataFrame(f_sums.reshape(-1, K + 2), index=f_first[is_sum > 0])
+            given = given[~given.index.duplicated()].reindex(first[begin][mine].astype(np.int64), fill_value=0.0)
+            sums[:, group[mine]] = given.to_numpy().T
+        weight, shrink = backoff(sums, d[k])
+        with np.errstate(all="ignore"):
+            seen = d[k][np.minimum(c, K + 1)] * c * shrink[group] / sums[0][group]
+        p = np.where(c > 0, seen, weight[group] * lower[begin])
+        lower = np.repeat(p, lengths(begin, len(first)))
+    return np.log10(lower)
 
 
-def shrunk(sums: np.ndarray, d: np.ndarray) -> np.ndarray:
-    """What seen probabilities are multiplied by where backoff() takes half an occurrence."""
-    left = sum(sums[r] * r * (1 - d[r]) for r in range(1, K + 1))
-    return np.where(left > 0, 1.0, sums[0] / (sums[0] + 0.5))
+def answered(grams: DataFrame, plan: Plan, words: Unigrams, d: list[np.ndarray]) -> DataFrame:
+    """For each bucket and block: the logarithms for the n-grams that the block asked for, in its order."""
+    out = pa_schema("block long, bucket int, value binary")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                value, (at,) = evaluated(r, plan, words, d), unwrapped(r["at"], np.uint32)
+                edges = np.cumsum([0, *np.frombuffer(r["sizes"], np.int64)])
+                rows = [
+                    (b, r["bucket"], wrapped(value[at[lo:hi]]))
+                    for b, lo, hi in zip(np.frombuffer(r["blocks"], np.int64).tolist(), edges, edges[1:], strict=False)
+                ]
+                yield from as_table(rows, out).to_batches()
+
+    return grams.select("bucket", "grams", "frequent", "blocks", "sizes", "at").mapInArrow(answer, "block long, bucket int, value binary")
 
 
-def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scored(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row.
 
     Null and empty texts have the end token alone. Rows with crc32(id as text) mod 5 = 1 are held out of training; a
-    null id counts as an empty text. Without training rows every token is unknown with probability 1. Three tables in
-    the shared folder carry the work from step to step; each is deleted once the next is written.
+    null id counts as an empty text. Without training rows every token is unknown with probability 1. Before a document's
+    first word stands a start symbol as often as the order asks for; a history with an unknown word was never seen, so it
+    backs off with weight 1. Tables in the shared folder carry the work from step to step.
     """
+    if order < 2:
+        raise ValueError("the order is 2 at least")
     spark = docs.sparkSession
     blocks = stored(blocked(pick(docs, id_col, text_col)), "blocks")
     size = blocks.agg(F.sum("n_keys").alias("keys"), F.sum("n_all").alias("tokens")).first()
-    buckets = max(16, (size.tokens or 0) // BUCKET)
     key_buckets = max(16, (size.keys or 0) // 500_000)
     told = stored(counted(blocks, key_buckets), "told")
-    released(spark)
     of = np.zeros(K + 3, np.int64)
-    for row in told.where("block < 0").select("numbers").toLocalIterator():
+    for row in told.where("block < 0").select("numbers").toLocalIterator():  # a few numbers for each bucket of words
         of += np.frombuffer(row.numbers, np.int64)
     vocabulary, total = int(of[0]), int(of[1])
     words = Unigrams(total, np.concatenate(([0], of[2:])).astype(float))
-    ids = np.uint32 if vocabulary * 2 + key_buckets * 4 < 1 << 32 else np.uint64
+    ids = np.uint32 if (vocabulary + key_buckets) * 4 < 1 << 32 else np.uint64
     counts_type = np.uint32 if total < 1 << 32 else np.uint64
-    table = stored(coded(blocks, told, total, vocabulary), "coded")
-    released(spark)
+    table = stored(coded(blocks, told, total, vocabulary, ids, counts_type), "coded")
     dropped(blocks)
     dropped(told)
-    hot = max(1, (size.tokens or 0) // buckets // HOT)
-
-
-    # first pass: counts of counts, and the sums of crowded first words from all buckets
-    names = [f"s{k}" for k in range(K + 2)]
-    survey_schema = "first long, " + ", ".join(f"{n} double" for n in names)
-
-    def survey(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        own = Pairs(group, ids, counts_type)
-        c = np.bincount(own.pair, own.times, len(own.first)).astype(np.int64)
-        rows = [(-1, *[float(np.count_nonzero(c == r)) for r in range(K + 2)])]
-        sums = own.sums(c, words.p(own.count))
-        rows += [(int(own.first[own.start[k]]), *sums[:, k]) for k in np.flatnonzero(own.crowded[own.start])]
-        return pd.DataFrame(rows, columns=["first", *names])
-
-    surveyed = (
-        pairs_of(table, buckets, hot, ids, counts_type, True)
-        .groupBy("bucket").applyInPandas(survey, survey_schema)
-        .groupBy("first").agg(*[F.sum(n).alias(n) for n in names])
-    )
-    # one row for the counts of counts and one for each crowded word: at most HOT of them for each bucket
-    rows = {r["first"]: np.array([r[n] for n in names]) for r in surveyed.toLocalIterator()}
-    d = discounts(rows.pop(-1, np.zeros(K + 2)))
-    crowded = {k: (float(backoff(v, d)), float(v[0]), float(shrunk(v, d))) for k, v in rows.items()}
-    held = spark.sparkContext.broadcast(crowded)
-    del surveyed, rows  # a frame that was run itself keeps its shuffle files as long as it lives
     released(spark)
 
-    # second pass: the pairs' share of each document's score
-    def judge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        own = Pairs(group, ids, counts_type)
-        docs = own.docs
-        c = np.bincount(own.pair, np.where(docs % 2 == 0, own.times, 0), len(own.first)).astype(np.int64)
-        p = words.p(own.count)
-        sums = own.sums(c, p)
-        weight, total, shrink = backoff(sums, d), sums[0], shrunk(sums, d)
-        for k in np.flatnonzero(own.crowded[own.start]):
-            weight[k], total[k], shrink[k] = held.value.get(int(own.first[own.start[k]]), (1.0, 0.0, 1.0))
-        with np.errstate(all="ignore"):
-            seen = np.log10(d[np.minimum(c, K + 1)] * c * shrink[own.word] / total[own.word])
-        value = np.where(c > 0, seen, np.log10(weight[own.word]) + np.log10(p))[own.pair] * own.times
-        rows = []
-        for block, a, b in zip(group["block"], own.sizes, own.sizes[1:], strict=False):
-            at, where = np.unique(docs[a:b] // 2, return_inverse=True)
-            rows.append((block, at.astype(np.uint32).tobytes(), np.bincount(where, value[a:b], len(at)).tobytes()))
-        return pd.DataFrame(rows, columns=["block", "at", "value"])
+    plan = Plan(order, max(16, (size.tokens or 0) // BUCKET), BUCKET, ids, counts_type)
+    wide, pairs = frequent(table, plan, words)
+    grams = stored(gathered(sent(table, plan), wide, plan), "grams")
+    released(spark)
+    n = np.zeros((order - 1, K + 2))
+    for row in grams.select("stats").toLocalIterator():  # a few numbers for each bucket
+        n += np.array(row.stats, float).reshape(order - 1, K + 2)
+    n[0] += np.array(pairs.agg(*[F.count_if(F.col("n") == r) for r in range(K + 2)]).first(), float)
+    d = [np.zeros(0), np.zeros(0), *map(discounts, n)]
+    answers = answered(grams, plan, words, d)
+    schema = pa_schema(SCORES)
+
+    def finish(own: pa.Table, given: pa.Table) -> pa.Table:
+        frames = []
+        for r in own.to_pylist():
+            g = Grams(r, plan)
+            value = np.zeros(len(g.times))
+            for b, x in zip(given["bucket"].to_pylist(), given["value"], strict=True):
+                k = int(np.searchsorted(g.buckets, b))
+                value[g.edges[k] : g.edges[k + 1]] = unwrapped(x.as_py(), np.float64)[0]
+            each = np.log10(words.p(g.counts))[g.tokens]  # after an unknown word there is nothing to back off from
+            each[g.asked] = value[g.which]
+            sizes = np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
+            columns = [
+                pa.array(np.frombuffer(r["docs"], np.int64), mask=np.frombuffer(r["nulls"], bool)), pa.array(np.frombuffer(r["held"], bool)),
+                pa.array(sizes), pa.array(np.frombuffer(r["known"], np.int64)), pa.array(np.full(len(sizes), total, np.int64)),
+                pa.array(np.frombuffer(r["base"], np.float64)), pa.array(np.add.reduceat(each, g.starts)),
+            ]
+            frames.append(pa.Table.from_arrays(columns, schema=schema))
+        return pa.concat_tables(frames) if frames else schema.empty_table()
 
-    parts = (
-        pairs_of(table, buckets, hot, ids, counts_type, False)
-        .groupBy("bucket").applyInPandas(judge, "block long, at binary, value binary")
-    )
+    return table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORES)
 
-    def finish(key: tuple, own: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
-        frames = []
-        for r in own.itertuples():
-            sizes, tokens = np.frombuffer(r.sizes, np.uint32), np.frombuffer(r.tokens, np.uint32)
-            numbers, counts = np.frombuffer(r.numbers, np.uint64), np.frombuffer(r.counts, counts_type)
-            starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-            # after an unknown word there is nothing to back off from
-            free = np.append(False, numbers[tokens[:-1]] == 0)
-            free[starts] = False
-            score = np.add.reduceat(np.where(free, np.log10(words.p(counts))[tokens], 0.0), starts)
-            for at, value in zip(given["at"], given["value"], strict=True):
-                score[np.frombuffer(at, np.uint32)] += np.frombuffer(value, np.float64)
-            ids_of = pd.array(np.frombuffer(r.docs, np.int64), "Int64")
-            ids_of[np.frombuffer(r.nulls, bool)] = pd.NA
-            frames.append(pd.DataFrame({
-                "doc_id": ids_of, "held_out": np.frombuffer(r.held, bool), "n_tokens": sizes.astype(np.int64),
-                "n_known": np.frombuffer(r.known, np.int64), "train_tokens": np.int64(total),
-                "base_score": np.frombuffer(r.base, np.float64), "score": score,
-            }))
-        return pd.concat(frames) if frames else pd.DataFrame()
-
-    return table.groupBy("block").cogroup(parts.groupBy("block")).applyInPandas(
-        finish, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
+
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

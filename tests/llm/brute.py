@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -99,3 +101,57 @@ def repeated_lines(docs: list[tuple[int, str | None]], least: int = 50) -> dict[
         if first[run] < (i, a):
             out[i].update(range(a, b))
     return {i: sorted(x) for i, x in out.items()}
+
+
+class Katz:
+    """Backoff with dictionaries: Good-Turing discounts for counts up to 5, half an occurrence where nothing is discounted."""
+
+    def __init__(self, docs: list[tuple[int, str | None]], order: int, most: int = 5):
+        self.order, self.most = order, most
+        self.one: Counter = Counter()
+        self.seen: dict[int, dict[tuple, Counter]] = {n: defaultdict(Counter) for n in range(2, order + 1)}
+        for i, text in docs:
+            if zlib.crc32(str(i).encode()) % 5 != 1:
+                for h, w in self.steps(text):
+                    self.one[w] += 1
+                    for n in self.seen:
+                        self.seen[n][h[order - n :]][w] += 1
+        self.d = {1: self.discounts(self.one.values())}
+        for n, own in self.seen.items():
+            self.d[n] = self.discounts(c for h in own.values() for c in h.values())
+        self.total = sum(self.one.values())
+        self.unknown = 1 - sum(self.d[1].get(c, 1) * c for c in self.one.values()) / self.total
+        self.known: dict[tuple, tuple] = {}
+
+    def steps(self, text: str | None):
+        padded = ["<s>"] * (self.order - 1) + [*words(text), "\n"]
+        for j in range(self.order - 1, len(padded)):
+            yield tuple(padded[j - self.order + 1 : j]), padded[j]
+
+    def discounts(self, counts) -> dict[int, float]:
+        n, k, out = Counter(counts), self.most, {}
+        common = (k + 1) * n[k + 1] / n[1] if n[1] else 1
+        for r in range(1, k + 1):
+            x = ((r + 1) * n[r + 1] / (r * n[r]) - common) / (1 - common) if n[r] and common < 1 else 0
+            out[r] = x if 0 < x < 1 else (r - 0.5) / r
+        return out
+
+    def p(self, h: tuple, w: str | None) -> float:
+        if not h:
+            return self.d[1].get(self.one[w], 1) * self.one[w] / self.total if self.one[w] else self.unknown
+        n = len(h) + 1
+        if h not in self.seen[n]:
+            return self.p(h[1:], w)
+        if h not in self.known:
+            own = self.seen[n][h]
+            c = sum(own.values())
+            given = {x: self.d[n].get(v, 1) * v / c for x, v in own.items()}
+            left = 1 - sum(given.values())
+            if left < 1e-12:
+                given, left = {x: v * c / (c + 0.5) for x, v in given.items()}, 0.5 / (c + 0.5)
+            self.known[h] = given, left / (1 - sum(self.p(h[1:], x) for x in own))
+        given, weight = self.known[h]
+        return given[w] if w in given else weight * self.p(h[1:], w)
+
+    def score(self, text: str | None) -> float:
+        return sum(math.log10(self.p(h, w)) for h, w in self.steps(text))

@@ -98,7 +98,7 @@ def test_lines(spark, docs, rows):
 
 def test_katz(docs, rows):
     """The same probabilities from dictionaries; after each word they add up to 1."""
-    got = {r.doc_id: r for r in op5_katz.scored(docs).collect()}
+    got = {r.doc_id: r for r in op5_katz.scored(docs, order=2).collect()}
     words = {i: [*brute.words(t), "\n"] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in words}
     one, two = Counter(), defaultdict(Counter)
@@ -141,12 +141,24 @@ def test_katz(docs, rows):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.n_known == sum(x in one for x in w)
 
 
-def test_crowded_first_words(docs, monkeypatch):
-    """Dealing frequent first words by the second word as well changes nothing."""
-    want = {r.doc_id: r.score for r in op5_katz.scored(docs).collect()}
-    monkeypatch.setattr(op5_katz, "HOT", 400)
+@pytest.mark.parametrize("order", [3, 4])
+def test_katz_of_higher_orders(docs, rows, order):
+    """The recursion over dictionaries gives the same scores; after a hundred histories of each length they add up to 1."""
+    model = brute.Katz(rows, order)
+    got = {r.doc_id: r.score for r in op5_katz.scored(docs, order).collect()}
+    assert all(math.isclose(got[i], model.score(t), rel_tol=1e-9) for i, t in rows)
+    rng = random.Random(3)
+    for n in range(1, order):
+        for h in rng.sample(sorted(model.seen[n + 1]), 100):
+            assert math.isclose(sum(model.p(h, w) for w in model.one) + model.p(h, None), 1)
+
+
+def test_crowded_last_words_of_histories(docs, rows, monkeypatch):
+    """Dealing the histories of frequent words by the word before as well changes nothing."""
+    monkeypatch.setattr(op5_katz, "BUCKET", 400)
+    model = brute.Katz(rows, 3)
     got = {r.doc_id: r.score for r in op5_katz.scored(docs).collect()}
-    assert all(math.isclose(got[i], want[i], rel_tol=1e-9) for i in want)
+    assert all(math.isclose(got[i], model.score(t), rel_tol=1e-9) for i, t in rows)
 
 
 def test_quality(docs, rows):
