@@ -2,13 +2,14 @@
 
 A word is the bag of its own hash and those of its character n-grams with word edges, so a misspelling that was never
 seen shares most of its vectors with the words that were. A document is the average over its distinct words' subwords.
-The model is linear after the average: once trained, every bucket has one number (its vector times the difference of the
-softmax's columns), so a text's score needs one look-up for each word, however long it is.
+The model is linear after the average: once trained, every vector is one number (times the difference of the softmax's
+columns), so a text's score needs one look-up for each word, however long it is.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -19,16 +20,17 @@ from pyspark.sql import functions as F
 from .common import lowered, mapped, pick
 
 #: The model is fitted on a bounded sample of the labelled rows: so many, in the order of a hash of their ids, none with
-#: a text of more than TRAIN_CHARS characters.
+#: a text of more than TRAIN_CHARS characters, and no more rows once TRAIN_TOTAL characters are reached.
 TRAIN_DOCS = 8000
 TRAIN_CHARS = 200_000
+TRAIN_TOTAL = 50_000_000
 GRAMS = (3, 4, 5, 6)
-#: A subword has a vector if its words' counts of texts add up to this share of the sample, two at least.
-LEAST_SHARE = 0.006
-WIDTH = 8
-RATE = 1.0
-EXAMPLES = 64_000  # that training sees: the sample in several rounds, more of them if it is small
-SCALE = np.float32(40)  # of averages before the softmax
+BITS = 18  # subwords share 2 to this power vectors, by hash
+LEAST = 2  # texts of the sample, counted by word, that a vector needs; a subword of one text alone tells nothing of others
+WIDTH = 16
+RATE = 0.1
+EXAMPLES = 25_000  # that training sees: the sample in several rounds, more of them if it is small
+SCALE = np.float32(300)  # of averages before the softmax: a few words among hundreds must be able to decide
 MARKS = b".,;:!?\"'()[]{}|#*$%&<>-"
 LONGEST = 48  # bytes of a word that subwords are taken from; longer words are cut into pieces of this size
 
@@ -38,12 +40,12 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def subwords(word: bytes) -> set[str]:
-    """The word with its edges and its character n-grams."""
+def subwords(word: bytes, bits: int = BITS) -> np.ndarray:
+    """Places of the vectors of the word with its edges and of its character n-grams."""
     whole = f"<{word.decode('utf-8', 'replace')}>"
-    out = {whole[i : i + n] for n in GRAMS for i in range(len(whole) - n + 1)}
-    out.add(whole)
-    return out
+    grams = {whole[i : i + n] for n in GRAMS for i in range(len(whole) - n + 1)}
+    grams.add(whole)
+    return np.array(sorted({crc32(g.encode("utf-8", "replace")) & ((1 << bits) - 1) for g in grams}), np.int32)
 
 
 def words(text: str | None) -> set[bytes]:
@@ -60,94 +62,106 @@ def words(text: str | None) -> set[bytes]:
 
 
 class Model:
-    """Vectors of subwords and a two-column softmax over their average, trained by mini-batches."""
+    """Vectors of subwords and a two-column softmax over their average, trained by mini-batches with adaptive steps."""
 
-    def __init__(self, texts: list[str], labels: list[int], width: int = WIDTH, examples: int | None = None, seed: int = 1):
-        least = max(2, round(LEAST_SHARE * len(texts)))
+    def __init__(self, texts: Iterable[str], labels: list[int], width: int = WIDTH, bits: int = BITS, examples: int = EXAMPLES, seed: int = 1):
         number: dict[bytes, int] = {}
-        docs = [np.array([number.setdefault(w, len(number)) for w in sorted(words(t))], np.int64) for t in texts]
-        often = np.zeros(len(number), np.int64)  # documents of each word
-        for d in docs:
-            often[d] += 1
-        # a first count by hash leaves few enough subwords for an exact one
-        rough = np.zeros(1 << 22, np.int64)
-        slots = [np.array([crc32(g.encode("utf-8", "replace")) & 0x3FFFFF for g in subwords(w)], np.int32) for w in number]
-        for k, own in enumerate(slots):
-            rough[own] += often[k]
-        count: dict[str, int] = {}
-        for k, (w, own) in enumerate(zip(number, slots, strict=True)):
-            if (rough[own] >= least).any():
-                n = int(often[k])
-                for g in subwords(w):
-                    if rough[crc32(g.encode("utf-8", "replace")) & 0x3FFFFF] >= least:
-                        count[g] = count.get(g, 0) + n
-        del slots
-        self.place = {g: i for i, g in enumerate(sorted(g for g, n in count.items() if n >= least))}
-        known = [np.array([i for i in map(self.place.get, subwords(w)) if i is not None], np.int32) for w in number]
-        bags = []
-        for d in docs:
-            parts = [known[k] for k in d]
-            ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-            at, where = np.unique(ids, return_inverse=True)
-            bags.append((at, np.bincount(where, np.repeat(1 / np.maximum(sizes, 1) / max(len(d), 1), sizes), len(at)).astype(np.float32)))
+        docs = [np.array([number.setdefault(w, len(number)) for w in sorted(words(t))], np.int32) for t in texts]
+        often = np.bincount(np.concatenate(docs), minlength=len(number)) if docs else np.zeros(0, np.int64)
+        own = [subwords(w, bits) for w in number]
+        count = np.zeros(1 << bits, np.int64)
+        for k, x in enumerate(own):
+            count[x] += often[k]
+        self.used = count >= LEAST
+        own = [x[self.used[x]] for x in own]
+        some = np.array([len(x) > 0 for x in own], bool)
+        docs = [d[some[d]] for d in docs]
         rng = np.random.default_rng(seed)
-        self.vectors = rng.normal(0, 0.05, (len(self.place), width)).astype(np.float32)
+        self.vectors = rng.normal(0, 0.05, (1 << bits, width)).astype(np.float32)
         self.softmax = rng.normal(0, 0.5, (width, 2)).astype(np.float32)
         self.bias = np.zeros(2, np.float32)
-        self._fit(bags, np.array(labels, np.int64), max(1, (examples or EXAMPLES) // max(len(texts), 1)), rng)
-
-    def _fit(self, bags: list, labels: np.ndarray, epochs: int, rng, rate: float | None = None, batch: int = 32) -> None:
-        share = float(labels.mean()) if len(labels) else 0.0
-        if not 0 < share < 1:  # nothing to tell apart: every text gets the labels' share
+        y = np.array(labels, np.int64)
+        share = float(y.mean()) if len(y) else 0.0
+        if 0 < share < 1:
+            self.bias[1] = np.log(share / (1 - share))  # the odds of a text without known subwords; not trained
+            self._fit(docs, y, Bags(own), max(1, examples // len(docs)), rng)
+        else:  # nothing to tell apart: every text gets the labels' share
             self.vectors[:] = 0
             self.bias[1] = np.log(max(share, 1e-4) / max(1 - share, 1e-4))
-            return
-        rate = rate or RATE
-        self.bias[1] = np.log(share / (1 - share))  # the odds of a text without known subwords; not trained
-        total = epochs * (len(bags) // batch + 1)
-        step = 0
+
+    def _fit(self, docs: list[np.ndarray], labels: np.ndarray, bags: Bags, epochs: int, rng, batch: int = 32) -> None:
+        seen, seen_softmax = np.full(len(self.vectors), 1e-8, np.float32), np.full(self.softmax.shape, 1e-8, np.float32)
+        total, step = epochs * (len(docs) // batch + 1), 0
         for _ in range(epochs):
-            order = rng.permutation(len(bags))
+            order = rng.permutation(len(docs))
             for lo in range(0, len(order), batch):
-                now = rate * (1 - step / total)
+                rate = RATE * (1 - step / total)
                 step += 1
-                some = [k for k in order[lo : lo + batch] if len(bags[k][0])]
+                some = [k for k in order[lo : lo + batch] if len(docs[k])]
                 if not some:
                     continue
-                ids = np.concatenate([bags[k][0] for k in some])
-                weights = np.concatenate([bags[k][1] for k in some]) * SCALE
-                sizes = [len(bags[k][0]) for k in some]
-                starts = np.cumsum([0, *sizes[:-1]])
-                mean = np.add.reduceat(self.vectors[ids] * weights[:, None], starts, axis=0)
+                # each word of the batch is looked up once, however many of its documents hold it
+                sizes = np.array([len(docs[k]) for k in some])
+                own, place = np.unique(np.concatenate([docs[k] for k in some]), return_inverse=True)
+                ids, starts, n = bags.of(own)
+                vectors = np.add.reduceat(self.vectors[ids], starts, axis=0) / n[:, None]
+                scale = (SCALE / sizes)[:, None]
+                mean = np.add.reduceat(vectors[place], np.cumsum(sizes) - sizes, axis=0) * scale
                 z = mean @ self.softmax + self.bias
                 p = np.exp(z - z.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
                 p[np.arange(len(some)), labels[some]] -= 1
-                back = p @ self.softmax.T
-                self.softmax -= now * 0.1 * (mean.T @ p) / len(some)
-                # rows of different documents may share a vector: each document's step is taken in turn
-                for k, (a, n) in enumerate(zip(starts, sizes, strict=True)):
-                    self.vectors[ids[a : a + n]] -= now * weights[a : a + n, None] * back[k]
-
-    def numbers(self) -> tuple[dict[str, float], float]:
-        """What each subword adds to the log odds, and the constant."""
+                back = (p @ self.softmax.T) * scale
+                g = mean.T @ p / len(some)
+                seen_softmax += g * g
+                self.softmax -= 0.2 * rate * g / np.sqrt(seen_softmax)
+                of_words = summed(np.repeat(back, sizes, axis=0), place)[1] / n[:, None]
+                at, g = summed(np.repeat(of_words, n, axis=0), ids)
+                seen[at] += (g * g).mean(1)
+                self.vectors[at] -= rate * g / np.sqrt(seen[at])[:, None]
+
+    def numbers(self) -> tuple[np.ndarray, float]:
+        """What each subword's vector adds to the log odds (not a number where it has none), and the constant."""
         d = (self.vectors @ (self.softmax[:, 1] - self.softmax[:, 0])) * SCALE
-        return dict(zip(self.place, d.tolist(), strict=True)), float(self.bias[1] - self.bias[0])
+        return np.where(self.used, d, np.nan).astype(np.float32), float(self.bias[1] - self.bias[0])
+
+
+class Bags:
+    """Subwords of numbered words, end to end."""
+
+    def __init__(self, own: list[np.ndarray]):
+        self.size = np.fromiter(map(len, own), np.int64, len(own))
+        self.flat = np.concatenate(own) if own else np.zeros(0, np.int32)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words' subwords, where each word's begin, and how many they are."""
+        n = self.size[which]
+        starts = np.cumsum(n) - n
+        return self.flat[np.repeat(self.begin[which] - starts, n) + np.arange(n.sum())], starts, n
+
+
+def summed(rows: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and the sum of each one's rows."""
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    cut = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    return k[cut], np.add.reduceat(rows[order], cut, axis=0)
 
 
 class Scores(dict):
     """word -> mean of its subwords' numbers, remembered for a bounded number of words."""
 
-    def __init__(self, numbers: dict[str, float], most: int = 400_000):
+    def __init__(self, numbers: np.ndarray, most: int = 200_000):
         super().__init__()
-        self.numbers, self.most = numbers, most
+        self.numbers, self.most, self.bits = numbers, most, len(numbers).bit_length() - 1
 
     def __missing__(self, word: bytes) -> float:
-        known = [x for x in map(self.numbers.get, subwords(word)) if x is not None]
+        x = self.numbers[subwords(word, self.bits)]
+        x = x[~np.isnan(x)]
         if len(self) >= self.most:
             self.clear()
-        got = self[word] = sum(known) / len(known) if known else 0.0
+        got = self[word] = float(x.mean()) if len(x) else 0.0
         return got
 
 
@@ -173,9 +187,19 @@ def trained(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, la
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .collect()
     )
-    return Model([r.text for r in rows], [r.label for r in rows])
+    own: list[int] = []
+
+    def texts() -> Iterator[str]:
+        chars = 0
+        for r in rows.toLocalIterator():  # texts become word numbers one by one
+            own.append(r.label)
+            yield r.text
+            chars += len(r.text)
+            if chars >= TRAIN_TOTAL:
+                return
+
+    return Model(texts(), own)
 
 
 def scored(
@@ -185,8 +209,7 @@ def scored(
 
     Null and empty texts have no words; the softmax's bias alone scores them, as it scores words without any known
     subword. Without usable labels every score is that of a share of 1 in 10,000. Labels with other values than 0 and 1
-    are not used. Only the bounded sample is shuffled; the model that is shipped has a vector for each subword of the
-    sample that is frequent enough (LEAST_SHARE).
+    are not used. Only the bounded sample is shuffled; the model that is shipped is a number for each of the 2 ** BITS vectors.
     """
     docs = pick(docs, id_col, text_col)
     held = docs.sparkSession.sparkContext.broadcast(trained(docs, labels, train_docs).numbers())
