@@ -30,6 +30,7 @@ ORDER = 3  # words of the longest n-grams
 K = 5  # counts up to this one are discounted
 BLOCK = 500_000  # tokens of a block
 BUCKET = 1_000_000  # tokens of a bucket, and occurrences of a history's last word before it is dealt further
+SLICES = 3  # of the buckets; they are worked on in turn, so that only a share of the messages is on disk at a time
 UNKNOWN, START = 0, 1  # numbers of what is no word of the training documents
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 
@@ -114,7 +115,7 @@ def counted(blocks: DataFrame, buckets: int) -> DataFrame:
     """For each block and bucket of keys: where its keys begin, their numbers and counts; a row of block -1 for each
     bucket has words, tokens and counts of counts."""
     ask = "bucket int, block long, at long, keys binary, train binary"
-    tell = "block long, at long, numbers binary, counts binary"
+    tell = "block long, bucket int, at long, numbers binary, counts binary"
     schema = pa_schema(ask)
     cuts = np.array([(1 << 64) // buckets * k for k in range(1, buckets)], np.uint64)
 
@@ -131,16 +132,16 @@ def counted(blocks: DataFrame, buckets: int) -> DataFrame:
         train = np.frombuffer(b"".join(group["train"]), np.uint32)
         own, where = np.unique(keys, return_inverse=True)
         total = np.bincount(where, train, len(own)).astype(np.int64)
-        number = np.where(total > 0, (np.arange(len(own), dtype=np.uint64) + 1) * np.uint64(buckets) + np.uint64(key[0]), 0)
+        number = np.where(total > 0, np.cumsum(total > 0), 0)  # from 1 on in the order of the keys
         sizes = np.cumsum([0, *[len(x) // 8 for x in group["keys"]]])
         numbers, counts = number[where].astype(np.uint64), total[where]
         rows = [
-            (block, at, numbers[a:b].tobytes(), counts[a:b].tobytes())
+            (block, int(key[0]), at, numbers[a:b].tobytes(), counts[a:b].tobytes())
             for block, at, a, b in zip(group["block"], group["at"], sizes, sizes[1:], strict=False)
         ]
         of = [np.count_nonzero(total), total.sum(), *[np.count_nonzero(total == r) for r in range(1, K + 2)]]
-        rows.append((-1, int(key[0]), np.array(of, np.int64).tobytes(), b""))
-        return pd.DataFrame(rows, columns=["block", "at", "numbers", "counts"])
+        rows.append((-1, int(key[0]), 0, np.array(of, np.int64).tobytes(), b""))
+        return pd.DataFrame(rows, columns=["block", "bucket", "at", "numbers", "counts"])
 
     return blocks.select("block", "keys", "train").mapInArrow(send, ask).groupBy("bucket").applyInPandas(answer, tell)
 
@@ -153,13 +154,16 @@ def as_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def coded(blocks: DataFrame, told: DataFrame, total: int, vocabulary: int, ids: type, counts_type: type) -> DataFrame:
-    """Blocks with the numbers and counts of their words, and each document's known tokens and base score."""
+def coded(blocks: DataFrame, told: DataFrame, total: int, vocabulary: int, before: np.ndarray, ids: type, counts_type: type) -> DataFrame:
+    """Blocks with the numbers (after all those of the buckets before) and counts of their words, and each document's known tokens and base score."""
     schema = pa_schema(CODED)
 
     def put(own: pa.Table, parts: pa.Table) -> pa.Table:
         parts = parts.sort_by("at")
-        numbers = np.frombuffer(b"".join(parts["numbers"].to_pylist()), np.uint64)
+        given = [np.frombuffer(x, np.uint64) for x in parts["numbers"].to_pylist()]
+        after = np.repeat(before[parts["bucket"].to_numpy()], list(map(len, given))) + START
+        numbers = np.concatenate(given)
+        numbers = np.where(numbers > 0, numbers + after.astype(np.uint64), UNKNOWN)
         counts = np.frombuffer(b"".join(parts["counts"].to_pylist()), np.int64)
         rows = []
         for r in own.to_pylist():
@@ -212,8 +216,8 @@ def lengths(starts: np.ndarray, total: int) -> np.ndarray:
 class Plan:
     """What decides the bucket of an n-gram; the same for all blocks."""
 
-    def __init__(self, order: int, buckets: int, most: int, ids: type, counts_type: type):
-        self.order, self.buckets, self.most, self.ids, self.counts_type = order, buckets, most, ids, counts_type
+    def __init__(self, order: int, buckets: int, most: int, slices: int, ids: type, counts_type: type):
+        self.order, self.buckets, self.most, self.slices, self.ids, self.counts_type = order, buckets, most, slices, ids, counts_type
 
     def places(self, last: np.ndarray, often: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Buckets of histories by their last word and its count; a frequent one's also by the word before it."""
@@ -221,54 +225,62 @@ class Plan:
         return (mixed(last.astype(np.uint64) * np.uint64(31) + sub) % np.uint64(self.buckets)).astype(np.int32)
 
 
-class Grams:
-    """A block's distinct n-grams after known words, in the order of their buckets."""
+class Words:
+    """A block's words by rank: 0 is the unknown word, 1 the start, then come the known words in the order of their numbers."""
 
     def __init__(self, r: dict, plan: Plan):
-        sizes, tokens = np.frombuffer(r["sizes"], np.uint32), np.frombuffer(r["tokens"], np.uint32).astype(np.int64)
-        self.counts = np.frombuffer(r["counts"], plan.counts_type)
-        numbers = np.frombuffer(r["numbers"], plan.ids)
-        held = np.frombuffer(r["held"], bool)
-        self.starts, self.tokens, n = begins(sizes), tokens, len(numbers)
-        self.ids = np.append(numbers, plan.ids(START))
-        often = np.append(self.counts, self.counts[tokens[sizes[0] - 1]])  # a document starts as often as it ends
-        columns = [tokens]  # the word, then the words before it from the nearest on; n stands before a document's first
+        self.sizes = np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
+        numbers, counts = np.frombuffer(r["numbers"], plan.ids), np.frombuffer(r["counts"], plan.counts_type)
+        tokens = np.frombuffer(r["tokens"], np.uint32)
+        self.starts, self.train = begins(self.sizes), np.repeat(~np.frombuffer(r["held"], bool), self.sizes)
+        ends = counts[tokens[self.sizes[0] - 1]]  # documents in training start as often as they end
+        self.ids = np.concatenate((np.array([UNKNOWN, START], plan.ids), numbers))
+        self.counts = np.concatenate((np.array([0, 0], plan.counts_type), counts))
+        self.often = np.concatenate((np.array([0, ends], plan.counts_type), counts))
+        rank = np.where(numbers > 0, np.arange(2, len(numbers) + 2), UNKNOWN)
+        self.columns = [rank[tokens]]  # the word, then the words before it from the nearest on
         for _ in range(plan.order - 1):
-            h = np.empty_like(tokens)
-            h[1:] = columns[-1][:-1]
-            h[self.starts] = n
-            columns.append(h)
-        self.asked = np.flatnonzero(self.ids[columns[1]] > 0)
-        columns = [c[self.asked] for c in columns]
-        key = columns[1] * (n + 1) + columns[0]
+            h = np.empty_like(self.columns[0])
+            h[1:] = self.columns[-1][:-1]
+            h[self.starts] = START
+            self.columns.append(h)
+
+
+class Grams:
+    """A block's distinct n-grams after known words that go to one slice of the buckets, in the order of these."""
+
+    def __init__(self, r: dict, plan: Plan, part: int):
+        self.words = own = Words(r, plan)
+        n = len(own.ids)
+        last = own.columns[1]
+        place = plan.places(own.ids[last], own.often[last], own.ids[own.columns[2 if plan.order > 2 else 0]])
+        self.asked = np.flatnonzero((last > 0) & (place % plan.slices == part))
+        columns, place = [c[self.asked] for c in own.columns], place[self.asked]
+        key = columns[1] * n + columns[0]
         for c in columns[2:]:
-            if int(key.max(initial=0)) >= (1 << 62) // (n + 1):
+            if int(key.max(initial=0)) >= (1 << 62) // n:
                 key = np.unique(key, return_inverse=True)[1]
-            key = key * (n + 1) + c
+            key = key * n + c
         order = np.argsort(key)
         new = runs(key[order])
         which = np.empty(len(key), np.int64)
         which[order] = np.repeat(np.arange(len(new)), lengths(new, len(key)))
         at = order[new]
-        local = [c[at] for c in columns]
-        train = np.repeat(~held, sizes)[self.asked]
-        times = np.bincount(which, train, len(at)).astype(np.uint32)
-        self.often = often[local[1]]
-        split = local[2] if plan.order > 2 else local[0]
-        place = plan.places(self.ids[local[1]], self.often, self.ids[split])
+        times = np.bincount(which, own.train[self.asked], len(at)).astype(np.uint32)
+        place = place[at]
         dealt = np.argsort(place, kind="stable")
-        self.buckets, self.edges = np.unique(place[dealt], return_index=True)
-        self.edges = np.append(self.edges, len(dealt))
+        self.buckets, edges = np.unique(place[dealt], return_index=True)
+        self.edges = np.append(edges, len(dealt))
         back = np.empty(len(dealt), np.int64)
         back[dealt] = np.arange(len(dealt))
         self.which = back[which]  # of each asked token
-        self.local, self.times, self.often = [c[dealt] for c in local], times[dealt], self.often[dealt]
+        self.columns, self.times = [c[at][dealt] for c in columns], times[dealt]
 
 
 MESSAGE = "bucket int, block long, data binary"
 
 
-def sent(table: DataFrame, plan: Plan) -> DataFrame:
+def sent(table: DataFrame, plan: Plan, part: int) -> DataFrame:
     """For each block and bucket: last words of histories, words after them with their counts, the words before them
     from the second on, and how often each n-gram is in training."""
     schema = pa_schema(MESSAGE)
@@ -277,17 +289,17 @@ def sent(table: DataFrame, plan: Plan) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                g = Grams(r, plan)
+                g = Grams(r, plan, part)
+                own = g.words
                 for some in range(0, len(g.buckets), 64):
                     rows = []
                     for b, lo, hi in zip(g.buckets[some : some + 64].tolist(), g.edges[some:].tolist(), g.edges[some + 1 :].tolist(), strict=False):
-                        w, v, *more = [c[lo:hi] for c in g.local]
-                        pair = runs(v * (len(g.ids) + 1) + w)
+                        w, v, *more = [c[lo:hi] for c in g.columns]
+                        pair = runs(v * len(own.ids) + w)
                         first = runs(v[pair])
                         rows.append((b, r["block"], wrapped(
-                            g.ids[v[pair[first]]], (g.often[lo:hi][pair[first]] >= plan.most).view(np.uint8), lengths(first, len(pair)),
-                            g.ids[w[pair]], np.append(g.counts, 0)[w[pair]].astype(plan.counts_type), lengths(pair, hi - lo),
-                            g.times[lo:hi], *[g.ids[c] for c in more],
+                            own.ids[v[pair[first]]], (own.often[v[pair[first]]] >= plan.most).view(np.uint8), lengths(first, len(pair)),
+                            own.ids[w[pair]], own.counts[w[pair]], lengths(pair, hi - lo), g.times[lo:hi], *[own.ids[c] for c in more],
                         )))
                     yield from as_table(rows, schema).to_batches()
 
@@ -305,14 +317,12 @@ def frequent(table: DataFrame, plan: Plan, words: Unigrams) -> tuple[DataFrame,
                 r = batch.slice(k, 1).to_pylist()[0]
                 if not (np.frombuffer(r["counts"], plan.counts_type) >= plan.most).any():
                     continue
-                g = Grams(r, plan)
-                mine = np.flatnonzero((g.often >= plan.most) & (g.times > 0))
-                key, times = g.local[1][mine] * (len(g.ids) + 1) + g.local[0][mine], g.times[mine]
-                own, where = np.unique(key, return_inverse=True)
-                v, w = np.divmod(own, len(g.ids) + 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (g.ids[v].astype(np.int64), g.ids[w].astype(np.int64), words.p(g.counts[w]), np.bincount(where, times, len(own)).astype(np.int64))], schema=schema
-                )
+                own = Words(r, plan)
+                mine = np.flatnonzero((own.often[own.columns[1]] >= plan.most) & own.train)
+                key, n = np.unique(own.columns[1][mine] * len(own.ids) + own.columns[0][mine], return_counts=True)
+                v, w = np.divmod(key, len(own.ids))
+                columns = own.ids[v].astype(np.int64), own.ids[w].astype(np.int64), words.p(own.counts[w]), n
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     pairs = table.select("block", "sizes", "held", "numbers", "counts", "tokens").mapInArrow(send, "first long, second long, p double, n long")
     pairs = stored(pairs.groupBy("first", "second").agg(F.first("p").alias("p"), F.sum("n").alias("n")), "pairs", True)
@@ -379,7 +389,7 @@ def gathered(messages: DataFrame, wide: DataFrame, plan: Plan) -> DataFrame:
         is_sum = np.array([x is not None for x in often["sums"].to_pylist()], np.uint8)
         row = (
             asked["bucket"][0].as_py(), wrapped(columns[0], flag, columns[1], count[one], total.astype(np.uint64), *columns[2:]),
-            wrapped(*f, is_sum, sums.ravel()), asked["block"].to_numpy().tobytes(), sizes.tobytes(), wrapped(at), stats,
+            wrapped(*f, is_sum, sums.ravel()), asked["block"].to_numpy().tobytes(), sizes.tobytes(), wrapped(np.diff(at, prepend=np.uint32(0))), stats,
         )
         return as_table([row], schema)
 
@@ -472,7 +482,8 @@ def answered(grams: DataFrame, plan: Plan, words: Unigrams, d: list[np.ndarray])
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                value, (at,) = evaluated(r, plan, words, d), unwrapped(r["at"], np.uint32)
+                value = evaluated(r, plan, words, d)
+                at = np.cumsum(unwrapped(r["at"], np.uint32)[0], dtype=np.uint32)
                 edges = np.cumsum([0, *np.frombuffer(r["sizes"], np.int64)])
                 rows = [
                     (b, r["bucket"], wrapped(value[at[lo:hi]]))
@@ -498,50 +509,84 @@ def scored(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col
     size = blocks.agg(F.sum("n_keys").alias("keys"), F.sum("n_all").alias("tokens")).first()
     key_buckets = max(16, (size.keys or 0) // 500_000)
     told = stored(counted(blocks, key_buckets), "told")
-    of = np.zeros(K + 3, np.int64)
-    for row in told.where("block < 0").select("numbers").toLocalIterator():  # a few numbers for each bucket of words
-        of += np.frombuffer(row.numbers, np.int64)
+    of, known = np.zeros(K + 3, np.int64), np.zeros(key_buckets, np.int64)
+    for row in told.where("block < 0").select("bucket", "numbers").toLocalIterator():  # a few numbers for each bucket of words
+        own = np.frombuffer(row.numbers, np.int64)
+        known[row.bucket] = own[0]
+        of += own
     vocabulary, total = int(of[0]), int(of[1])
     words = Unigrams(total, np.concatenate(([0], of[2:])).astype(float))
-    ids = np.uint32 if (vocabulary + key_buckets) * 4 < 1 << 32 else np.uint64
+    ids = np.uint32 if vocabulary + 2 < 1 << 32 else np.uint64
     counts_type = np.uint32 if total < 1 << 32 else np.uint64
-    table = stored(coded(blocks, told, total, vocabulary, ids, counts_type), "coded")
+    table = stored(coded(blocks, told, total, vocabulary, np.cumsum(known) - known, ids, counts_type), "coded")
     dropped(blocks)
     dropped(told)
     released(spark)
 
-    plan = Plan(order, max(16, (size.tokens or 0) // BUCKET), BUCKET, ids, counts_type)
+    plan = Plan(order, max(16, (size.tokens or 0) // BUCKET), BUCKET, SLICES, ids, counts_type)
     wide, pairs = frequent(table, plan, words)
-    grams = stored(gathered(sent(table, plan), wide, plan), "grams")
-    released(spark)
+    grams = []
+    for part in range(plan.slices):
+        mine = wide.where(F.col("bucket") % plan.slices == part)
+        grams.append(stored(gathered(sent(table, plan, part), mine, plan), "grams"))
+        released(spark)
     n = np.zeros((order - 1, K + 2))
-    for row in grams.select("stats").toLocalIterator():  # a few numbers for each bucket
-        n += np.array(row.stats, float).reshape(order - 1, K + 2)
+    for g in grams:
+        for row in g.select("stats").toLocalIterator():  # a few numbers for each bucket
+            n += np.array(row.stats, float).reshape(order - 1, K + 2)
     n[0] += np.array(pairs.agg(*[F.count_if(F.col("n") == r) for r in range(K + 2)]).first(), float)
     d = [np.zeros(0), np.zeros(0), *map(discounts, n)]
-    answers = answered(grams, plan, words, d)
+    sums = []
+    for part, g in enumerate(grams):
+        sums.append(stored(added(table, answered(g, plan, words, d), plan, part, words), "sums"))
+        dropped(g)
+        released(spark)
     schema = pa_schema(SCORES)
 
     def finish(own: pa.Table, given: pa.Table) -> pa.Table:
         frames = []
         for r in own.to_pylist():
-            g = Grams(r, plan)
-            value = np.zeros(len(g.times))
-            for b, x in zip(given["bucket"].to_pylist(), given["value"], strict=True):
-                k = int(np.searchsorted(g.buckets, b))
-                value[g.edges[k] : g.edges[k + 1]] = unwrapped(x.as_py(), np.float64)[0]
-            each = np.log10(words.p(g.counts))[g.tokens]  # after an unknown word there is nothing to back off from
-            each[g.asked] = value[g.which]
             sizes = np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
+            score = np.sum([np.frombuffer(x, np.float64) for x in given["score"].to_pylist()], axis=0)
             columns = [
                 pa.array(np.frombuffer(r["docs"], np.int64), mask=np.frombuffer(r["nulls"], bool)), pa.array(np.frombuffer(r["held"], bool)),
                 pa.array(sizes), pa.array(np.frombuffer(r["known"], np.int64)), pa.array(np.full(len(sizes), total, np.int64)),
-                pa.array(np.frombuffer(r["base"], np.float64)), pa.array(np.add.reduceat(each, g.starts)),
+                pa.array(np.frombuffer(r["base"], np.float64)), pa.array(score),
             ]
             frames.append(pa.Table.from_arrays(columns, schema=schema))
         return pa.concat_tables(frames) if frames else schema.empty_table()
 
-    return table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, SCORES)
+    every = sums[0]
+    for x in sums[1:]:
+        every = every.union(x)
+    own = table.select("block", "docs", "nulls", "held", "sizes", "known", "base")
+    return own.groupBy("block").cogroup(every.groupBy("block")).applyInArrow(finish, SCORES)
+
+
+def added(table: DataFrame, answers: DataFrame, plan: Plan, part: int, words: Unigrams) -> DataFrame:
+    """block, score: the sums by document of the logarithms for the tokens that a slice of the buckets answered; those
+    after an unknown word, where there is nothing to back off from, count with the first slice."""
+    schema = pa_schema("block long, score binary")
+
+    def add(own: pa.Table, given: pa.Table) -> pa.Table:
+        rows = []
+        for r in own.to_pylist():
+            g = Grams(r, plan, part)
+            value = np.zeros(len(g.times))
+            for b, x in zip(given["bucket"].to_pylist(), given["value"], strict=True):
+                k = int(np.searchsorted(g.buckets, b))
+                value[g.edges[k] : g.edges[k + 1]] = unwrapped(x.as_py(), np.float64)[0]
+            w = g.words
+            each = np.zeros(len(w.columns[0]))
+            if part == 0:
+                lone = np.flatnonzero(w.columns[1] == UNKNOWN)
+                each[lone] = np.log10(words.p(w.counts))[w.columns[0][lone]]
+            each[g.asked] = value[g.which]
+            rows.append((r["block"], np.add.reduceat(each, w.starts).tobytes()))
+        return as_table(rows, schema)
+
+    own = table.select("block", "sizes", "held", "numbers", "counts", "tokens")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add, "block long, score binary")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
