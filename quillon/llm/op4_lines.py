@@ -1,10 +1,13 @@
 """Removal of later repeats of runs of lines, found by winnowing over line hashes.
 
 A window is the shortest run of lines, from a line on or up to a line, that has MIN_WORDS words, so it depends on the
-lines alone. Each window's least line hash is its fingerprint, which every copy of the window selects as well: a
-repeated run of MIN_WORDS words or more is guaranteed to hold one. Positions are joined on the fingerprint and the
-window's content; the windows that start at, and those that end at, each of a run's lines extend the match both ways,
-and together they cover any maximal run. All occurrences but the first (by id, then by line) are deleted.
+lines alone. Of each window only the line with the least hash is selected (the last of equal ones); neighbouring windows
+mostly select the same one, and these few positions are a document's fingerprints. Every copy of a window selects the
+same line of it, so a repeated run of MIN_WORDS words or more is guaranteed to hold a fingerprint that occurs twice.
+Positions are joined on the fingerprint; where one has no partner, nothing near it is looked at again. From each joined
+position the match is extended both ways by the windows that selected it: those that start at, and those that end at,
+each line around it are compared by content, and together they cover any maximal run. All occurrences of a window but the
+first (by id, then by line) are deleted. Which pairs of documents share it need not be known, so no pairs are made.
 """
 
 from __future__ import annotations
@@ -34,8 +37,9 @@ def lines_of(text: str) -> list[str]:
     return [x for x in text.split("\n") if not BLANK.match(x)]
 
 
-def windows(lines: list[str], least: int) -> list[tuple[int, int, int, int]]:
-    """start, end (exclusive), fingerprint and content hash of each window."""
+def windows(lines: list[str], least: int) -> list[tuple[int, int, list[tuple[int, int, int]]]]:
+    """The selected lines: position, hash, and the windows that selected it, each with its content's hash, start and end
+    (exclusive)."""
     n = len(lines)
     raw = [" ".join(x.encode("utf-8", "surrogatepass").decode("latin-1").split()).encode("latin-1") for x in lines]
     own = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in raw), np.uint64, n)
@@ -46,23 +50,24 @@ def windows(lines: list[str], least: int) -> list[tuple[int, int, int, int]]:
     back = np.searchsorted(total, total[1:] - least, "right") - 1  # start of the window up to each line
     spans = {(i, int(j)) for i, j in enumerate(forth) if j <= n} | {(int(i), j + 1) for j, i in enumerate(back) if i >= 0}
     order = mixed(own)
-    return [
-        (a, b, int(order[a:b].min()) - (1 << 63), xxhash.xxh3_64_intdigest(own[a:b].tobytes(), b - a) - (1 << 63))
-        for a, b in sorted(spans)
-    ]
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for a, b in sorted(spans):
+        at = b - 1 - int(order[a:b][::-1].argmin())
+        found.setdefault(at, []).append((xxhash.xxh3_64_intdigest(own[a:b].tobytes(), b - a) - (1 << 63), a, b))
+    return [(at, int(order[at]) - (1 << 63), w) for at, w in found.items()]
 
 
 def fingerprints(docs: DataFrame, least: int) -> DataFrame:
-    schema = "doc_id long, mark long, start int, end int, fp long, win long"
+    schema = "doc_id long, mark long, at int, fp long, windows array<struct<win: long, start: int, end: int>>"
     out = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in pieces(batch):
                 rows = [
-                    (i, mark, *w)
+                    (i, mark, at, fp, [{"win": h, "start": a, "end": b} for h, a, b in w])
                     for i, text, mark in zip(*[c.slice(lo, hi - lo).to_pylist() for c in batch.columns], strict=True)
-                    for w in windows(lines_of(text or ""), least)
+                    for at, fp, w in windows(lines_of(text or ""), least)
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
@@ -73,10 +78,13 @@ def fingerprints(docs: DataFrame, least: int) -> DataFrame:
 def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """doc_id, mark, starts, ends: the deleted windows of each document (columns doc_id, text and mark) that has some.
 
-    A hot window costs each task one partial minimum; the join back is of a small right side without aggregation
-    above it on the same key, so Spark can split a large partition.
+    A hot fingerprint or window costs each task one partial count or minimum; the joins back have no aggregation above
+    them on the same key, so Spark can split a large partition.
     """
-    found = stored(fingerprints(docs, least).distinct(), "windows")
+    found = stored(fingerprints(docs, least), "fingerprints")
+    twice = found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    found = found.join(twice, "fp").select("doc_id", "mark", "fp", F.explode("windows").alias("w"))
+    found = stored(found.select("doc_id", "mark", "fp", "w.*").distinct(), "windows", True)  # a repeated row counts once
     place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("i"), "mark", "start")
     first = found.groupBy("fp", "win").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     return (

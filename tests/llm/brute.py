@@ -83,23 +83,25 @@ def repeated_bytes(docs: list[tuple[int, str | None]], k: int = 50) -> dict[int,
 
 
 def repeated_lines(docs: list[tuple[int, str | None]], least: int = 50) -> dict[int, list[int]]:
-    """id -> indices of deleted lines: those in any run of `least` words or more that occurs earlier."""
+    """id -> indices of deleted lines: those in any run of `least` words or more that occurs earlier. Every line is held
+    against every earlier equal one, and matches are extended from where they begin."""
     lines = {i: [" ".join(words(x, lower=False)) for x in (t or "").split("\n") if WORD.search(x)] for i, t in docs}
-    first: dict[tuple[str, ...], tuple[int, int]] = {}
-    runs = []
-    for i, own in lines.items():
-        for a in range(len(own)):
-            n = 0
-            for b in range(a + 1, len(own) + 1):
-                n += len(own[b - 1].split())
-                if n >= least:
-                    run = tuple(own[a:b])
-                    runs.append((i, a, b, run))
-                    first[run] = min(first.get(run, (i, a)), (i, a))
     out: dict[int, set[int]] = {i: set() for i in lines}
-    for i, a, b, run in runs:
-        if first[run] < (i, a):
-            out[i].update(range(a, b))
+    at = defaultdict(list)
+    for i in sorted(lines):
+        own = lines[i]
+        for a, x in enumerate(own):
+            for j, b in at[x]:
+                other = lines[j]
+                if a and b and own[a - 1] == other[b - 1]:
+                    continue
+                n = k = 0
+                while a + k < len(own) and b + k < len(other) and own[a + k] == other[b + k]:
+                    n += len(own[a + k].split())
+                    k += 1
+                if n >= least:
+                    out[i].update(range(a, a + k))
+            at[x].append((i, a))
     return {i: sorted(x) for i, x in out.items()}
 
 

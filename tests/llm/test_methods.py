@@ -141,6 +141,28 @@ def test_katz(docs, rows):
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.n_known == sum(x in one for x in w)
 
 
+def spelled(got):
+    return {i: sorted(k for s in filter(None, r.split(",")) for k in range(*map(int, s.split(":")))) for i, r in got.items()}
+
+
+def test_lines_of_whole_texts(docs, rows):
+    got = {r.doc_id: r.runs for r in op4_lines.report(docs).collect()}
+    assert spelled(got) == brute.repeated_lines(rows)
+
+
+def test_random_lines(spark):
+    """Few different lines, some of them in most documents, in runs that repeat, overlap and touch."""
+    rng = random.Random(8)
+    lines = [" ".join(rng.choice("abcdefghijkl") for _ in range(rng.choice((1, 2, 5, 9, 20, 60)))) for _ in range(40)]
+    runs = [[rng.choice(lines) for _ in range(rng.randint(2, 30))] for _ in range(12)]
+    rows = [(i, "\n".join(x for _ in range(rng.randint(1, 6)) for x in (rng.choice(runs) if rng.random() < 0.6 else [rng.choice(lines), lines[0]]))) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.repeated_lines(rows)
+    assert spelled({r.doc_id: r.runs for r in op4_lines.report(df).collect()}) == want and sum(map(len, want.values())) > 100
+    found = [w for _, t in rows for w in op4_lines.windows(op4_lines.lines_of(t), 50)]
+    assert len(found) < sum(len(w) for *_, w in found)
+
+
 @pytest.mark.parametrize("order", [3, 4])
 def test_katz_of_higher_orders(docs, rows, order):
     """The recursion over dictionaries gives the same scores; after a hundred histories of each length they add up to 1."""
