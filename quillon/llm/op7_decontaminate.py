@@ -9,25 +9,26 @@ between them are streamed: that is found by array look-ups for a whole text at o
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from fractions import Fraction
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.functions import pandas_udf
 
-from .common import mapped, pick
+from .common import mapped, pick, stored
 
 #: ASCII letters lowered; other ASCII characters but digits become blanks; all bytes of longer characters stay.
 NORMAL = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
 WINDOW = 13
-#: Words of the items that one automaton holds. More items are dealt to more automata, each a pass over a text's words.
-BLOCK_WORDS = 1_000_000
+#: Words of the items that one automaton holds (about half a kilobyte each), and those that a pass over the documents
+#: holds in all its automata. More items are dealt to more passes, so no task and no broadcast ever holds more.
+BLOCK_WORDS = 200_000
+PASS_WORDS = 400_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -173,42 +174,93 @@ class Automaton:
         return list(zip(lo[long].tolist(), hi[long].tolist(), strict=True))
 
 
-def blocks_of(items: DataFrame, block_words: int) -> list[list[tuple[int, list[bytes]]]]:
-    """Items in blocks of at most block_words words (one item at least). Test items are a stated query set; equal
-    items, null ids and null texts may occur, and neither an empty item nor one without an id is a query."""
-    blocks: list[list] = [[]]
-    held = 0
-    for item, text in items.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).distinct().toLocalIterator():
+Block = list[tuple[str, list[bytes]]]
+
+
+def passes_of(items: DataFrame, item_id: str, item_text: str, block_words: int, pass_words: int) -> Iterator[list[Block]]:
+    """Items in blocks of at most block_words words (one item at least), and blocks in passes. Test items are a stated query set; equal
+    items, null ids and null texts may occur, and neither an empty item nor one without an id is a query. Ids may be of
+    any type; they are told apart as strings."""
+    blocks: list[Block] = [[]]
+    held = every = 0
+    own = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text"))
+    for item, text in own.where(F.col("item").isNotNull() & F.col("text").isNotNull()).distinct().toLocalIterator():
         ws = words(text)
+        if every + len(ws) > pass_words and every:
+            yield blocks
+            blocks, held, every = [[]], 0, 0
         if held + len(ws) > block_words and blocks[-1]:
             blocks.append([])
             held = 0
         if ws:
             blocks[-1].append((item, ws))
-            held += len(ws)
-    return blocks
+            held, every = held + len(ws), every + len(ws)
+    yield blocks
+
+
+_MADE: dict[str, list[Automaton]] = {}
 
 
-def matcher(docs: DataFrame, items: DataFrame, window: int, block_words: int, item_id: str, item_text: str) -> Callable:
-    """setup() for mapped(): a function from words to joined spans and items. Each automaton has a bounded size."""
-    held = docs.sparkSession.sparkContext.broadcast(blocks_of(pick(items, item_id, item_text), block_words))
+def matcher(docs: DataFrame, blocks: list[Block], window: int) -> Callable[[], Callable]:
+    """setup() for mapped(): a function from words to joined spans and items. A Python worker builds its automata once."""
+    held, name = docs.sparkSession.sparkContext.broadcast(blocks), uuid.uuid4().hex
 
-    def setup():
-        machines = [Automaton(block, window) for block in held.value if block]
+    def setup() -> Callable:
+        if name not in _MADE:
+            _MADE.clear()
+            _MADE[name] = [Automaton(block, window) for block in held.value if block]
+        machines = _MADE[name]
 
-        def found(ws: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-            spans, who = [], set()
-            for m in machines:
-                s, i = m.hits(ws)
-                spans += s
-                who |= i
-            return joined(spans) if len(machines) > 1 else spans, who
+        def found(ws: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+            every = [m.hits(ws) for m in machines]
+            return joined([x for spans, _ in every for x in spans]), {i for _, who in every for i in who}
 
-        return found
+        return machines[0].hits if len(machines) == 1 else found
 
     return setup
 
 
+def searched(docs: DataFrame, items: DataFrame, window: int, sizes: tuple[int, int], item_id: str, item_text: str) -> tuple[Callable[[], Callable], DataFrame]:
+    """docs (doc_id, text and others) with __found, the spans and items of all passes but the last, and the last one's setup:
+    one pass alone needs no table and no join."""
+    last: list[Block] | None = None
+    before: list[DataFrame] = []
+    for blocks in passes_of(items, item_id, item_text, *sizes):
+        if last is not None:
+            setup = matcher(docs, last, window)
+            own = mapped(docs.select("doc_id", "text", F.xxhash64("text")), noted, NOTED, setup)
+            before.append(stored(own.where("size(spans) > 0").distinct(), "found"))
+        last = blocks
+    kind = "array<struct<spans: array<struct<start: int, end: int>>, items: array<string>>>"
+    if not before:
+        return matcher(docs, last or [], window), docs.withColumn("__found", F.lit(None).cast(kind))
+    every = before[0]
+    for x in before[1:]:
+        every = every.union(x)
+    every = every.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("spans", "items")).alias("__found")).withColumnRenamed("doc_id", "__id")
+    own = docs.withColumn("__mark", F.xxhash64("text"))
+    made = own.join(every, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("mark")), "left")
+    return matcher(docs, last or [], window), made.drop("__id", "__mark", "mark")
+
+
+NOTED = "doc_id long, mark long, spans array<struct<start: int, end: int>>, items array<string>"
+
+
+def noted(found: Callable, doc_id: int | None, text: str | None, mark: int) -> tuple:
+    spans, who = found(words(text))
+    return doc_id, mark, [{"start": a, "end": b} for a, b in spans], sorted(who)
+
+
+def together(found: Callable, ws: list[bytes], before: list | None) -> tuple[list[tuple[int, int]], set[str]]:
+    spans, who = found(ws)
+    if before is None or not len(before):
+        return spans, who
+    for x in before:
+        spans = spans + [(s["start"], s["end"]) for s in x["spans"]]
+        who = who | set(x["items"])
+    return joined(spans), who
+
+
 def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -225,6 +277,7 @@ def contamination(
     window: int = WINDOW,
     share: float = 0.05,
     block_words: int = BLOCK_WORDS,
+    pass_words: int = PASS_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_id: str = "item_id",
@@ -234,60 +287,56 @@ def contamination(
 
     A window is `window` words in a row of an item, or the whole of an item with fewer. A word is hit if it is inside a
     window's occurrence; a document is contaminated if a share of at least `share` of its words is hit. Null and empty
-    texts have no words and are clean. Two items with one id count as one. No shuffle; memory is that of the automata.
+    texts have no words and are clean. Two items with one id count as one. Nothing is shuffled if one automaton holds all
+    items; otherwise each further one is a pass whose hits (few rows) are joined with the documents.
     """
     schema = (
         "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-        "spans array<struct<start: int, end: int>>, items array<long>"
+        "spans array<struct<start: int, end: int>>, items array<string>"
     )
-    per = round(1 / share)
+    limit = Fraction(str(share))
 
-    def row(found: Callable, doc_id: int | None, text: str | None) -> tuple:
+    def row(found: Callable, doc_id: int | None, text: str | None, before: list | None) -> tuple:
         ws = words(text)
-        spans, who = found(ws)
+        spans, who = together(found, ws, before)
         n = sum(b - a for a, b in spans)
-        names = ",".join(sorted(map(str, who)))
+        names = sorted(who)
         return (
-            doc_id, len(ws), n, len(who), hashlib.sha256(names.encode()).hexdigest(), n > 0 and per * n >= len(ws),
-            [{"start": a, "end": b} for a, b in spans], sorted(who),
+            doc_id, len(ws), n, len(who), hashlib.sha256(",".join(names).encode("utf-8", "surrogatepass")).hexdigest(),
+            n > 0 and limit.denominator * n >= limit.numerator * len(ws), [{"start": a, "end": b} for a, b in spans], names,
         )
 
-    return mapped(pick(docs, id_col, text_col), row, schema, matcher(docs, items, window, block_words, item_id, item_text))
+    setup, own = searched(pick(docs, id_col, text_col), items, window, (block_words, pass_words), item_id, item_text)
+    return mapped(own.select("doc_id", "text", "__found"), row, schema, setup)
 
 
 def removed(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, share: float = 0.05, block_words: int = BLOCK_WORDS,
-    text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+    pass_words: int = PASS_WORDS,
+    id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """docs without their contaminated rows; in the other rows the hit spans are cut out of the text.
 
     Cut spans run from the first to the last character of the hit words. Rows without a hit keep their text as it is,
     a null text stays null. All columns stay.
     """
-    setup = matcher(docs, items, window, block_words, item_id, item_text)
-    per = round(1 / share)
-    state: list = []
-
-    @pandas_udf(T.StructType([T.StructField("drop", T.BooleanType()), T.StructField("text", T.StringType())]))
-    def cut(texts: pd.Series) -> pd.DataFrame:
-        if not state:
-            state.append(setup())
-        rows = []
-        for text in texts:
-            spans = state[0](words(text))[0] if text else []
-            n = sum(b - a for a, b in spans)
-            if not n:
-                rows.append((False, text))
-            elif per * n >= len(words(text)):
-                rows.append((True, ""))
-            else:
-                rows.append((False, without(text, spans)))
-        return pd.DataFrame(rows, columns=["drop", "text"])
-
-    made = docs.withColumn("__cut", cut(F.col(text_col)))
-    return made.where(~F.col("__cut.drop")).withColumn(
-        text_col, F.when(F.col(text_col).isNull(), F.lit(None)).otherwise(F.col("__cut.text"))
-    ).select(*docs.columns)
+    limit = Fraction(str(share))
+    named = docs.withColumns({"__text": F.col(text_col).cast("string"), "__id": F.col(id_col).cast("long")})
+    own = named.select(F.col("__id").alias("doc_id"), F.col("__text").alias("text"), F.struct(*docs.columns).alias("__row"))
+    setup, own = searched(own, items, window, (block_words, pass_words), item_id, item_text)
+    kind = own.schema["__row"].dataType.simpleString()
+
+    def row(found: Callable, text: str | None, before: list | None, whole: dict) -> tuple:
+        ws = words(text)
+        spans = together(found, ws, before)[0]
+        n = sum(b - a for a, b in spans)
+        if not n:
+            return False, text, whole
+        gone = limit.denominator * n >= limit.numerator * len(ws)
+        return gone, "" if gone else without(text, spans), whole
+
+    made = mapped(own.select("text", "__found", "__row"), row, f"__gone boolean, __cut string, __row {kind}", setup).where("not __gone")
+    return made.select(*[F.col("__cut").alias(c) if c == text_col else F.col(f"__row.{c}").alias(c) for c in docs.columns])
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:

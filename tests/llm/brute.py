@@ -62,6 +62,29 @@ def quality(text: str | None) -> tuple[int, int, int, int, int, bool]:
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(cover), failed
 
 
+def contamination(docs: list[tuple[int, str | None]], items: list[tuple[str, str | None]], k: int = 13) -> dict[int, tuple[int, int, int, str, bool]]:
+    """id -> words, hit words, items, digest of the items, contaminated."""
+    split = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(ASCII_LOWER))
+    of = defaultdict(set)
+    for i, text in items:
+        w = split(text)
+        n = min(k, len(w))
+        for a in range(len(w) - n + 1 if n else 0):
+            of[tuple(w[a : a + n])].add(i)
+    sizes = {len(x) for x in of}
+    out = {}
+    for i, text in docs:
+        w, hit, who = split(text), set(), set()
+        for n in sizes:
+            for a in range(len(w) - n + 1):
+                if found := of.get(tuple(w[a : a + n])):
+                    hit.update(range(a, a + n))
+                    who |= found
+        digest = hashlib.sha256(",".join(sorted(who)).encode()).hexdigest()
+        out[i] = len(w), len(hit), len(who), digest, bool(hit) and 20 * len(hit) >= len(w)
+    return out
+
+
 def repeated_bytes(docs: list[tuple[int, str | None]], k: int = 50) -> dict[int, tuple[int, int, int, str]]:
     """id -> bytes, removed, removed runs, digest of the rest."""
     first: dict[bytes, int] = {}

@@ -237,6 +237,22 @@ def test_item_blocks_agree(spark, docs):
     assert a == b
 
 
+@pytest.mark.parametrize("words", [10**6, 2500])
+def test_contamination_of_whole_tables(spark, docs, rows, words):
+    """Every column of every document against plain windows, in one pass and in several, with ids that are no numbers."""
+    items = [(f"item {r['item_id']}", r["text"]) for r in pq.read_table(f"{DATA}/benchmark.parquet").to_pylist()]
+    got = op7_decontaminate.contamination(docs, spark.createDataFrame(items, "item_id string, text string"), pass_words=words).collect()
+    want = brute.contamination(rows, items)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == want
+    assert any(w[4] for w in want.values())
+
+
+def test_share_is_taken_as_written(spark):
+    docs = spark.createDataFrame([(1, "a b " + "x " * 23), (2, "a b " + "x " * 24)], "doc_id long, text string")
+    got = op7_decontaminate.contamination(docs, spark.createDataFrame([(1, "a b")], "item_id long, text string"), share=0.08).collect()
+    assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: False}
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for n in [*range(1, 40), 200, 201, 202]:
