@@ -42,10 +42,14 @@ def held_out(id_col: Column) -> Column:
 
 def subwords(word: bytes, bits: int = BITS) -> np.ndarray:
     """Places of the vectors of the word with its edges and of its character n-grams."""
-    whole = f"<{word.decode('utf-8', 'replace')}>"
-    grams = {whole[i : i + n] for n in GRAMS for i in range(len(whole) - n + 1)}
-    grams.add(whole)
-    return np.array(sorted({crc32(g.encode("utf-8", "replace")) & ((1 << bits) - 1) for g in grams}), np.int32)
+    return np.array(sorted(hashed(word, (1 << bits) - 1)), np.int32)
+
+
+def hashed(word: bytes, mask: int) -> set[int]:
+    whole = f"<{word.decode('utf-8', 'replace')}>".encode("utf-32-le")  # four bytes a character
+    out = {crc32(whole[i : i + 4 * n]) & mask for n in GRAMS for i in range(0, len(whole) - 4 * n + 1, 4)}
+    out.add(crc32(whole) & mask)
+    return out
 
 
 def words(text: str | None) -> set[bytes]:
@@ -152,16 +156,16 @@ def summed(rows: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Scores(dict):
     """word -> mean of its subwords' numbers, remembered for a bounded number of words."""
 
-    def __init__(self, numbers: np.ndarray, most: int = 200_000):
+    def __init__(self, numbers: np.ndarray, most: int = 400_000):
         super().__init__()
-        self.numbers, self.most, self.bits = numbers, most, len(numbers).bit_length() - 1
+        self.numbers, self.most, self.mask = [None if x != x else x for x in numbers.tolist()], most, len(numbers) - 1
 
     def __missing__(self, word: bytes) -> float:
-        x = self.numbers[subwords(word, self.bits)]
-        x = x[~np.isnan(x)]
+        own = self.numbers
+        known = [x for g in hashed(word, self.mask) if (x := own[g]) is not None]
         if len(self) >= self.most:
             self.clear()
-        got = self[word] = float(x.mean()) if len(x) else 0.0
+        got = self[word] = sum(known) / len(known) if known else 0.0
         return got
 
 
