@@ -1,11 +1,14 @@
 """Personal data by a skip-chain conditional random field over candidate tokens.
 
 Base spans come from four fixed patterns. The chain's tokens are what might be personal data: runs of characters with a
-digit or an at sign. Each has a label, one of the four kinds or none; neighbours share a transition potential, and
-tokens of one document that are equal, or look alike (the same shape of digits, letters and marks), share a skip
-potential however far apart they are. Loopy max-sum message passing over chain and skip links gives the labels. Tokens
-that overlap a base span are clamped to its kind; other tokens labelled with a kind become added spans. Weights are
-learned here, by perceptron updates on generated documents, once on the driver.
+digit or an at sign, cut at the edges of base spans and where a new number begins. Each has a label, one of the four kinds
+or none; neighbours share a transition potential. Tokens of one document that have the same normal form (digits alone for
+numbers, lower case otherwise), and forms that look alike (the same shape of digits, letters and marks), share a skip
+potential however far apart they are. A group's skip links meet in one node, and loopy max-sum messages run over chain
+and groups until they no longer change. Tokens of a base span are clamped to its kind, and their word counts in the group
+as often as the group has other members, as if each were linked with each; other tokens labelled with a kind become added
+spans. Weights are learned by perceptron updates on a bounded sample of the documents themselves: base spans as written
+and with a prefix or separators dropped are the positives, other candidates the negatives.
 """
 
 from __future__ import annotations
@@ -13,10 +16,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import mapped, pick
 
@@ -33,8 +36,14 @@ DIGITS = re.compile(r"[^0-9]+")
 LOCAL_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 #: Candidates of the chain: white-space tokens with a digit or an at sign, joined over single blanks while digits go on.
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*(?: [(]?[0-9]\S*)*")
+CANDIDATE = re.compile(r"[0-9@]")
+PIECE = re.compile(r"\S+")
 EDGES = ".,;:!?\"'|#*$%&<>[]{}"
-ROUNDS = 8  # of message passing; messages stop changing sooner in most documents
+STILL = 1e-6  # messages that change by less have come to rest
+#: The weights are fitted on a bounded sample: so many documents that may hold a base span, and as many that hold a digit
+#: or an at sign, in the order of a hash of their ids and texts, none of more than TRAIN_CHARS characters.
+TRAIN_DOCS = 2000
+TRAIN_CHARS = 20_000
 
 
 def luhn(digits: str) -> bool:
@@ -75,22 +84,65 @@ def base_spans(text: str) -> list[list[tuple[int, int]]]:
 
 
 # -- the random field --------------------------------------------------------------------------------------------------
-def tokens_of(text: str) -> list[tuple[int, int]]:
-    out = []
+def tokens_of(text: str, base: list[list[tuple[int, int]]] | None = None) -> list[tuple[int, int]]:
+    """Candidates in order: base spans, and what is left of the runs of number words around them. In a run with one number
+    after the other a new candidate begins at a plus sign or a bracket, or where both sides have digits for a number."""
+    taken = joined_spans([x for own in base or [] for x in own])
+    out, p = [], 0
     for m in TOKEN.finditer(text):
-        a, b = m.span()
-        while a < b and text[a] in EDGES:
-            a += 1
-        while a < b and text[b - 1] in EDGES:
-            b -= 1
-        if b - a > 1:
+        a, end = m.span()
+        while p < len(taken) and taken[p][1] <= a:
+            p += 1
+        while p < len(taken) and taken[p][0] < end:
+            out += numbers_of(text, a, max(a, taken[p][0]))
+            a = taken[p][1]
+            p += 1
+        out += numbers_of(text, a, end)
+    return sorted({x for x in out if trimmed(text, *x)} | set(taken))
+
+
+def trimmed(text: str, a: int, b: int) -> tuple[int, int] | None:
+    while a < b and (text[a] in EDGES or text[a].isspace()):
+        a += 1
+    while a < b and (text[b - 1] in EDGES or text[b - 1].isspace()):
+        b -= 1
+    return (a, b) if b - a > 1 and CANDIDATE.search(text, a, b) else None
+
+
+def numbers_of(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    out, digits, start = [], 0, a
+    for m in PIECE.finditer(text, a, b):
+        own = sum(c.isdigit() for c in m[0])
+        if digits >= 7 and (m[0][0] in "+(" or own >= 7 or digits + own > 19):
+            out.append((start, m.start()))
+            start, digits = m.start(), 0
+        digits += own
+    out.append((start, b))
+    return [x for x in (trimmed(text, *s) for s in out) if x]
+
+
+def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
             out.append((a, b))
     return out
 
 
+def normal(token: str) -> str:
+    """What equal entities have in common however they are written: the last nine digits and their number without a
+    country's, for numbers; lower case for others."""
+    if any(c.isalpha() or c == "@" for c in token):
+        return token.strip(EDGES).lower()
+    digits = DIGITS.sub("", token)
+    return digits[-9:] if 9 <= len(digits) <= 12 else digits
+
+
 def shape(token: str) -> str:
     """Runs of digits keep their lengths, runs of letters do not; a plus sign in front does not count."""
-    return re.sub(r"[0-9]+", lambda m: f"9{len(m[0])}", re.sub(r"[^\W\d_]+", "a", token.lstrip("+")))[:64]
+    return re.sub(r"[0-9]+", lambda m: f"9{len(m[0])}", re.sub(r"[^\W\d_]+", "a", token.lstrip("+")))
 
 
 def features(token: str) -> list[str]:
@@ -118,131 +170,168 @@ def unary(token: str, weights: dict[tuple[str, int], float]) -> np.ndarray:
     return out
 
 
-def links_of(tokens: list[str]) -> list[tuple[int, int, bool]]:
-    """Skip links: each token with the one before it of the same text, and with the one before it of the same shape.
-    Linking to the nearest alone keeps the links linear in the tokens; messages run along the whole group."""
-    out, same, alike = [], {}, {}
-    for i, t in enumerate(tokens):
-        s = shape(t)
-        if t in same:
-            out.append((same[t], i, True))
-        elif s in alike:
-            out.append((alike[s], i, False))
-        same[t] = alike[s] = i
-    return out
+def groups_of(tokens: list[str]) -> tuple[list[int], list[int]]:
+    """For each token the number of its normal form's group, and for each such group the number of its shape's."""
+    form: dict[str, int] = {}
+    kind: dict[str, int] = {}
+    own, above = [], []
+    for t in tokens:
+        n = normal(t)
+        if n not in form:
+            form[n] = len(form)
+            above.append(kind.setdefault(shape(t), len(kind)))
+        own.append(form[n])
+    return own, above
+
 
+def decoded(scores: np.ndarray, clamped: np.ndarray, own: list[int], above: list[int], pair: tuple[float, float, float]) -> np.ndarray:
+    """Labels by loopy max-sum messages over the chain, over groups of one normal form, and over groups of one shape;
+    every potential rewards equal labels. clamped: tokens whose label is certain.
 
-def decoded(scores: np.ndarray, links: list[tuple[int, int, bool]], pair: tuple[float, float, float]) -> np.ndarray:
-    """Labels by loopy max-sum messages over chain and skip links; every potential rewards equal labels."""
-    n = len(scores)
-    if n == 1 or not (links or pair[0]):
+    A clamped token's link weighs as much as links with each other member of its group would together. Messages are sent
+    until none changes; each round is damped more than the one before, so they come to rest in loops as well.
+    """
+    n, forms = len(scores), len(above)
+    kinds = max(above, default=-1) + 1
+    alone, lone_kind = np.bincount(own, minlength=forms), np.bincount(above, minlength=kinds)
+    if n == 1 or not (pair[0] or alone.max() > 1 or lone_kind.max() > 1):
         return scores.argmax(1)
-    edges = [(i, i + 1, pair[0]) for i in range(n - 1)] + [(i, j, pair[1] if eq else pair[2]) for i, j, eq in links]
-    a = np.array([e[0] for e in edges] + [e[1] for e in edges])
-    b = np.array([e[1] for e in edges] + [e[0] for e in edges])
-    w = np.array([e[2] for e in edges] * 2)[:, None]
-    m = len(edges)
+    own_a, above_a = np.array(own), np.array(above)
+    chain = np.arange(n - 1)
+    weight = np.where(clamped, np.maximum(alone[own_a] - 1, 1), 1) * pair[1]
+    sure = np.zeros(forms)
+    np.add.at(sure, own_a, clamped)
+    up = np.where(sure > 0, np.maximum(lone_kind[above_a] - 1, 1), 1) * pair[2]
+    one = np.concatenate((chain, np.arange(n), n + np.arange(forms)))
+    two = np.concatenate((chain + 1, n + own_a, n + forms + above_a))
+    w = np.concatenate((np.full(n - 1, pair[0]), weight, up))
+    m = len(one)
+    a, b, w = np.concatenate((one, two)), np.concatenate((two, one)), np.concatenate((w, w))[:, None]
     back = np.concatenate((np.arange(m, 2 * m), np.arange(m)))
+    field = np.zeros((n + forms + kinds, scores.shape[1]))
+    field[:n] = scores
     said = np.zeros((2 * m, scores.shape[1]))
-    for _ in range(ROUNDS):
-        heard = np.array(scores, float)
+    for k in range(len(field) + 100):  # no path is longer than the nodes
+        heard = field.copy()
         np.add.at(heard, b, said)
         told = heard[a] - said[back]
         told = np.maximum(told + w, told.max(1, keepdims=True))
         told -= told.max(1, keepdims=True)
-        if np.abs(told - said).max() < 1e-6:
+        change = np.abs(told - said).max()
+        if change < STILL:
             break
-        said = 0.5 * said + 0.5 * told
-    heard = np.array(scores, float)
+        keep = 0.0 if k < 20 else min(0.95, (k - 19) / 60)
+        said = keep * said + (1 - keep) * told
+    heard = field.copy()
     np.add.at(heard, b, said)
-    return heard.argmax(1)
-
-
-def generated(rng: random.Random) -> list[tuple[str, int]]:
-    """A document's candidates with labels: personal data as written and as rewritten elsewhere, and other numbers."""
-    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
-    w = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
-    out: list[tuple[str, int]] = []
-    for _ in range(rng.randint(2, 12)):
-        what = rng.randrange(11)
-        if what == 0:
-            out += [(f"{w()}.{d(2)}@{w()}.{w()}", 0)] * rng.randint(1, 2)
-        elif what == 1:
-            out.append((".".join(str(rng.randint(0, 255)) for _ in range(4)), 1))
-        elif what == 2:
-            body = d(rng.choice((13, 15, 15)))
-            body += next(c for c in "0123456789" if luhn(body + c))
-            sep = rng.choice(("", "", " ", "-"))
-            out.append((sep.join(body[i : i + 4] for i in range(0, len(body), 4)), 2))
-        elif what in (3, 4):
-            a, b, c = d(3), d(3), d(4)
-            out.append((f"+1 ({a}) {b}-{c}", 3))
-            if rng.random() < 0.5:
-                out.append((rng.choice((f"1 ({a}) {b}-{c}", f"({a}) {b}-{c}")), 3))
-        elif what == 5:
-            out.append((d(rng.randint(1, 6)), NONE))
-        elif what == 6:
-            out.append((w() + d(rng.randint(1, 5)), NONE))
-        elif what == 7:
-            out.append((f"{d(4)}-{d(2)}-{d(2)}", NONE))
-        elif what == 8:
-            out.append((f"{d(rng.randint(1, 3))}.{d(2)}", NONE))
-        elif what == 9:
-            out.append((rng.choice((f"{w()}@", f"@{w()}", d(rng.randint(8, 24)))), NONE))
-        else:
-            out.append((f"{d(2)}.{d(1)}.{d(1)}", NONE))
-    return out
-
-
-@cache
-def trained(documents: int = 1500, seed: int = 5) -> tuple[dict[tuple[str, int], float], tuple[float, float, float]]:
-    """Averaged perceptron weights of features and of the three pair potentials (chain, equal, alike)."""
+    return heard[:n].argmax(1)
+
+
+#: How base spans are rewritten for training: fixed examples of what people leave out.
+REWRITES = (
+    lambda t: t.lstrip("+"),
+    lambda t: re.sub(r"^\+[0-9]{1,2}[ .-]*", "", t),
+    lambda t: re.sub(r"[ ().-]", "", t),
+    lambda t: re.sub(r"[ ().-]+", " ", t).strip(),
+    lambda t: t.upper(),
+)
+
+
+def examples(text: str, rng: random.Random) -> tuple[list[str], list[int], list[bool]]:
+    """A document's candidates and labels; base spans as they are, and some of them again, rewritten, as free tokens. What
+    has the normal form of a base span is taken to be the same entity."""
+    base = base_spans(text)
+    of = {x: k for k, own in enumerate(base) for x in own}
+    forms = {normal(text[a:b]): k for (a, b), k in of.items()}
+    tokens, labels, sure = [], [], []
+    for x in tokens_of(text, base):
+        k = of.get(x, NONE)
+        if k == NONE and any(x[0] < b and a < x[1] for a, b in of):
+            continue  # overlapping kinds
+        t = text[x[0] : x[1]]
+        tokens.append(t)
+        labels.append(forms.get(normal(t), NONE))
+        sure.append(k != NONE and rng.random() < 0.5)
+        if k != NONE and rng.random() < 0.7:
+            tokens.append(rng.choice(REWRITES)(t) if k != 1 else t)
+            labels.append(k)
+            sure.append(False)
+    return tokens, labels, sure
+
+
+def fitted(texts: list[str], rounds: int = 8, seed: int = 5) -> tuple[dict[tuple[str, int], float], tuple[float, float, float]]:
+    """Averaged perceptron weights of features and of the three pair potentials (chain, same form, alike). Without texts
+    nothing is learned and nothing is added."""
     rng = random.Random(seed)
     w: dict[tuple[str, int], float] = {}
     total: dict[tuple[str, int], float] = {}
-    pair, pair_total = np.array([0.0, 1.0, 0.5]), np.zeros(3)
-    for n in range(documents):
-        doc = generated(rng)
-        tokens, gold = [t for t, _ in doc], np.array([k for _, k in doc])
-        links = links_of(tokens)
-        got = decoded(np.stack([unary(t, w) for t in tokens]), links, tuple(pair))
-        for t, g, k in zip(tokens, gold, got, strict=True):
-            if g != k:
-                for f in features(t):
-                    for key, by in (((f, int(g)), 1.0), ((f, int(k)), -1.0)):
-                        w[key] = w.get(key, 0.0) + by
-                        total[key] = total.get(key, 0.0) + by * (documents - n)
-        agree = lambda y: np.array([(y[1:] == y[:-1]).sum()] + [sum(y[i] == y[j] for i, j, e in links if e == eq) for eq in (True, False)], float)
-        pair = np.maximum(pair + 0.1 * (agree(gold) - agree(got)), 0.0)
-        pair_total += pair
-    return {k: v / documents for k, v in total.items()}, tuple((pair_total / documents).tolist())
+    pair, pair_total = np.array([0.0, 1.0, 0.2]), np.zeros(3)
+    left = rounds * len(texts)
+    for _ in range(rounds):
+        for text in texts:
+            left -= 1
+            tokens, labels, sure = examples(text, rng)
+            if not tokens:
+                continue
+            gold, known = np.array(labels), np.array(sure)
+            own, above = groups_of(tokens)
+            scores = np.stack([unary(t, w) for t in tokens])
+            scores[known] = -1e3
+            scores[known, gold[known]] = 1e3
+            got = decoded(scores, known, own, above, tuple(pair))
+            for t, g, k in zip(tokens, gold, got, strict=True):
+                if g != k:
+                    for f in features(t):
+                        for key, by in (((f, int(g)), 1.0), ((f, int(k)), -1.0)):
+                            w[key] = w.get(key, 0.0) + by
+                            total[key] = total.get(key, 0.0) + by * (left + 1)
+            agree = lambda y: np.array([(y[1:] == y[:-1]).sum(), same(y, own), same(y, [above[i] for i in own])], float)
+            pair = np.clip(pair + 0.02 * (agree(gold) - agree(got)), (0.0, 0.5, 0.0), (0.5, 4.0, 1.0))
+            pair_total += pair
+    n = max(1, rounds * len(texts))
+    return {k: v / n for k, v in total.items()}, tuple((pair_total / n).tolist())
+
+
+def same(labels: np.ndarray, group: list[int]) -> int:
+    """Members that agree with the one before them in their group."""
+    last: dict[int, int] = {}
+    n = 0
+    for k, g in zip(labels.tolist(), group, strict=True):
+        n += last.get(g) == k
+        last[g] = k
+    return n
+
+
+def trained(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple:
+    """The weights of a bounded sample of the documents (doc_id, text) that may hold a base span."""
+    texts: list[str] = []
+    for pattern in (r"[0-9]@|@[A-Za-z0-9-]+\.|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|[0-9]{4}[ -]?[0-9]{4}", "[0-9@]"):
+        some = docs.where((F.length("text") <= TRAIN_CHARS) & F.col("text").rlike(pattern))
+        some = some.select(F.xxhash64("doc_id", "text").alias("h"), "text").orderBy("h", "text").limit(train_docs)
+        texts += [r.text for r in some.toLocalIterator()]
+    return fitted(texts)
 
 
 def added(text: str, base: list[list[tuple[int, int]]], model: tuple) -> list[list[tuple[int, int]]]:
     """Spans of candidates that the field labels with a kind and that touch no base span."""
     out: list[list[tuple[int, int]]] = [[], [], [], []]
-    spans = tokens_of(text)
+    weights, pair = model
+    spans = tokens_of(text, base) if weights else []
     if not spans:
         return out
-    weights, pair = model
     taken = sorted((a, b, k) for k in range(NONE) for a, b in base[k])
     tokens = [text[a:b] for a, b in spans]
-    scores = np.stack([unary(t[:80], weights) for t in tokens])
-    free, p = [], 0
+    scores, clamped, p = np.stack([unary(t, weights) for t in tokens]), np.zeros(len(spans), bool), 0
     for i, (a, b) in enumerate(spans):
         while p < len(taken) and taken[p][1] <= a:
             p += 1
-        over = next((t for t in taken[p : p + 8] if t[0] < b and t[1] > a), None)
-        if over is None:
-            free.append(i)
-        else:  # the patterns are certain
-            scores[i] = -1e3
-            scores[i, over[2]] = 1e3
-    if free:
-        labels = decoded(scores, links_of(tokens), pair)
-        for i in free:
-            if labels[i] != NONE:
-                out[labels[i]].append(spans[i])
+        if p < len(taken) and taken[p][0] < b:  # the patterns are certain
+            scores[i], clamped[i] = -1e3, True
+            scores[i, taken[p][2]] = 1e3
+    if not clamped.all():
+        labels = decoded(scores, clamped, *groups_of(tokens), pair)
+        for i in np.flatnonzero(~clamped & (labels != NONE)).tolist():
+            out[labels[i]].append(spans[i])
     return out
 
 
@@ -250,13 +339,15 @@ def joined(spans: list[list[tuple[int, int]]]) -> str:
     return ",".join([f"{k}:{a}:{b}" for k, own in zip(KINDS, spans, strict=True) for a, b in own])
 
 
-def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: tuple | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (of the base patterns), base_sha256, spans (base and added) and n_added.
 
-    A null text is an empty one, without spans. A very long digit run is one candidate and is scanned once. Nothing is
-    shuffled; the weights that are shipped are a few hundred numbers.
+    A null text is an empty one, without spans. A very long digit run is one candidate and is scanned once. The weights
+    are fitted on a bounded sample of the documents unless they are given (as by trained()); without any base span in it
+    nothing is added. Nothing else is shuffled; the weights that are shipped are a few hundred numbers.
     """
-    held = docs.sparkSession.sparkContext.broadcast(trained())
+    docs = pick(docs, id_col, text_col)
+    held = docs.sparkSession.sparkContext.broadcast(model or trained(docs))
 
     def row(model: tuple, doc_id: int | None, text: str | None) -> tuple:
         text = text or ""
@@ -267,7 +358,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         return doc_id, *map(len, base), digest, joined(every), sum(map(len, more))
 
     return mapped(
-        pick(docs, id_col, text_col), row,
+        docs, row,
         "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long",
         lambda: held.value,
     )

@@ -1,6 +1,7 @@
 """Each operator against a plain version, an exact round trip or held-out accuracy."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -84,8 +85,44 @@ def test_base_spans():
 
 def test_messages_make_labels_agree():
     scores = np.array([[0.0, 0.0, 0.0, 3.0, 0.0], [0.0, 0.0, 0.0, 0.9, 1.0], [0.0, 0.0, 0.0, 0.0, 2.0]])
-    assert op3_pii.decoded(scores, [], (0.0, 1.0, 1.0)).tolist() == [3, 4, 4]
-    assert op3_pii.decoded(scores, [(0, 1, True)], (0.0, 1.0, 1.0)).tolist() == [3, 3, 4]
+    free = np.zeros(3, bool)
+    assert op3_pii.decoded(scores, free, [0, 1, 2], [0, 1, 2], (0.0, 1.0, 1.0)).tolist() == [3, 4, 4]
+    assert op3_pii.decoded(scores, free, [0, 0, 1], [0, 1], (0.0, 1.0, 1.0)).tolist() == [3, 3, 4]
+
+
+@pytest.mark.parametrize("k", [2, 3, 6, 8, 16, 33, 64, 500])
+def test_repeats_of_a_certain_token_get_its_label(k):
+    """All but one prefer none by a little; wherever the certain one stands, all agree with it."""
+    for at in {0, k // 2, k - 1}:
+        scores, clamped = np.zeros((k, 5)), np.zeros(k, bool)
+        scores[:, 4] = 0.05
+        scores[at], clamped[at] = -1e3, True
+        scores[at, 3] = 1e3
+        assert (op3_pii.decoded(scores, clamped, [0] * k, [0], (0.05, 1.0, 0.2)) == 3).all()
+
+
+def test_the_best_labels_of_small_fields():
+    """Chain and groups against all labellings: the messages find one of the best score on trees."""
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n, pair = 5, (0.0, float(rng.uniform(0.2, 2)), 0.0)
+        scores = rng.normal(0, 1, (n, 5))
+        got = op3_pii.decoded(scores, np.zeros(n, bool), [0, 0, 0, 1, 1], [0, 1], pair)
+        value = lambda y: scores[np.arange(n), y].sum() + max(pair[1] * sum(y[i] == g for i in (0, 1, 2)) for g in range(5)) + max(pair[1] * sum(y[i] == g for i in (3, 4)) for g in range(5))
+        assert math.isclose(value(got), max(value(np.array(y)) for y in itertools.product(range(5), repeat=n)))
+
+
+def test_rewritten_repeats_are_added(spark):
+    """A model of the documents of sf0.1 finds repeats of personal data that lost a prefix, their case or their separators."""
+    model = op3_pii.trained(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text"))
+    texts = {
+        1: "call +1 (222) 555-1234 or 222-555-1234 or 222 555 1234 or 2225551234 please",
+        2: "john.12@mail.org 1 (222) 555-1234 +1 (222) 555-1234",
+        3: "in 2019 there were 300 of 12.5 and 1,200 more at 10:30",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in op3_pii.found(df, model=model).collect()}
+    assert (got[1].n_phone, got[1].n_added) == (1, 3) and (got[2].n_email, got[2].n_phone, got[2].n_added) == (1, 1, 1) and got[3].n_added == 0
 
 
 def test_lines(spark, docs, rows):
