@@ -29,7 +29,8 @@ from .common import Hashes, dropped, lowered, mixed, pa_schema, pick, released,
 ORDER = 3  # words of the longest n-grams
 K = 5  # counts up to this one are discounted
 BLOCK = 500_000  # tokens of a block
-BUCKET = 1_000_000  # tokens of a bucket, and occurrences of a history's last word before it is dealt further
+BUCKET = 1_000_000  # tokens of a bucket
+MOST = 2_000_000  # occurrences of a history's last word before it is dealt further
 SLICES = 3  # of the buckets; they are worked on in turn, so that only a share of the messages is on disk at a time
 UNKNOWN, START = 0, 1  # numbers of what is no word of the training documents
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
@@ -62,7 +63,7 @@ def blocked(docs: DataFrame) -> DataFrame:
             numbers = np.array([0 if i is None else i for i in ids], np.int64)
             row = [
                 (part << 32) + made, len(ids), len(keys), len(local), keys.tobytes(), train.tobytes(), numbers.tobytes(),
-                np.array([i is None for i in ids]).tobytes(), out_fold.tobytes(), sizes.tobytes(), local.astype(np.uint32).tobytes(),
+                np.array([i is None for i in ids]).tobytes(), out_fold.tobytes(), sizes.tobytes(), wrapped(local.astype(np.uint32)),
             ]
             made, held_tokens, ids, texts = made + 1, 0, [], []
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, out, strict=True)], schema=out)
@@ -167,13 +168,13 @@ def coded(blocks: DataFrame, told: DataFrame, total: int, vocabulary: int, befor
         counts = np.frombuffer(b"".join(parts["counts"].to_pylist()), np.int64)
         rows = []
         for r in own.to_pylist():
-            tokens, sizes = np.frombuffer(r["tokens"], np.uint32), np.frombuffer(r["sizes"], np.uint32)
+            (tokens,), sizes = unwrapped(r["tokens"], np.uint32), np.frombuffer(r["sizes"], np.uint32)
             starts = begins(sizes)
             base = np.log10((counts + 0.5) / (total + 0.5 * (vocabulary + 1)))[tokens]
             known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
             rows.append((
                 r["block"], r["docs"], r["nulls"], r["held"], r["sizes"], known.tobytes(), np.add.reduceat(base, starts).tobytes(),
-                numbers.astype(ids).tobytes(), counts.astype(counts_type).tobytes(), r["tokens"],
+                wrapped(numbers.astype(ids)), wrapped(counts.astype(counts_type)), r["tokens"],
             ))
         return as_table(rows, schema)
 
@@ -230,8 +231,8 @@ class Words:
 
     def __init__(self, r: dict, plan: Plan):
         self.sizes = np.frombuffer(r["sizes"], np.uint32).astype(np.int64)
-        numbers, counts = np.frombuffer(r["numbers"], plan.ids), np.frombuffer(r["counts"], plan.counts_type)
-        tokens = np.frombuffer(r["tokens"], np.uint32)
+        (numbers,), (counts,) = unwrapped(r["numbers"], plan.ids), unwrapped(r["counts"], plan.counts_type)
+        (tokens,) = unwrapped(r["tokens"], np.uint32)
         self.starts, self.train = begins(self.sizes), np.repeat(~np.frombuffer(r["held"], bool), self.sizes)
         ends = counts[tokens[self.sizes[0] - 1]]  # documents in training start as often as they end
         self.ids = np.concatenate((np.array([UNKNOWN, START], plan.ids), numbers))
@@ -315,7 +316,7 @@ def frequent(table: DataFrame, plan: Plan, words: Unigrams) -> tuple[DataFrame,
         for batch in batches:
             for k in range(batch.num_rows):
                 r = batch.slice(k, 1).to_pylist()[0]
-                if not (np.frombuffer(r["counts"], plan.counts_type) >= plan.most).any():
+                if not (unwrapped(r["counts"], plan.counts_type)[0] >= plan.most).any():
                     continue
                 own = Words(r, plan)
                 mine = np.flatnonzero((own.often[own.columns[1]] >= plan.most) & own.train)
@@ -344,7 +345,8 @@ def frequent(table: DataFrame, plan: Plan, words: Unigrams) -> tuple[DataFrame,
             rest = [batch.column(c).take(pa.array(at)) for c in ("first", "second", "n", "sums")]
             yield pa.RecordBatch.from_arrays([pa.array(bucket), *rest], schema=out)
 
-    return wide.select("first", "second", "n", "sums", "total").mapInArrow(spread, places), pairs
+    wide = wide.select("first", "second", "n", "sums", "total").mapInArrow(spread, places)
+    return stored(wide, "frequent", True), pairs
 
 
 GRAMS = "bucket int, grams binary, frequent binary, blocks binary, sizes binary, at binary, stats array<long>"
@@ -523,7 +525,7 @@ def scored(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col
     dropped(told)
     released(spark)
 
-    plan = Plan(order, max(16, (size.tokens or 0) // BUCKET), BUCKET, SLICES, ids, counts_type)
+    plan = Plan(order, max(16, (size.tokens or 0) // BUCKET), MOST, SLICES, ids, counts_type)
     wide, pairs = frequent(table, plan, words)
     grams = []
     for part in range(plan.slices):

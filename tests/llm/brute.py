@@ -62,9 +62,13 @@ def quality(text: str | None) -> tuple[int, int, int, int, int, bool]:
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(cover), failed
 
 
+def split(text: str | None) -> list[str]:
+    """ASCII letters and digits, lowered, and longer characters make words."""
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(ASCII_LOWER))
+
+
 def contamination(docs: list[tuple[int, str | None]], items: list[tuple[str, str | None]], k: int = 13) -> dict[int, tuple[int, int, int, str, bool]]:
     """id -> words, hit words, items, digest of the items, contaminated."""
-    split = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(ASCII_LOWER))
     of = defaultdict(set)
     for i, text in items:
         w = split(text)

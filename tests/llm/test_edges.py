@@ -114,9 +114,3 @@ def test_near_duplicates(docs, none):
     assert got[6][0].component_id == 5 and not got[6][0].kept and got[2][0].kept and got[None][0].component_id is None
     assert op10_minhash.duplicates(none).count() == 0
     assert op10_minhash.kept(docs).columns == docs.columns
-
-
-def test_pipeline_on_an_empty_table(spark, none):
-    import corpus_pipeline
-
-    assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5

@@ -215,6 +215,7 @@ def test_katz_of_higher_orders(docs, rows, order):
 def test_crowded_last_words_of_histories(docs, rows, monkeypatch):
     """Dealing the histories of frequent words by the word before as well changes nothing."""
     monkeypatch.setattr(op5_katz, "BUCKET", 400)
+    monkeypatch.setattr(op5_katz, "MOST", 400)
     model = brute.Katz(rows, 3)
     got = {r.doc_id: r.score for r in op5_katz.scored(docs).collect()}
     assert all(math.isclose(got[i], model.score(t), rel_tol=1e-9) for i, t in rows)
