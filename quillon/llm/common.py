@@ -29,11 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def pick(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only the named columns, as doc_id, text and their own names."""
+    bounded(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more
     )
 
 
+def bounded(spark: SparkSession) -> None:
+    """Texts are long rows: unless the caller has set another size, Arrow batches have a thousand rows, not ten thousand."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share; set only where it is unset, as in tests."""
     jsc = spark.sparkContext._jsc.sc()
@@ -124,6 +131,7 @@ def mapped(df: DataFrame, row: Callable[[tuple], tuple], schema: str, setup: Cal
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out
                     )
+        pa.default_memory_pool().release_unused()  # workers live on and work for other operators
 
     return df.mapInArrow(run, schema)
 

@@ -156,7 +156,7 @@ def summed(rows: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Scores(dict):
     """word -> mean of its subwords' numbers, remembered for a bounded number of words."""
 
-    def __init__(self, numbers: np.ndarray, most: int = 400_000):
+    def __init__(self, numbers: np.ndarray, most: int = 250_000):
         super().__init__()
         self.numbers, self.most, self.mask = [None if x != x else x for x in numbers.tolist()], most, len(numbers) - 1
 

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import mapped, pick
@@ -19,8 +21,8 @@ from .common import mapped, pick
 MARK = "▁"
 #: Types of a piece in a model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-LIMIT = 60_000  # remembered stretches in a worker, and as many older ones
-PAIRS = 250_000  # remembered pairs in a worker
+LIMIT = 120_000  # remembered stretches in a worker, and as many older ones
+PAIRS = 600_000  # remembered pairs in a worker
 NONE, START, ALONE = -3, -2, -1  # in place of an id: no encoding ends here; nothing before; a character without a piece
 LONG = 64  # characters of a stretch worth remembering
 
@@ -52,23 +54,71 @@ class Pieces:
             raise ValueError("the model has no full byte fallback")
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has a blank mark after another character")
+        #: for pieces of several characters, the rank from 1 of the merge that makes them; 0 for single characters
+        ranked = sorted((i for p, i in self.ids.items() if len(p) > 1), key=lambda i: -self.score[i])
+        self.made = [0] * len(self.text)
+        for k, i in enumerate(ranked, 1):
+            self.made[i] = k
+        often = Counter(self.score[i] for i in ranked)
+        self.tied = frozenset(i for i in ranked if often[self.score[i]] > 1)  # pieces of one score, such as runs of marks
+        self.split: dict[int, tuple[int, int]] = {}
+        self.single = frozenset(p for p in self.ids if len(p) == 1)
         self.matches = ahocorasick.Automaton()
         for p, i in self.ids.items():
             self.matches.add_word(p, (i, len(p)))
         self.matches.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.known: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        self.known = Known(self)
 
     # -- the prefix table ------------------------------------------------------------------------------------------
     def compatible(self, left: int, right: int) -> bool:
-        """Whether the two pieces' characters, merged alone, end as these two pieces."""
-        return self.merged(self.text[left] + self.text[right]) == [self.text[left], self.text[right]]
+        """Whether the two pieces' characters, merged alone, end as these two pieces.
 
-    def merged(self, chars: str) -> list[str]:
-        """The greedy merges of a short string: best score first, leftmost among equals."""
+        The merges that made the pieces are undone, the last one first. Whenever the two ends at the boundary could have
+        been merged before the merge undone last (at the same rank the leftmost is first), the boundary was crossed.
+        """
+        own, text, made, tied, pair = self.ids, self.text, self.made, self.tied, [self.text[left], self.text[right]]
+        limit = len(text) + 1
+        while True:
+            if left in tied or right in tied:  # their merges are not told apart by rank
+                return self.merged("".join(pair)) == pair
+            over = own.get(text[left] + text[right])
+            if over is not None and made[over] < limit:
+                return False
+            a, b = made[left], made[right]
+            if not (a or b):
+                return True
+            if a > b:
+                halves, limit = self.halves(left), a
+                left = halves[1]
+            else:
+                halves, limit = self.halves(right), b + 1
+                right = halves[0]
+            if halves[0] < 0:  # no merges end in this piece
+                return False
+
+    def halves(self, piece: int) -> tuple[int, int]:
+        """What the last merge of a piece joins; -1 where its characters do not merge to it."""
+        got = self.split.get(piece)
+        if got is None:
+            parts = self.merged(self.text[piece], 2)
+            fine = len(parts) == 2 and parts[0] in self.ids and parts[1] in self.ids
+            got = self.split[piece] = (self.ids[parts[0]], self.ids[parts[1]]) if fine else (-1, -1)
+        return got
+
+    def fit(self, left: int, right: int) -> bool:
+        """compatible(), remembered."""
+        if len(self.fits) > PAIRS:
+            self.fits.clear()
+        got = self.fits[left << 32 | right] = self.compatible(left, right)
+        return got
+
+    def merged(self, chars: str, most: int = 0) -> list[str]:
+        """The greedy merges of a short string: best score first, leftmost among equals; no more once `most` parts are left."""
         parts = list(chars)
         while True:
+            if len(parts) <= most:
+                return parts
             best, at = None, -1
             for k in range(len(parts) - 1):
                 i = self.ids.get(parts[k] + parts[k + 1])
@@ -84,6 +134,27 @@ class Pieces:
         last = [NONE] * (n + 1)
         last[0] = START
         size = [0] * (n + 1)
+        if self.single.issuperset(chars):  # every character is a piece, so no place is settled without a match
+            for end, (i, k) in self.matches.iter(chars):
+                end += 1
+                if last[end] != NONE:
+                    continue
+                left = last[end - k]
+                if left >= 0:
+                    fit = fits.get(left << 32 | i)
+                    if fit is None:
+                        fit = self.fit(left, i)
+                else:
+                    fit = left != NONE
+                if fit:
+                    last[end], size[end] = i, k
+            out, end = [], n
+            while end and last[end] >= 0:
+                out.append(last[end])
+                end -= size[end]
+            if end:
+                raise ValueError(f"no encoding ends {chars[:40]!r}")
+            return out[::-1]
         done = 0  # all prefixes of up to so many characters are settled
         for end, (i, k) in self.matches.iter(chars):
             end += 1
@@ -95,12 +166,9 @@ class Pieces:
                     last[done], size[done] = ALONE, 1
             left = last[end - k]
             if left >= 0:
-                key = left << 32 | i
-                fit = fits.get(key)
+                fit = fits.get(left << 32 | i)
                 if fit is None:
-                    if len(fits) > PAIRS:
-                        fits.clear()
-                    fit = fits[key] = self.compatible(left, i)
+                    fit = self.fit(left, i)
             else:  # at the start, or after a character without a piece, anything fits; NONE: no encoding ends there
                 fit = left != NONE
             if fit:
@@ -118,20 +186,10 @@ class Pieces:
             end -= size[end]
         return out[::-1]
 
-    def remembered(self, chars: str) -> tuple[str, int, str]:
-        """Ids joined by commas, their number, and the decoded text of a stretch."""
-        got = self.known.get(chars)
-        if got is None:
-            got = self.older.get(chars)
-            if got is None:
-                ids = self.stretch(chars)
-                plain = self.byte_of.keys().isdisjoint(ids)
-                got = ",".join(map(str, ids)), len(ids), chars.replace(MARK, " ") if plain else self.surface(ids)
-            if len(chars) <= LONG:
-                if len(self.known) >= LIMIT:  # the stretches seen since the last time stay
-                    self.older, self.known = self.known, {}
-                self.known[chars] = got
-        return got
+    def described(self, chars: str) -> tuple[str, int, str | None]:
+        """Ids joined by commas, their number, and the decoded text of a stretch; None where only its marks are replaced."""
+        ids = self.stretch(chars)
+        return ",".join(map(str, ids)), len(ids), None if self.byte_of.keys().isdisjoint(ids) else self.surface(ids)
 
     # -- whole texts -----------------------------------------------------------------------------------------------
     @staticmethod
@@ -140,11 +198,18 @@ class Pieces:
         return CUT.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def digest(self, text: str) -> tuple[str, int, str]:
-        parts = [self.remembered(s) for s in self.stretches(text)]
-        return ",".join([p[0] for p in parts]), sum([p[1] for p in parts]), "".join([p[2] for p in parts])[1:] if parts else ""
+        parts = self.stretches(text)
+        if not parts:
+            return "", 0, ""
+        ids, sizes, decoded = zip(*map(self.known.__getitem__, parts), strict=True)
+        if any(d is not None for d in decoded):
+            whole = "".join([c.replace(MARK, " ") if d is None else d for c, d in zip(parts, decoded, strict=True)])[1:]
+        else:
+            whole = text.replace(MARK, " ")
+        return ",".join(ids), sum(sizes), whole
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for s in self.stretches(text) for i in self.remembered(s)[0].split(",")]
+        return [int(i) for s in self.stretches(text) for i in self.known[s][0].split(",")]
 
     def surface(self, ids: list[int]) -> str:
         """The text of ids, a blank mark as a space; runs of bytes become characters, each stray byte U+FFFD."""
@@ -166,6 +231,25 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+class Known(dict):
+    """stretch -> what Pieces.described() says of it, for the stretches met last; the ones before them are kept once more."""
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces, self.older = pieces, {}
+
+    def __missing__(self, chars: str) -> tuple[str, int, str | None]:
+        got = self.older.get(chars)
+        if got is None:
+            got = self.pieces.described(chars)
+        if len(chars) <= LONG:
+            if len(self) >= LIMIT:
+                self.older = dict(self)
+                self.clear()
+            self[chars] = got
+        return got
+
+
 CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -216,7 +300,7 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     def row(pieces: Pieces, doc_id: int | None, text: str | None) -> tuple:
         ids, n, decoded = pieces.digest(text or "")
         hashes = hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
-        more = ([int(i) for i in ids.split(",")] if ids else [], decoded) if with_ids else ()
+        more = (np.array(ids.split(","), np.int32) if ids else np.zeros(0, np.int32), decoded) if with_ids else ()
         return doc_id, n, *hashes, *more
 
     return mapped(
