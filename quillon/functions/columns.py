@@ -142,6 +142,23 @@ def first_word(header: Column) -> Column:
     return F.element_at(F.split(F.trim(header), r"\s+"), 1)
 
 
+def kmer_contig(header: Column) -> Column:
+    """The assembler's contig name at the start of a header; empty if there is none."""
+    return F.regexp_extract(header, r"^(k\d+_\d+)", 1)
+
+
+def prefixed(group: Column, name: Column) -> Column:
+    return F.concat(group, F.lit("_"), name)
+
+
+#: Marker families that count as another one (fixed values).
+ALIASES = {"TIGR00388": "TIGR00389", "TIGR00471": "TIGR00472", "TIGR00408": "TIGR00409", "TIGR02386": "TIGR02387"}
+
+
+def marker_alias(marker: Column) -> Column:
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv])[marker], marker)
+
+
 def last_token(name: Column) -> Column:
     return F.element_at(F.split(name, "_"), -1)
 

@@ -48,6 +48,23 @@ def overlaps(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+def unmatched(a: DataFrame, b: DataFrame, ratio: float) -> DataFrame:
+    """Bins of b that no bin of a shares at least `ratio` percent of either's length with."""
+    matched = overlaps(a, b).where(F.col("ratio") >= ratio).select(F.col("bin_b").alias("bin"))
+    return b.select("bin").distinct().join(matched, "bin", "left_anti")
+
+
+def marker_listing(hits: DataFrame, by: str = "bin") -> DataFrame:
+    """Per bin or marker: the distinct genes, sorted and joined, and how many there are."""
+    genes = hits.select(by, "gene").distinct().groupBy(by)
+    return genes.agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_list("gene")), ",").alias("genes"))
+
+
+def membership(members: DataFrame) -> DataFrame:
+    """Lines of contig and bin for every final bin."""
+    return members.select(F.concat_ws("\t", F.col("contig").cast("string"), "bin").alias("value"))
+
+
 def good(comp: float, cont: float, strict: bool = False) -> Column:
     if strict:
         return (F.col("completeness") > comp) & (F.col("contamination") < cont)

@@ -38,7 +38,7 @@ def counts(paired: DataFrame) -> DataFrame:
 
 def accounting(records: DataFrame, contigs: DataFrame, match: Column, *order: str) -> DataFrame:
     """status and n: each pair is excluded by the contigs kept, a poor match, or of one or two contigs; odd last records
-    of a name that has records after it in the whole order are single."""
+    of a name that has records after it in the whole order (by name, then by the given columns) are single."""
     known = contigs.select(F.col("contig").alias("known"))
     p = pairs(records, match, *order)
     a, b = known.withColumnRenamed("known", "ka"), known.withColumnRenamed("known", "kb")
@@ -48,7 +48,33 @@ def accounting(records: DataFrame, contigs: DataFrame, match: Column, *order: st
         .when(F.col("a") == F.col("b"), "same_contig")
         .otherwise("different_contig")
     )
-    return p.join(a, p.a == F.col("ka"), "left").join(b, p.b == F.col("kb"), "left").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+    by = records.groupBy("qname").agg((F.count("*") % 2).alias("odd"))
+    # the last name of all comes by a one-row maximum; its odd record meets the end of the file uncounted
+    single = by.agg((F.sum("odd") - F.max_by("odd", "qname")).alias("n")).where("n > 0").select(F.lit("single").alias("status"), "n")
+    return p.join(a, p.a == F.col("ka"), "left").join(b, p.b == F.col("kb"), "left").groupBy(status.alias("status")).agg(F.count("*").alias("n")).union(single)
+
+
+def length_accounting(contigs: DataFrame, least: int) -> DataFrame:
+    """How many contigs are long enough and how many are too short; a null length is too short."""
+    enough = F.coalesce(F.col("length") >= least, F.lit(False))
+    return contigs.agg(F.count_if(enough).alias("kept"), F.count_if(~enough).alias("too_short"))
+
+
+def informative(same_contig: Column, distance: Column, mapq_a: Column, mapq_b: Column, flag_a: Column, flag_b: Column, apart: int = 10_000, strict: bool = False) -> Column:
+    """Pairs that tell of contacts: both mapped (flag 4) with a mapping quality, no duplicate (flag 0x400), and of two
+    contigs or far enough apart; strict leaves out all of one contig."""
+    fine = (mapq_a != 0) & (mapq_b != 0)
+    for flag in (flag_a, flag_b):
+        fine = fine & (flag.bitwiseAND(F.lit(0x404)) == 0)
+    return fine & (~same_contig if strict else ~same_contig | (F.abs(distance) >= apart))
+
+
+def mate_gated(records: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Records of pairs (flag 1) whose both ends are mapped (flags 4 and 8), with both contigs in the allowed set."""
+    gate = records.where(F.col("flag").bitwiseAND(F.lit(0x1 | 0x4 | 0x8)) == 1)
+    for end in ("contig", "mate_contig"):
+        gate = gate.join(allowed.select(F.col("contig").alias("__allowed")).distinct(), F.col(end) == F.col("__allowed"), "left_semi")
+    return gate
 
 
 def symmetric(edges: DataFrame) -> DataFrame:

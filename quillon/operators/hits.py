@@ -25,10 +25,21 @@ def thresholded(hits: DataFrame, targets: float, most: float, domain_most: float
 
 def without_twins(hits: DataFrame, near: int = 3, share: float = 0.95) -> DataFrame:
     """Hits of a target by start without those that begin and end within `near` of the hit before, or that it covers by
-    `share`; only neighbours are compared."""
+    `share`; only neighbours are compared, and a target's first hit stays."""
     w = Window.partitionBy("target").orderBy("start", "end", "hit")
     s, e = F.lag("start").over(w), F.lag("end").over(w)
-    d = hits.withColumns({"s": s, "e": e})
-    flush = (F.abs(F.col("start") - F.col("s")) <= near) & (F.abs(F.col("end") - F.col("e")) <= near)
-    inside = F.greatest(F.lit(0), F.least("end", "e") - F.greatest("start", "s") + 1) >= share * (F.col("end") - F.col("start") + 1)
-    return d.where(~F.coalesce(flush | inside, F.lit(False))).drop("s", "e")
+    d = hits.withColumns({"__s": s, "__e": e})
+    flush = (F.abs(F.col("start") - F.col("__s")) <= near) & (F.abs(F.col("end") - F.col("__e")) <= near)
+    inside = F.greatest(F.lit(0), F.least("end", "__e") - F.greatest("start", "__s") + 1) >= share * (F.col("end") - F.col("start") + 1)
+    return d.where(F.col("__s").isNull() | ~F.coalesce(flush | inside, F.lit(False)))  # least() would skip a null.drop("__s", "__e")
+
+
+def of_known(hits: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Hits on contigs that are known."""
+    return hits.join(contigs.select("contig").distinct(), "contig", "left_semi")
+
+
+def longest_markers(hits: DataFrame, lengths: DataFrame, most: int = 8000) -> DataFrame:
+    """Hits on the `most` longest marker contigs (ties by name): a top-k report, merged from each task's own."""
+    own = lengths.join(hits.select("contig").distinct(), "contig", "left_semi").orderBy(F.desc("length"), "contig").limit(most)
+    return hits.join(own.select("contig"), "contig", "left_semi")

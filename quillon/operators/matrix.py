@@ -120,7 +120,12 @@ def walked(stochastic: DataFrame, starts: DataFrame, restart: float, steps: int,
             new = above_percentile(new, percent)
         new = stored(new)
         was = q.withColumnRenamed("v", "w")
-        gap = new.join(was, ["i", "j"], "full").agg(F.sqrt(F.sum((F.coalesce("v", F.lit(0.0)) - F.coalesce("w", F.lit(0.0))) ** 2)).alias("d")).first().d
+        # the last step's change decides nothing, and without a tolerance none does
+        if tolerance and step < steps - 1:
+            both = new.select("i", "j", "v").union(was.select("i", "j", (-F.col("w")).alias("v")))
+            gap = both.groupBy("i", "j").agg(F.sum("v").alias("d")).agg(F.sqrt(F.sum(F.col("d") ** 2)).alias("d")).first().d
+        else:
+            gap = 1.0 + tolerance
         q = new
         if gap is None or gap < tolerance:
             break
@@ -130,7 +135,7 @@ def walked(stochastic: DataFrame, starts: DataFrame, restart: float, steps: int,
 def balanced(edges: DataFrame, rounds: int, tolerance: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Scale factors x with x * (A x) = 1 after so many rounds of x <- sqrt(x / (A x)), on the matrix with ones on empty
     diagonals, and the scaled original matrix."""
-    from ..sources.tables import stored
+    from ..sources.tables import dropped, stored
 
     full = symmetric(edges.select("i", "j", F.col("v").cast("double").alias("v")))
     ids = full.select(F.col("i").alias("contig")).distinct()
@@ -140,8 +145,10 @@ def balanced(edges: DataFrame, rounds: int, tolerance: float = 0.0) -> tuple[Dat
     for _ in range(rounds):
         ax = work.join(x.select(F.col("contig").alias("j"), "x"), "j").groupBy("i").agg(F.sum(F.col("v") * F.col("x")).alias("ax"))
         new = stored(x.join(ax, x.contig == ax.i).select("contig", F.sqrt(F.col("x") / F.col("ax")).alias("x"), F.abs(1 - F.col("x") * F.col("ax")).alias("off")))
+        dropped(x)
         x = new.select("contig", "x")
-        if tolerance and new.agg(F.max("off")).first()[0] < tolerance:
+        off = new.agg(F.max("off")).first()[0] if tolerance else 1.0
+        if off is None or off < tolerance:  # an empty matrix is balanced
             break
     xi, xj = x.select(F.col("contig").alias("i"), F.col("x").alias("xi")), x.select(F.col("contig").alias("j"), F.col("x").alias("xj"))
     return x, edges.join(xi, "i").join(xj, "j").select("i", "j", (F.col("xi") * F.col("v") * F.col("xj")).alias("v"))

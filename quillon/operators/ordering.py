@@ -40,6 +40,16 @@ def repositioned(df: DataFrame, group: str, mask: str, pos: str) -> DataFrame:
     return df.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(F.desc(mask), pos)) - 1)
 
 
+def ordered(contigs: DataFrame, order: DataFrame) -> DataFrame:
+    """contigs with place (from 0, in the given order's) and orientation of (contig, at, orientation); contigs that the order
+    leaves out are excluded by it. An order that names a contig twice, or one that is unknown, is an error."""
+    wrong = order.groupBy("contig").agg(F.count("*").alias("n")).join(contigs.select("contig").withColumn("known", F.lit(True)).distinct(), "contig", "left").where("n > 1 or known is null").limit(1).collect()
+    if wrong:
+        raise ValueError(f"the order names {wrong[0].contig} {'twice' if wrong[0].n > 1 else 'although it is unknown'}")
+    place = dense_numbers(order.select("contig", "orientation", "at"), "at", "place")
+    return contigs.join(place.drop("at"), "contig", "left").withColumn("accepted", F.col("place").isNotNull())
+
+
 def first_seen(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__rn = 1").drop("__rn")
 
@@ -54,13 +64,13 @@ def n50(df: DataFrame, group: str, length: str, *ties: str, strict: bool = False
     order = [F.desc(length), *ties]
     run = F.sum(length).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     whole = Window.partitionBy(group)
-    d = df.withColumn("run", run).withColumn("total", F.sum(length).over(whole)).withColumn("rn", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    reached = 2 * F.col("run") > F.col("total") if strict else 2 * F.col("run") >= F.col("total")
-    at = F.min(F.when(reached, F.col("rn")))
-    exact = F.min_by(2 * F.col("run") == F.col("total"), F.when(reached, F.col("rn")))
+    d = df.withColumns({"__run": run, "__total": F.sum(length).over(whole), "__rn": F.row_number().over(Window.partitionBy(group).orderBy(*order))})
+    reached = 2 * F.col("__run") > F.col("__total") if strict else 2 * F.col("__run") >= F.col("__total")
+    at = F.min(F.when(reached, F.col("__rn")))
+    exact = F.min_by(2 * F.col("__run") == F.col("__total"), F.when(reached, F.col("__rn")))
     return d.groupBy(group).agg(
         F.max(F.when(reached, F.col(length))).alias("n50"), at.alias("l50"),
-        (F.count("*") - at + F.when(exact, 0).otherwise(1)).alias("m50"), F.max("total").alias("total"), F.count("*").alias("n"),
+        (F.count("*") - at + F.when(exact, 0).otherwise(1)).alias("m50"), F.max("__total").alias("total"), F.count("*").alias("n"),
     )
 
 

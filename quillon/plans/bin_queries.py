@@ -87,9 +87,9 @@ def dereplicate_best(spark, sf):
     return bins.dereplicated(members(spark, sf).select("bin", "contig"), stats(spark, sf))
 
 
-@query("dereplicate_remove", f"with {SQL_M}, k as (select * from m where bin_set <> 'B' or contig % 3 = 0) select contig, bin from k where bin_set <> 'C' and contig in (select contig from k where bin_set <> 'C' group by 1 having count(*) = 1)")
+@query("dereplicate_remove", f"with {SQL_M}, k as (select * from m where bin_set <> 'B' or length >= 30000) select contig, bin from k where bin_set <> 'C' and contig in (select contig from k where bin_set <> 'C' group by 1 having count(*) = 1)")
 def dereplicate_remove(spark, sf):
-    k = members(spark, sf).where("bin_set <> 'C' and (bin_set <> 'B' or contig % 3 = 0)")
+    k = members(spark, sf).where("bin_set <> 'C' and (bin_set <> 'B' or length >= 30000)")
     return bins.dereplicated(k, stats(spark, sf), remove=True)
 
 
@@ -179,9 +179,9 @@ def marker_iteration_order(spark, sf):
     return bins.marker_order(hits(spark, sf))
 
 
-@query("marker_coverage", "select p_type marker, count(*) n from part where p_size - 1 > 40 * 0.9 and p_partkey % 2 = 0 group by 1")
+@query("marker_coverage", "select p_type marker, count(*) n from part where p_size - 1 > 40 * 0.9 group by 1")
 def marker_coverage(spark, sf):
-    return table(spark, sf, "part").where("p_size - 1 > 40 * 0.9 and p_partkey % 2 = 0").groupBy(F.col("p_type").alias("marker")).agg(F.count("*").alias("n"))
+    return table(spark, sf, "part").where("p_size - 1 > 40 * 0.9").groupBy(F.col("p_type").alias("marker")).agg(F.count("*").alias("n"))
 
 
 @query("marker_completeness", f"""with {SQL_H}, ms as (select distinct p_type marker, length(p_type) % 3 set_id from part), c as (select bin, marker, count(*) c from h group by 1, 2), z as (select set_id, count(*) size from ms group by 1),
@@ -241,9 +241,9 @@ def running_offset(spark, sf):
     return ordering.running_offsets(p, "grp", ["k"], "p_size").select("grp", "k", F.col("offset").cast("long").alias("offset"))
 
 
-@query("dense_ids", "select s_suppkey contig, row_number() over (order by s_suppkey) - 1 localid from supplier where s_suppkey % 4 <> 1")
+@query("dense_ids", "select s_suppkey contig, row_number() over (order by s_suppkey) - 1 localid from supplier")
 def dense_ids(spark, sf):
-    s = table(spark, sf, "supplier").where("s_suppkey % 4 <> 1").select(F.col("s_suppkey").alias("contig"))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("contig"))
     return ordering.dense_numbers(s, "contig", "localid")
 
 
@@ -269,12 +269,12 @@ def set_symmetric_difference(spark, sf):
     return a.join(b, "v", "left_anti").withColumn("side", F.lit("left")).union(b.join(a, "v", "left_anti").withColumn("side", F.lit("right")))
 
 
-@query("bipartite_weights", """with q as (select l_suppkey u, l_partkey % 7 b, l_quantity v from lineitem where l_suppkey <= 8), s as (select distinct l_suppkey u from lineitem where l_suppkey <= 8), t as (select unnest(range(7)) b)
+@query("bipartite_weights", """with q as (select l_suppkey u, l_partkey % 7 b, l_quantity v from lineitem), s as (select distinct l_suppkey u from lineitem), t as (select unnest(range(7)) b)
 select s.u, t.b, round(-coalesce(avg(v), 0), 6) w from s cross join t left join q on q.u = s.u and q.b = t.b group by 1, 2""")
 def bipartite_weights(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_suppkey <= 8")
+    li = table(spark, sf, "lineitem")
     q = li.groupBy(F.col("l_suppkey").alias("u"), (F.col("l_partkey") % 7).alias("b")).agg(F.avg("l_quantity").alias("v"))
-    # every pair is wanted: both sides are small dimensions (unbinned contigs of one marker, bins)
+    # every pair of a contig and a bin is the result; the seven bins are the side of a known size
     every = li.select(F.col("l_suppkey").alias("u")).distinct().crossJoin(F.broadcast(spark.range(7).withColumnRenamed("id", "b")))
     return every.join(q, ["u", "b"], "left").select("u", "b", F.round(-F.coalesce("v", F.lit(0.0)), 6).alias("w"))
 

@@ -65,11 +65,11 @@ def acceptance_mask(spark, sf):
     return s.select("contig", ((F.col("length") >= 5000) & (F.col("largest") >= 3)).alias("accepted"))
 
 
-@query("pair_accounting", f"""with {SQL_P}, k as (select s_suppkey contig from supplier where s_suppkey % 5 <> 0)
+@query("pair_accounting", f"""with {SQL_P}, k as (select s_suppkey contig from supplier where abs(s_acctbal) >= 2000), c as (select l_orderkey q, count(*) % 2 odd from lineitem group by 1), g as (select sum(odd) - max_by(odd, q) n from c)
 select case when ka.contig is null or kb.contig is null then 'ref_excluded' when mapq < 10 then 'poor_match' when a = b then 'same_contig' else 'different_contig' end status,
-count(*) n from p left join k ka on ka.contig = a left join k kb on kb.contig = b group by 1""")
+count(*) n from p left join k ka on ka.contig = a left join k kb on kb.contig = b group by 1 union all select 'single', cast(n as bigint) from g where n > 0""")
 def pair_accounting(spark, sf):
-    kept = contigs(spark, sf).where("contig % 5 <> 0")
+    kept = contigs(spark, sf).where("coverage >= 20")
     return contacts.accounting(records(spark, sf), kept, F.col("mapq") >= 10, *ORDER)
 
 

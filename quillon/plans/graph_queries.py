@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import bins, contacts, graph
 from ..sources.tables import stored
 from .bin_queries import hits
-from .inputs import SQL_E, edges, table
+from .inputs import SQL_E, contigs, edges, table
 from .registry import query
 
 
@@ -16,10 +16,10 @@ def graph_edges(spark, sf):
     return edges(spark, sf).where("i < j")
 
 
-@query("connected_components", """with recursive l as (select distinct c_nationkey * 10 + c_custkey % 3 i, c_custkey % 97 + 1000 j from customer where c_custkey % 5 = 0), b as (select i, j from l union select j, i from l),
+@query("connected_components", """with recursive l as (select distinct c_nationkey * 10 + c_custkey % 3 i, c_custkey % 97 + 1000 j from customer), b as (select i, j from l union select j, i from l),
 r(node, reach) as (select i, i from b union select r.node, b.j from r join b on b.i = r.reach) select node, min(reach) component from r group by 1""")
 def connected_components(spark, sf):
-    c = table(spark, sf, "customer").where("c_custkey % 5 = 0")
+    c = table(spark, sf, "customer")
     l = c.select((F.col("c_nationkey") * 10 + F.col("c_custkey") % 3).alias("i"), (F.col("c_custkey") % 97 + 1000).alias("j")).distinct()  # noqa: E741
     return graph.components(l)
 
@@ -52,7 +52,7 @@ def modularity_pinned(spark, sf):
 
 @query("resolution_sweep")
 def resolution_sweep(spark, sf):
-    """The first resolution with more large clusters than seed genes, else the last."""
+    """The first resolution with more clusters of enough length than seed genes, else the last."""
     h = hits(spark, sf)
     genes = h.join(F.broadcast(bins.seed_marker(h).select("marker")), "marker", "left_semi").agg(F.count_distinct("contig")).first()[0]
     e = links(spark, sf)
@@ -60,7 +60,8 @@ def resolution_sweep(spark, sf):
     got = None
     for gamma in GAMMAS:
         got = stored(graph.clustered(e, gamma, ready=ready).withColumn("gamma", F.lit(gamma)))
-        if got.groupBy("cluster").agg(F.count("*").alias("n")).where("n >= 2").count() > genes:
+        m = got.join(contigs(spark, sf).select(F.col("contig").alias("node"), "length"), "node").withColumnRenamed("cluster", "bin")
+        if bins.large_clusters(m, 150_000).first().numcom > genes:
             break
     return got
 

@@ -61,10 +61,10 @@ def max_scaled(spark, sf):
     return rounded(matrix.max_scaled(edges(spark, sf)))
 
 
-@query("compress_submatrix", f"""with {SQL_E}, k as (select s_suppkey contig, row_number() over (order by s_suppkey) - 1 place from supplier where s_suppkey % 3 <> 0)
+@query("compress_submatrix", f"""with {SQL_E}, k as (select s_suppkey contig, row_number() over (order by s_suppkey) - 1 place from supplier where abs(s_acctbal) >= 3000)
 select a.place i, b.place j, v from e join k a on a.contig = i join k b on b.contig = j""")
 def compress_submatrix(spark, sf):
-    return matrix.compressed(edges(spark, sf), contigs(spark, sf).where("contig % 3 <> 0"))
+    return matrix.compressed(edges(spark, sf), contigs(spark, sf).where("coverage >= 30"))
 
 
 @query("permute_matrix", f"""with {SQL_E}, k as (select s_suppkey contig, row_number() over (order by s_name desc) - 1 place from supplier)
@@ -102,13 +102,13 @@ def column_stochastic(spark, sf):
     return rounded(matrix.column_stochastic(contacts.symmetric(edges(spark, sf)), contigs(spark, sf).select("contig")))
 
 
-@query("restart_walk_2", f"""with {SQL_E} {SQL_ST}, u as (select s_suppkey i, s_suppkey j, 1.0 v from supplier where s_suppkey <= 20),
+@query("restart_walk_2", f"""with {SQL_E} {SQL_ST}, u as (select s_suppkey i, s_suppkey j, 1.0 v from supplier where abs(s_acctbal) >= 9500),
 q1 as (select i, j, sum(v) v from (select u.i, st.j, 0.5 * u.v * st.v v from u join st on u.j = st.i union all select i, j, 0.5 * v from u) group by 1, 2),
 q2 as (select i, j, sum(v) v from (select q1.i, st.j, 0.5 * q1.v * st.v v from q1 join st on q1.j = st.i union all select i, j, 0.5 * v from u) group by 1, 2)
 select i, j, round(v, 6) v from q2""")
 def restart_walk_2(spark, sf):
     p = matrix.column_stochastic(contacts.symmetric(edges(spark, sf)), contigs(spark, sf).select("contig"))
-    return rounded(matrix.walked(p, contigs(spark, sf).where("contig <= 20"), 0.5, 2, tolerance=0.0))
+    return rounded(matrix.walked(p, contigs(spark, sf).where("coverage >= 95"), 0.5, 2, tolerance=0.0))
 
 
 @query("degree_normalised", f"""with {SQL_E}, b as (select i, j, sum(v) v from (select i, j, v from full_e union all select j, i, v from full_e) group by 1, 2), d as (select i k, sum(v) d from b group by 1)
@@ -183,15 +183,9 @@ def nb_regression(spark, sf):
 
 @query("norm_pair_regression")
 def norm_pair_regression(spark, sf):
-    from ..operators.ordering import zscores
-
-    e = matrix.with_attributes(edges(spark, sf).where("i <> j"), contigs(spark, sf), "sites", "length", "coverage")
-    x = e.select("i", "j", "v", *[F.log((F.col(f"{c}_i") + 1) * (F.col(f"{c}_j") + 1)).alias(c) for c in ("sites", "length", "coverage")])
-    z = zscores(x, "sites", "length", "coverage")
-    names = ["z_sites", "z_length", "z_coverage"]
-    b = models.negative_binomial(z, "v", names)
-    mu = F.exp(sum((F.lit(w) * F.col(n) for w, n in zip(b[1:], names, strict=True)), F.lit(b[0])))
-    return matrix.above_percentile(z.select("i", "j", (F.col("v") / mu).alias("v")), 5)
+    from ..operators import jobs
+
+    return matrix.above_percentile(jobs.pair_expected(edges(spark, sf), contigs(spark, sf)), 5)
 
 
 @query("gaussian_em")

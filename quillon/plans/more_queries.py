@@ -34,7 +34,7 @@ def hit_thresholds(spark, sf):
 
 
 @query("hits_without_twins", f"""with {SQL_HITS}, d as (select *, lag(s) over w ps, lag(e) over w pe from (select distinct target, hit, s, e from h) window w as (partition by target order by s, e, hit))
-select target, count(*) n from d where not coalesce((abs(s - ps) <= 3 and abs(e - pe) <= 3) or greatest(0, least(e, pe) - greatest(s, ps) + 1) >= 0.95 * (e - s + 1), false) group by 1""")
+select target, count(*) n from d where ps is null or not coalesce((abs(s - ps) <= 3 and abs(e - pe) <= 3) or greatest(0, least(e, pe) - greatest(s, ps) + 1) >= 0.95 * (e - s + 1), false) group by 1""")
 def hits_without_twins(spark, sf):
     d = profile_hits(spark, sf).select("target", "hit", "start", "end").distinct()
     return hits.without_twins(d).groupBy("target").agg(F.count("*").alias("n"))
@@ -58,12 +58,11 @@ def kept_records(spark, sf):
     return li.join(p, li.l_partkey == p.p_partkey, "left_semi").agg(F.count("*").alias("n"))
 
 
-@query("unmatched_bins", f"with {SQL_M}, x as (select distinct b.bin from m a join m b on a.contig = b.contig where a.bin_set = 'A' and b.bin_set = 'B' and a.contig < 3) select distinct bin from m where bin_set = 'B' and bin not in (select bin from x)")
+@query("unmatched_bins", f"""with {SQL_M}, s as (select a.bin a, b.bin b, sum(a.length) s from m a join m b on a.contig = b.contig where a.bin_set = 'A' and b.bin_set = 'B' group by 1, 2), n as (select bin_set, bin, sum(length) n from m group by 1, 2),
+x as (select s.b from s join n p on p.bin_set = 'A' and p.bin = s.a join n q on q.bin_set = 'B' and q.bin = s.b where 100.0 * greatest(s / p.n, s / q.n) >= 20) select distinct bin from m where bin_set = 'B' and bin not in (select b from x)""")
 def unmatched_bins(spark, sf):
     m = members(spark, sf)
-    a, b = m.where("bin_set = 'A'"), m.where("bin_set = 'B'")
-    shared = b.join(a.where("contig < 3").select("contig"), "contig", "left_semi").select("bin").distinct()
-    return b.select("bin").distinct().join(shared, "bin", "left_anti")
+    return bins.unmatched(m.where("bin_set = 'A'"), m.where("bin_set = 'B'"), 20)
 
 
 @query("tick_positions", f"with {SQL_M}, x as (select bin, count(*) n from m where bin_set = 'B' group by 1) select bin, cast(sum(n) over (order by bin rows unbounded preceding) as bigint) tick from x")
@@ -78,10 +77,10 @@ def flow_between_sets(spark, sf):
     return formats.flow_rows(refined, "A", "C").withColumnsRenamed({"A": "a", "C": "c"})
 
 
-@query("subspace", f"""with {SQL_E}, k as (select s_suppkey contig, row_number() over (order by s_suppkey) - 1 place from supplier where s_suppkey % 2 = 0)
+@query("subspace", f"""with {SQL_E}, k as (select s_suppkey contig, row_number() over (order by s_suppkey) - 1 place from supplier where abs(s_acctbal) >= 5000)
 select least(a.place, b.place) // 5 i, greatest(a.place, b.place) // 5 j, cast(sum(v) as bigint) v from e join k a on a.contig = i join k b on b.contig = j group by 1, 2""")
 def subspace(spark, sf):
-    c = matrix.compressed(edges(spark, sf), contigs(spark, sf).where("contig % 2 = 0"))
+    c = matrix.compressed(edges(spark, sf), contigs(spark, sf).where("coverage >= 50"))
     return c.groupBy(F.floor(F.col("i") / 5).alias("i"), F.floor(F.col("j") / 5).alias("j")).agg(F.sum("v").alias("v"))
 
 
@@ -94,12 +93,12 @@ def mge_summary(spark, sf):
     return both.agg(F.count("*").alias("pairs"), F.coalesce(F.sum("v"), F.lit(0)).alias("contacts")).crossJoin(n)
 
 
-@query("tree_scan", "select p_partkey node, row_number() over () - row_number() over () zero from part")
+@query("tree_scan", """with p as (select p_partkey node, '1:' || p_size as path from part), s as (select path, row_number() over (order by count(*) desc, path) - 1 as "cluster" from p group by path) select node, "cluster" from p join s on s.path = p.path""")
 def tree_scan(spark, sf):
     path = tables.shared_dir(spark)
     p = table(spark, sf, "part")
     p.select(F.concat(F.lit("1:"), F.col("p_size").cast("string"), F.lit(":1 0.1 \"x\" "), F.col("p_partkey").cast("string")).alias("value")).write.text(path)
-    return formats.cluster_tree(spark, path).select("node", F.when(F.col("cluster") >= 0, 0).cast("long").alias("zero"))
+    return formats.cluster_tree(spark, path).select("node", F.col("cluster").cast("long").alias("cluster"))
 
 
 @query("domain_table_scan", "select 'k' || p_partkey contig, p_size qlen from part where p_size - 1 > 20")

@@ -117,7 +117,9 @@ def bp_to_mbp(spark, sf):
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), C.mbp(F.col("o_totalprice") * 100).alias("mbp"))
 
 
-@query("codon_translation")
+@query("codon_translation", f"""with {SQL_D}, c as (select doc_id, regexp_extract_all(seq, '(?s)...') codons from d)
+select doc_id, array_to_string(list_transform(codons, lambda c: case when regexp_full_match(c, '[ACGTacgt]{{3}}') then substring('{C.AMINO}',
+cast(16 * strpos('ACGT', upper(substring(c, 1, 1))) + 4 * strpos('ACGT', upper(substring(c, 2, 1))) + strpos('ACGT', upper(substring(c, 3, 1))) - 20 as bigint), 1) else 'X' end), '') protein from c""")
 def codon_translation(spark, sf):
     return seqs(spark, sf).select("doc_id", C.translated(F.col("seq")).alias("protein"))
 

@@ -9,9 +9,9 @@ from ..functions import columns as C
 
 
 def fasta(spark: SparkSession, path: str, min_len: int = 0) -> DataFrame:
-    """file, header, contig (up to the first blank) and seq. Records are split at '>' by the reader, so files split
-    between tasks; compressed files are opened by their suffix."""
-    rows = spark.read.option("lineSep", ">").text(path).select(F.col("_metadata.file_path").alias("file"), "value").where(F.trim("value") != "")
+    """file, header, contig (up to the first blank) and seq. Records are split by the reader at a '>' that begins a line, so files
+    split between tasks and headers may hold '>'; compressed files are opened by their suffix."""
+    rows = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\s*>", "").alias("value")).where(F.trim("value") != "")
     lines = F.split("value", "\r?\n", 2)
     return (
         rows.select("file", F.trim(lines[0]).alias("header"), F.regexp_replace(F.coalesce(F.get(lines, 1), F.lit("")), r"\s", "").alias("seq"))
@@ -56,7 +56,7 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     f = F.split("value", "\t")
     kinds = {"flag": "int", "pos": "long", "mapq": "int", "pnext": "long", "tlen": "long"}
     columns = [f[k].cast(kinds.get(c, "string")).alias(c) for k, c in enumerate(SAM)]
-    return spark.read.text(path).withColumn("file_pos", F.monotonically_increasing_id()).where(~F.col("value").startswith("@")).select("file_pos", *columns, F.slice(f, 12, 1000).alias("tags"))
+    return spark.read.text(path).withColumn("file_pos", F.monotonically_increasing_id()).where(~F.col("value").startswith("@")).select("file_pos", *columns, F.slice(f, F.lit(12), F.greatest(F.size(f) - 11, F.lit(0))).alias("tags"))
 
 
 def sam_header(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions import columns as C
-from quillon.operators import bins, contacts, graph, matrix, models, ordering
+from quillon.operators import bins, contacts, graph, hits, jobs, matrix, models, ordering
 from quillon.plans import registry
 from quillon.plans.scalar_queries import seqs
 from quillon.sources import formats
@@ -30,7 +30,7 @@ def pairs_of(rows):
 def test_pairing_and_accounting(spark, reads):
     kept = spark.createDataFrame([("c1",), ("c2",), ("c3",)], "contig string")
     got = {r.status: r.n for r in contacts.accounting(reads, kept, F.col("mapq") >= 30, "at").collect()}
-    assert got == {"different_contig": 2, "same_contig": 1, "poor_match": 1, "ref_excluded": 1}
+    assert got == {"different_contig": 2, "same_contig": 1, "poor_match": 1, "ref_excluded": 1, "single": 1}
     ok = contacts.pairs(reads.where("contig <> 'c4'"), F.col("mapq") >= 30, "at").where("ok")
     edges = contacts.counts(ok)
     assert pairs_of(edges) == [("c1", "c1", 1), ("c1", "c2", 2)]
@@ -252,8 +252,97 @@ def test_weak_contacts_are_clustered(spark, tmp_path):
     kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
     spark.createDataFrame(link + hit, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.createDataFrame([(0, "m", 1)], "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(c, 1.0) for c in range(1, 7)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
     run = lambda name: registry.queries()[name](spark, str(tmp_path)).collect()
     assert {r.node: r.cluster for r in run("modularity_clusters")} == {1: 1, 2: 1, 5: 1, 3: 3, 4: 3, 6: 3}
     assert run("modularity_quality")[0].modularity == pytest.approx(0.5)
     swept = run("resolution_sweep")
     assert {r.node for r in swept} == set(range(1, 7)) and {r.gamma for r in swept} == {500.0}
+
+
+def test_headers_may_hold_the_mark(spark, tmp_path):
+    (tmp_path / "a.fa").write_text(">c1 len>5\nACGT\nAC\n>c2\n>c3 >x\r\nGG\r\n")
+    got = sorted((r.contig, r.header, r.seq) for r in formats.fasta(spark, str(tmp_path / "a.fa")).collect())
+    assert got == [("c1", "c1 len>5", "ACGTAC"), ("c2", "c2", ""), ("c3", "c3 >x", "GG")]
+
+
+def test_empty_matrix_is_balanced(spark):
+    none = spark.createDataFrame([], "i long, j long, v long")
+    x, scaled = matrix.balanced(none, 5, 1e-6)
+    assert x.count() == 0 and scaled.count() == 0
+
+
+def test_mixture_cutoff():
+    z = C.Z95
+    assert models.mixture_cutoff(300, 50, 900, 100) == min(900 - z * 100, 300 + z * 50)
+    assert models.mixture_cutoff(-300, 50, 900, 100) == 900 - z * 100  # the lower one's end does not count
+    assert models.mixture_cutoff(300, 50, 100, 100) == 300 + z * 50
+    assert models.mixture_cutoff(10, 1, 20, 1) == 100 and models.mixture_cutoff(float("nan"), 1, 2, 1) == 500
+
+
+def test_single_only_before_the_end(spark):
+    """An odd last record counts unless its name is the last one; without any there is no row."""
+    kept = spark.createDataFrame([("c",)], "contig string")
+    frame = lambda names: spark.createDataFrame([(q, i, "c", 60) for i, q in enumerate(names)], "qname string, at int, contig string, mapq int")
+    count = lambda names: {r.status: r.n for r in contacts.accounting(frame(names), kept, F.col("mapq") >= 30, "at").collect()}
+    assert count(["a", "b", "b", "b", "c"]) == {"same_contig": 1, "single": 2}
+    assert count(["a", "a", "b"]) == {"same_contig": 1} and count([]) == {}
+
+
+def test_clashing_columns(spark):
+    rows = spark.createDataFrame([("t", "h1", 1, 100, "mine", 7), ("t", "h2", 2, 101, "own", 8)], "target string, hit string, start int, end int, s string, e int")
+    got = hits.without_twins(rows).collect()
+    assert [(r.hit, r.s, r.e) for r in got] == [("h1", "mine", 7)]
+    d = spark.createDataFrame([("a", 50, 1, "x"), ("a", 30, 2, "y")], "bin string, length long, run int, total string")
+    assert ordering.n50(d, "bin", "length", "run").first().n50 == 50
+
+
+def test_gates_and_flags(spark):
+    d = spark.createDataFrame([(True, 9_999, 1, 1, 0, 0), (True, -10_000, 1, 1, 0, 0), (False, None, 1, 1, 0, 0), (False, 5, 0, 1, 0, 0), (False, 5, 1, 1, 1024, 0), (False, 5, 1, 1, 0, 4)], "same boolean, d int, a int, b int, fa int, fb int")
+    columns = [F.col(c) for c in ("same", "d", "a", "b", "fa", "fb")]
+    got = [(r[0], r[1]) for r in d.select(contacts.informative(*columns), contacts.informative(*columns, strict=True)).collect()]
+    assert got == [(False, False), (True, False), (True, True), (False, False), (False, False), (False, False)]
+    r = spark.createDataFrame([("c1", "c2", 1), ("c1", "c9", 1), ("c1", "c2", 9), ("c1", "c2", 0), (None, "c2", 1)], "contig string, mate_contig string, flag int")
+    allowed = spark.createDataFrame([("c1",), ("c2",), ("c2",)], "contig string")
+    assert contacts.mate_gated(r, allowed).count() == 1
+
+
+def test_order_is_checked(spark):
+    own = spark.createDataFrame([(1,), (2,), (3,)], "contig long")
+    order = lambda rows: spark.createDataFrame(rows, "contig long, at long, orientation int")
+    got = {r.contig: (r.place, r.orientation, r.accepted) for r in ordering.ordered(own, order([(3, 5, 1), (1, 9, 0)])).collect()}
+    assert got == {3: (0, 1, True), 1: (1, 0, True), 2: (None, None, False)}
+    for wrong in ([(3, 5, 1), (3, 6, 1)], [(4, 1, 0)]):
+        with pytest.raises(ValueError):
+            ordering.ordered(own, order(wrong))
+
+
+def test_normalisers(spark):
+    """Contacts made from a known mean come back flat; kinds that do not exist are refused."""
+    rng = np.random.default_rng(2)
+    n = 40
+    v = [(i, int(rng.integers(1, 60)), int(rng.integers(2000, 90000)), float(rng.uniform(1, 30))) for i in range(n)]
+    mu = [np.sqrt(s + 1) * c**0.5 for _, s, _, c in v]
+    rows = [(i, j, float(1 + 10 * mu[i] * mu[j])) for i in range(n) for j in range(i + 1, n)]
+    e, vertices = spark.createDataFrame(rows, "i long, j long, v double"), spark.createDataFrame(v, "contig long, sites long, length long, coverage double")
+    spread = lambda d: float(np.std([r.v for r in d.collect()]) / np.mean([r.v for r in d.collect()]))
+    raw = spread(jobs.normalised(e, vertices, "raw", None))
+    for kind in ("normcc", "hiczin"):
+        assert spread(jobs.normalised(e, vertices, kind, None)) < 0.6 * raw
+    assert jobs.normalised(e, vertices, "raw", 5.0).count() < len(rows)
+    assert jobs.normalised(e.where("v < 0"), vertices, "metator").count() == 0
+    with pytest.raises(ValueError):
+        jobs.normalised(e, vertices, "other")
+    got = jobs.binned(e, vertices, 0, [1.0, 5.0], 1)
+    assert got.count() == n and {r.gamma for r in got.select("gamma").distinct().collect()} == {1.0}
+
+
+def test_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from quillon.sources import tables
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    context = SimpleNamespace(master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset)))
+    with pytest.raises(ValueError):
+        tables.shared_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))

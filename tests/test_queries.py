@@ -32,6 +32,6 @@ def test_same_rows(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"resolution_sweep", "modularity_pinned"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_without_sql(spark, name):
     assert QUERIES[name](spark, DATA).limit(1).count() == 1
