@@ -7,6 +7,7 @@ otherwise; a null id is carried through; each input row gives a row of its own,
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -42,12 +43,15 @@ def bounded(spark: SparkSession) -> None:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; set only where it is unset, as in tests."""
+    """A new folder below spark.checkpoint.dir, which all executors share. Where that is unset, a local master (as in tests)
+    gets a temporary folder; on a cluster it is an error."""
     jsc = spark.sparkContext._jsc.sc()
     base = spark.conf.get("spark.checkpoint.dir", None) or (
         jsc.getCheckpointDir().get() if jsc.getCheckpointDir().isDefined() else None
     )
     if base is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="quillon-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -63,6 +63,54 @@ def test_licenses():
     assert index.scan("nothing of the kind is here at all") == []
 
 
+def common(a, b):
+    """Length of the longest common subsequence, without a band."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for k, y in enumerate(b, 1):
+            new.append(row[k - 1] + 1 if x == y else max(row[k], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_alignments_against_an_unbanded_one():
+    """Random edits of templates, one or two in a text: found if enough is left, with as many matched words."""
+    rng = random.Random(6)
+    templates = {f"L{k}": (" ".join(f"w{rng.randrange(60)}" for _ in range(rng.choice((12, 30, 80)))),) for k in range(8)}
+    index = op2_licenses.Index(templates)
+    sure = 0
+    for _ in range(300):
+        parts, want = [], []
+        for name in rng.sample(sorted(templates), rng.choice((1, 2))):
+            w = op2_licenses.words(templates[name][0])
+            new, drift = [], 0
+            for x in w:
+                what = rng.random()
+                if what < 0.04:
+                    new.append(b"changed")
+                elif what < 0.06 and drift < 3:
+                    drift += 1
+                elif what < 0.08 and drift < 3:
+                    new += [b"more", x]
+                    drift += 1
+                else:
+                    new.append(x)
+            parts += [b"z%d" % rng.randrange(10**6) for _ in range(40)] + new
+            want.append((name, w, new))
+        text = b" ".join(parts).decode()
+        found = index.scan(text)
+        for name, coverage, n, lo, hi in found:
+            assert n == round(coverage * len(op2_licenses.words(templates[name][0]))) and n <= common(op2_licenses.words(templates[name][0]), op2_licenses.words(text)[lo:hi])
+        for name, w, new in want:
+            n = common(w, new)
+            stretches = {tuple(w[k : k + op2_licenses.GUARANTEE]) for k in range(len(w))} & {tuple(new[k : k + op2_licenses.GUARANTEE]) for k in range(len(new))}
+            if n >= op2_licenses.COVERAGE * len(w) and stretches:
+                sure += 1
+                assert any(f[0] == name and f[2] >= n for f in found)
+    assert sure > 200
+
+
 def test_base_spans():
     rng = random.Random(1)
 
