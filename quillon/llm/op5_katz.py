@@ -31,7 +31,7 @@ K = 5  # counts up to this one are discounted
 BLOCK = 500_000  # tokens of a block
 BUCKET = 1_000_000  # tokens of a bucket
 MOST = 2_000_000  # occurrences of a history's last word before it is dealt further
-SLICES = 3  # of the buckets; they are worked on in turn, so that only a share of the messages is on disk at a time
+SLICES = 4  # of the buckets; they are worked on in turn, so that only a share of the messages is on disk at a time
 UNKNOWN, START = 0, 1  # numbers of what is no word of the training documents
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 
