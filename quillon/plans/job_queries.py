@@ -95,12 +95,11 @@ def mate_gates(spark, sf):
     return contacts.mate_gated(li, kept).groupBy("contig").agg(F.count("*").alias("n"))
 
 
-@query("provirus_filter", "select p_partkey contig, p_type quality from part where p_brand <> 'Brand#11' and p_type in (select distinct p_type from part where p_type like '%STEEL' or p_type like '%BRASS')")
+@query("provirus_filter", "select p_partkey contig, p_type quality from part where p_brand <> 'Brand#1' and p_type in ('ECONOMY', 'STANDARD')")
 def provirus_filter(spark, sf):
     """Elements whose topology is none of a host's own, of the better qualities."""
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("contig"), F.col("p_brand").alias("topology"), F.col("p_type").alias("quality"))
-    good = p.where(F.col("quality").endswith("STEEL") | F.col("quality").endswith("BRASS")).select("quality").distinct()
-    return p.where("topology <> 'Brand#11'").join(good, "quality", "left_semi").select("contig", "quality")
+    return p.where((F.col("topology") != "Brand#1") & F.col("quality").isin("ECONOMY", "STANDARD")).select("contig", "quality")
 
 
 @query("hits_of_known_contigs", f"with {SQL_H} select marker, count(*) n from h where contig in (select s_suppkey from supplier where s_acctbal > 2000) group by 1")

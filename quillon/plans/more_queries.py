@@ -58,11 +58,11 @@ def kept_records(spark, sf):
     return li.join(p, li.l_partkey == p.p_partkey, "left_semi").agg(F.count("*").alias("n"))
 
 
-@query("unmatched_bins", f"""with {SQL_M}, s as (select a.bin a, b.bin b, sum(a.length) s from m a join m b on a.contig = b.contig where a.bin_set = 'A' and b.bin_set = 'B' group by 1, 2), n as (select bin_set, bin, sum(length) n from m group by 1, 2),
-x as (select s.b from s join n p on p.bin_set = 'A' and p.bin = s.a join n q on q.bin_set = 'B' and q.bin = s.b where 100.0 * greatest(s / p.n, s / q.n) >= 20) select distinct bin from m where bin_set = 'B' and bin not in (select b from x)""")
+@query("unmatched_bins", f"""with {SQL_M}, s as (select a.bin a, b.bin b, sum(a.length) s from m a join m b on a.contig = b.contig where a.bin_set = 'B' and b.bin_set = 'A' group by 1, 2), n as (select bin_set, bin, sum(length) n from m group by 1, 2),
+x as (select s.b from s join n p on p.bin_set = 'B' and p.bin = s.a join n q on q.bin_set = 'A' and q.bin = s.b where 100.0 * greatest(s / p.n, s / q.n) >= 24) select distinct bin from m where bin_set = 'A' and bin not in (select b from x)""")
 def unmatched_bins(spark, sf):
     m = members(spark, sf)
-    return bins.unmatched(m.where("bin_set = 'A'"), m.where("bin_set = 'B'"), 20)
+    return bins.unmatched(m.where("bin_set = 'B'"), m.where("bin_set = 'A'"), 24)
 
 
 @query("tick_positions", f"with {SQL_M}, x as (select bin, count(*) n from m where bin_set = 'B' group by 1) select bin, cast(sum(n) over (order by bin rows unbounded preceding) as bigint) tick from x")
