@@ -42,8 +42,10 @@ EDGES = ".,;:!?\"'|#*$%&<>[]{}"
 STILL = 1e-6  # messages that change by less have come to rest
 #: The weights are fitted on a bounded sample: so many documents that may hold a base span, and as many that hold a digit
 #: or an at sign, in the order of a hash of their ids and texts, none of more than TRAIN_CHARS characters.
+#: They are looked for in a share of all documents, drawn by that hash, of about POOL documents.
 TRAIN_DOCS = 2000
 TRAIN_CHARS = 20_000
+POOL = 40_000
 
 
 def luhn(digits: str) -> bool:
@@ -305,9 +307,11 @@ def same(labels: np.ndarray, group: list[int]) -> int:
 def trained(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> tuple:
     """The weights of a bounded sample of the documents (doc_id, text) that may hold a base span."""
     texts: list[str] = []
+    share = min(1.0, POOL / max(1, docs.count()))
+    docs = docs.withColumn("h", F.xxhash64("doc_id", "text")).where(F.col("h") / F.lit(2.0**63) <= 2 * share - 1)
     for pattern in (r"[0-9]@|@[A-Za-z0-9-]+\.|[0-9]+\.[0-9]+\.[0-9]+\.[0-9]|\+[0-9]|[0-9]{4}[ -]?[0-9]{4}", "[0-9@]"):
         some = docs.where((F.length("text") <= TRAIN_CHARS) & F.col("text").rlike(pattern))
-        some = some.select(F.xxhash64("doc_id", "text").alias("h"), "text").orderBy("h", "text").limit(train_docs)
+        some = some.select("h", "text").orderBy("h", "text").limit(train_docs)
         texts += [r.text for r in some.toLocalIterator()]
     return fitted(texts)
 
