@@ -7,6 +7,7 @@ otherwise; a null id is carried through; each input row gives a row of its own,
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -80,12 +81,25 @@ def dropped(df: DataFrame) -> None:
 
 def released(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files that no live DataFrame needs; what is needed later is in a table by now."""
-    import gc
-
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+_HELD: dict[str, dict] = {}
+
+
+def held_for(name: str = "") -> dict:
+    """What a Python worker keeps from task to task for one operator (models, remembered words). Workers outlive operators:
+    whoever asks next makes the others' part go, so that a stage is not charged with what the one before it knew."""
+    others = [k for k in _HELD if k != name]
+    if others:
+        for k in others:
+            del _HELD[k]
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return _HELD.setdefault(name, {}) if name else {}
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)
@@ -121,11 +135,13 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
-def mapped(df: DataFrame, row: Callable[[tuple], tuple], schema: str, setup: Callable[[], object] | None = None) -> DataFrame:
-    """row(state, *values) of every row, batch by batch; setup() runs once in each task."""
+def mapped(df: DataFrame, row: Callable[[tuple], tuple], schema: str, setup: Callable[[], object] | None = None, keeps: bool = False) -> DataFrame:
+    """row(state, *values) of every row, batch by batch; setup() runs once in each task. keeps: setup() uses held_for() itself."""
     out = pa_schema(schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            held_for()
         state = setup() if setup else None
         for batch in batches:
             for lo, hi in pieces(batch):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import MULTIPLIER, Hashes, dropped, lowered, mixed, pa_schema, pick, pieces, stored
+from .common import MULTIPLIER, Hashes, dropped, held_for, lowered, mixed, pa_schema, pick, pieces, stored
 
 BINS, ROWS = 128, 4  # 32 bands of 4: two sets of similarity 0.8 share no bucket with a probability of 5e-8
 SHINGLE, SIMILARITY = 5, 0.8
@@ -74,7 +74,8 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     out = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes(300_000)
+        held_for()
+        hashes = Hashes(200_000)
         for batch in batches:
             for lo, hi in pieces(batch):
                 ids, texts = (c.slice(lo, hi - lo).to_pylist() for c in batch.columns)
@@ -94,7 +95,8 @@ def sets_of(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     out = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes(300_000)
+        held_for()
+        hashes = Hashes(200_000)
         for batch in batches:
             for lo, hi in pieces(batch):
                 ids, k, own = [], [], []

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, mapped, pick
+from .common import held_for, lowered, mapped, pick
 
 #: The model is fitted on a bounded sample of the labelled rows: so many, in the order of a hash of their ids, none with
 #: a text of more than TRAIN_CHARS characters, and no more rows once TRAIN_TOTAL characters are reached.
@@ -241,6 +241,7 @@ def kept(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, text_
     @pandas_udf("double")
     def toxicity(texts: pd.Series) -> pd.Series:
         if not state:
+            held_for()
             state.append(Scores(held.value[0]))
         return pd.Series([score_of(state[0], held.value[1], t) for t in texts], dtype="float64")
 

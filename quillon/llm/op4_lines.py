@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from .common import mixed, pa_schema, pick, pieces, stored
+from .common import held_for, mixed, pa_schema, pick, pieces, stored
 
 MIN_WORDS = 50
 BLANK = re.compile(r"[\x20\x09-\x0d]*\Z")
@@ -62,6 +62,7 @@ def fingerprints(docs: DataFrame, least: int) -> DataFrame:
     out = pa_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_for()
         for batch in batches:
             for lo, hi in pieces(batch):
                 rows = [

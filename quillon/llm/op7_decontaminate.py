@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, pick, stored
+from .common import held_for, mapped, pick, stored
 
 #: ASCII letters lowered; other ASCII characters but digits become blanks; all bytes of longer characters stay.
 NORMAL = bytes(
@@ -198,18 +198,16 @@ def passes_of(items: DataFrame, item_id: str, item_text: str, block_words: int,
     yield blocks
 
 
-_MADE: dict[str, list[Automaton]] = {}
-
-
 def matcher(docs: DataFrame, blocks: list[Block], window: int) -> Callable[[], Callable]:
     """setup() for mapped(): a function from words to joined spans and items. A Python worker builds its automata once."""
     held, name = docs.sparkSession.sparkContext.broadcast(blocks), uuid.uuid4().hex
 
     def setup() -> Callable:
-        if name not in _MADE:
-            _MADE.clear()
-            _MADE[name] = [Automaton(block, window) for block in held.value if block]
-        machines = _MADE[name]
+        own = held_for("op7")
+        if name not in own:
+            own.clear()
+            own[name] = [Automaton(block, window) for block in held.value if block]
+        machines = own[name]
 
         def found(ws: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
             every = [m.hits(ws) for m in machines]
@@ -228,7 +226,7 @@ def searched(docs: DataFrame, items: DataFrame, window: int, sizes: tuple[int, i
     for blocks in passes_of(items, item_id, item_text, *sizes):
         if last is not None:
             setup = matcher(docs, last, window)
-            own = mapped(docs.select("doc_id", "text", F.xxhash64("text")), noted, NOTED, setup)
+            own = mapped(docs.select("doc_id", "text", F.xxhash64("text")), noted, NOTED, setup, True)
             before.append(stored(own.where("size(spans) > 0").distinct(), "found"))
         last = blocks
     kind = "array<struct<spans: array<struct<start: int, end: int>>, items: array<string>>>"
@@ -307,7 +305,7 @@ def contamination(
         )
 
     setup, own = searched(pick(docs, id_col, text_col), items, window, (block_words, pass_words), item_id, item_text)
-    return mapped(own.select("doc_id", "text", "__found"), row, schema, setup)
+    return mapped(own.select("doc_id", "text", "__found"), row, schema, setup, True)
 
 
 def removed(
@@ -335,7 +333,7 @@ def removed(
         gone = limit.denominator * n >= limit.numerator * len(ws)
         return gone, "" if gone else without(text, spans), whole
 
-    made = mapped(own.select("text", "__found", "__row"), row, f"__gone boolean, __cut string, __row {kind}", setup).where("not __gone")
+    made = mapped(own.select("text", "__found", "__row"), row, f"__gone boolean, __cut string, __row {kind}", setup, True).where("not __gone")
     return made.select(*[F.col("__cut").alias(c) if c == text_col else F.col(f"__row.{c}").alias(c) for c in docs.columns])
 
 

@@ -16,7 +16,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import mapped, pick
+from .common import held_for, mapped, pick
 
 MARK = "▁"
 #: Types of a piece in a model file (fixed values of the format).
@@ -272,16 +272,13 @@ def lenient(run: bytes) -> str:
         return "".join(out)
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def loaded(model: bytes) -> Pieces:
     """One automaton for each model in a Python worker."""
-    key = hashlib.sha256(model).hexdigest()
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Pieces(model)
-    return _LOADED[key]
+    own, key = held_for("op9"), hashlib.sha256(model).hexdigest()
+    if key not in own:
+        own.clear()
+        own[key] = Pieces(model)
+    return own[key]
 
 
 def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -304,5 +301,5 @@ def encoded(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
         return doc_id, n, *hashes, *more
 
     return mapped(
-        pick(docs, id_col, text_col), row, schema + ", ids array<int>, decoded string" * with_ids, lambda: loaded(held.value)
+        pick(docs, id_col, text_col), row, schema + ", ids array<int>, decoded string" * with_ids, lambda: loaded(held.value), True
     )
