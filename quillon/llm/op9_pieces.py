@@ -21,8 +21,8 @@ from .common import held_for, mapped, pick
 MARK = "▁"
 #: Types of a piece in a model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-LIMIT = 120_000  # remembered stretches in a worker, and as many older ones
-PAIRS = 600_000  # remembered pairs in a worker
+LIMIT = 200_000  # remembered stretches in a worker, and as many older ones
+PAIRS = 1_000_000  # remembered pairs in a worker
 NONE, START, ALONE = -3, -2, -1  # in place of an id: no encoding ends here; nothing before; a character without a piece
 LONG = 64  # characters of a stretch worth remembering
 
