@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash
+from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash, oracles
 from .common import table
 
 
@@ -63,4 +63,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_line_dedup": oracles.LINES,
+        "op6_quality_rules": oracles.QUALITY,
+        "op7_decontaminate_benchmark": oracles.DECONTAMINATION,
+        "op8_suffix_dedup": oracles.SUFFIXES,
+        "op10_near_duplicates": oracles.NEAR_DUPLICATES,
+    }
