@@ -381,6 +381,43 @@ def test_links_that_the_first_star_misses(spark):
     assert got == {i: c for i, (_, c) in brute.near_duplicates(rows, 1).items()}
 
 
+def test_families_on_both_sides_of_the_limit(spark):
+    """Copies of a few texts that differ from them in 2 to 16 % of the words, so that most pairs are near the limit and many
+    are linked through others alone: the same components as by comparing all pairs."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(3000)}"
+    rows = []
+    for _ in range(4):
+        base = [word() for _ in range(rng.choice((20, 60, 140)))]
+        chain = base
+        for _ in range(90):
+            share = rng.uniform(0.02, 0.16)
+            own = [word() if rng.random() < share / 2 else x for x in (chain if rng.random() < 0.3 else base)]
+            if rng.random() < 0.3:
+                own = own[: len(own) - rng.randrange(len(own) // 6 + 1)]
+            chain = own
+            rows.append((len(rows), " ".join(own)))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.near_duplicates(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in op10_minhash.duplicates(df, words=2).collect()} == want
+    assert 8 < len({c for _, c in want.values()}) < 300
+
+
+def test_exact_fraction_of_the_similarity():
+    assert op10_minhash.fraction(0.8) == (4, 5) and op10_minhash.fraction(0.85) == (17, 20) and op10_minhash.fraction(1.0) == (1, 1)
+    with pytest.raises(ValueError):
+        op10_minhash.fraction(0.0)
+
+
+def test_repeated_rows_of_long_texts(spark):
+    """Rows that repeat an id and its text get one row each, with the same answer; they remove nothing from each other."""
+    t = " ".join(f"w{k}" for k in range(80))
+    rows = [(4, t), (4, t), (5, "x " + t), (6, t), (6, "other " + t)]
+    got = op8_suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in got) == [(4, len(t), 0), (4, len(t), 0), (5, len(t) + 2, len(t)), (6, len(t), len(t)), (6, len(t) + 6, len(t))]
+
+
 def test_entry_registers_all():
     import __spark_entry__ as entry
 
