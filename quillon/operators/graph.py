@@ -93,14 +93,70 @@ def weighted(edges: DataFrame, fixed: DataFrame | None = None) -> tuple[DataFram
     return stored(rows), total
 
 
-def clustered(edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = None, ready: tuple[DataFrame, float] | None = None) -> DataFrame:
-    """node, cluster (its least node) by modularity with a resolution. Communities never span components, so each
-    component is one group; the total weight is global. Fixed (node, cluster) pins nodes to communities.
-    ready is weighted(edges, fixed), if it is at hand.
+def moved_apart(rows: DataFrame, total: float, gamma: float, rounds: int = 20) -> DataFrame:
+    """node, cluster of components that no task should hold: (i, j, v, fi, fj) as weighted() makes them.
 
-    No contact is dropped, so a component has to fit a task: there is no distributed move phase.
+    In each round every node's weights to the communities around it are summed, and half of the nodes (by a hash of node
+    and round, so that neighbours do not swap places for ever) go where the quality gains most; pinned ones stay. When none
+    moves, communities become the nodes of a smaller graph, until no two are joined. A round is a few shuffles of the edges
+    and their ends; nothing is gathered but the number of moves.
+    """
+    from ..sources.tables import dropped, stored
+
+    name = lambda c: F.col(c).cast("string")
+    ends = rows.select(name("i").alias("node"), F.col("fi").alias("pin")).union(rows.select(name("j"), "fj"))
+    pins = ends.groupBy("node").agg(F.max("pin").alias("pin"))
+    member = stored(pins.select("node", F.coalesce(F.concat(F.lit("f"), "pin"), F.concat(F.lit("n"), "node")).alias("at"), F.col("pin").isNotNull().alias("pinned")))
+    first = rows.join(member.select(F.col("node").alias("si"), F.col("at").alias("a")), name("i") == F.col("si")).join(member.select(F.col("node").alias("sj"), F.col("at").alias("b")), name("j") == F.col("sj"))
+    graph = stored(first.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("v").alias("v")))
+    while True:
+        both = graph.select("a", "b", "v").union(graph.where("a <> b").select("b", "a", "v"))
+        degree = graph.select("a", "v").union(graph.select("b", "v")).groupBy("a").agg(F.sum("v").alias("k"))
+        own = stored(degree.select(F.col("a").alias("node"), "k", F.col("a").alias("c"), F.col("a").startswith("f").alias("pinned")))
+        before, idle, moved_any = own.count(), 0, False
+        for r in range(rounds):
+            held = own.groupBy("c").agg(F.sum("k").alias("held"))
+            near = both.where("a <> b").join(own.select(F.col("node").alias("b"), "c"), "b").select(F.col("a").alias("node"), "c", "v")
+            to = near.union(own.select("node", "c", F.lit(0.0).alias("v"))).groupBy("node", "c").agg(F.sum("v").alias("w"))
+            here = own.select("node", "k", F.col("c").alias("old"), "pinned")
+            same = F.col("c") == F.col("old")
+            gain = F.col("w") - gamma * F.col("k") * (F.col("held") - F.when(same, F.col("k")).otherwise(0.0)) / (2 * total)
+            best = to.join(here, "node").join(held, "c").groupBy("node", "k", "old", "pinned").agg(F.max(F.struct(F.round(gain, 9).alias("g"), same.alias("stay"), F.col("c"))).alias("m"))
+            turn = (F.xxhash64("node", F.lit(r)) % 2 == 0) & ~F.col("pinned")
+            new = stored(best.select("node", "k", F.when(turn, F.col("m.c")).otherwise(F.col("old")).alias("c"), "pinned", "old"))
+            n = new.where("c <> old").count()
+            dropped(own)
+            own = new.drop("old")
+            moved_any |= n > 0
+            idle = 0 if n else idle + 1
+            if idle == 4:  # each node has had its turn, but for one in sixteen
+                break
+        map_to = own.select(F.col("node").alias("at"), F.col("c").alias("to"))
+        member = stored(member.join(map_to, "at").select("node", F.col("to").alias("at"), "pinned"))
+        if not moved_any or own.select("c").distinct().count() == before:
+            break
+        up = graph.join(own.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(own.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
+        smaller = stored(up.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("v").alias("v")))
+        dropped(graph)
+        graph = smaller
+    kind = dict(rows.dtypes)["i"]
+    out = member.select(F.col("node").cast(kind).alias("node"), "at")
+    return out.join(out.groupBy("at").agg(F.min("node").alias("cluster")), "at").select("node", "cluster")
+
+
+def clustered(
+    edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = None, ready: tuple[DataFrame, float] | None = None, most: int = 1_000_000
+) -> DataFrame:
+    """node, cluster (its least node) by modularity with a resolution. Communities never span components, so each
+    component of at most `most` edges is one group, and larger ones are moved apart by joins; the total weight is global.
+    Fixed (node, cluster) pins nodes to communities. ready is weighted(edges, fixed), if it is at hand. No contact is
+    dropped. The two ways order their moves differently, so a component's clusters may differ between them.
     """
     rows, total = ready or weighted(edges, fixed)
+    large = rows.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > most).select("component")
+    apart = rows.join(large, "component", "left_semi")
+    some = bool(apart.limit(1).count())
+    whole = rows.join(large, "component", "left_anti") if some else rows
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         weights = {(a, b): w for a, b, w in zip(frame["i"], frame["j"], frame["v"], strict=True)}
@@ -113,7 +169,8 @@ def clustered(edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = No
         return pd.DataFrame({"node": nodes, "cluster": [least[found[n]] for n in nodes]})
 
     kind = dict(edges.dtypes)["i"]
-    return rows.groupBy("component").applyInPandas(run, f"node {kind}, cluster {kind}")
+    out = whole.groupBy("component").applyInPandas(run, f"node {kind}, cluster {kind}")
+    return out.union(moved_apart(apart, total, gamma)) if some else out
 
 
 def modularity(edges: DataFrame, clusters: DataFrame, gamma: float = 1.0) -> DataFrame:

@@ -260,6 +260,19 @@ def test_weak_contacts_are_clustered(spark, tmp_path):
     assert {r.node for r in swept} == set(range(1, 7)) and {r.gamma for r in swept} == {500.0}
 
 
+def test_components_moved_apart_by_joins(spark):
+    """A ring of cliques, larger than a task should hold: every clique is a community, as in one task; pins stay."""
+    rows = [(10 * q + a, 10 * q + b, 5.0) for q in range(6) for a in range(5) for b in range(a + 1, 5)] + [(10 * q, 10 * ((q + 1) % 6) + 1, 1.0) for q in range(6)]
+    e = spark.createDataFrame(rows, "i long, j long, v double")
+    want = {10 * q + a: 10 * q for q in range(6) for a in range(5)}
+    got = {r.node: r.cluster for r in graph.clustered(e, most=0).collect()}
+    assert got == want == {r.node: r.cluster for r in graph.clustered(e).collect()}
+    pins = spark.createDataFrame([(0, 1), (20, 1), (30, 2)], "node long, cluster long")
+    pinned = {r.node: r.cluster for r in graph.clustered(e, fixed=pins, most=0).collect()}
+    assert pinned[0] == pinned[20] and pinned[30] != pinned[0] and len(pinned) == 30
+    assert graph.clustered(e.where("v < 0"), most=0).count() == 0
+
+
 def test_headers_may_hold_the_mark(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">c1 len>5\nACGT\nAC\n>c2\n>c3 >x\r\nGG\r\n")
     got = sorted((r.contig, r.header, r.seq) for r in formats.fasta(spark, str(tmp_path / "a.fa")).collect())
