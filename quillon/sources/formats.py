@@ -37,13 +37,25 @@ def majority_extension(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy("extension").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "extension").limit(1)
 
 
-def fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
-    """qname, mate, seq, qual. Lines are numbered by their place in the file, which needs one task for each file."""
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, block (where a task's part of the file begins), n (the line's number in the file from 0) and value. Lines are
+    numbered within their part, and parts are shifted by the lines of those before them: one number for each part."""
     from pyspark.sql import Window
 
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
-    w = Window.partitionBy("file").orderBy("at")
-    n = rows.withColumn("n", F.row_number().over(w) - 1)
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
+    )
+    sizes = rows.groupBy("file", "block").agg(F.count("*").alias("lines"))
+    before = F.coalesce(F.sum("lines").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.select(F.col("file").alias("__file"), F.col("block").alias("__block"), before.alias("__before"))
+    own = F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1
+    made = rows.withColumn("n", own).join(parts, (F.col("file") == F.col("__file")) & (F.col("block") == F.col("__block")))
+    return made.select("file", "block", (F.col("n") + F.col("__before")).alias("n"), "value")
+
+
+def fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
+    """qname, mate, seq, qual. Four lines are a record, by their numbers in the file."""
+    n = numbered_lines(spark, path)
     four = n.groupBy("file", F.floor(F.col("n") / 4).alias("rec")).agg(*[F.max(F.when(F.col("n") % 4 == k, F.col("value"))).alias(c) for k, c in ((0, "name"), (1, "seq"), (3, "qual"))])
     return four.select(F.regexp_replace(C.first_word(F.expr("substring(name, 2)")), "/[12]$", "").alias("qname"), F.lit(mate).alias("mate"), "seq", "qual")
 
@@ -111,12 +123,17 @@ def gene_calls(spark: SparkSession, path: str) -> DataFrame:
     """seqid, start, end, strand, frame, score: the header line is carried down to its calls."""
     from pyspark.sql import Window
 
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
     head = F.when(F.col("value").startswith(">"), C.first_word(F.expr("substring(value, 2)")))
-    w = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = numbered_lines(spark, path).withColumn("head", head)
+    # a part that begins without a header goes on with the last one of the parts before it
+    last = rows.groupBy("file", "block").agg(F.max_by("head", F.when(F.col("head").isNotNull(), F.col("n"))).alias("head"))
+    given = F.last("head", ignorenulls=True).over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    parts = last.select(F.col("file").alias("__file"), F.col("block").alias("__block"), given.alias("__given"))
+    w = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     f = F.split(F.trim("value"), r"\s+")
-    return rows.withColumn("seqid", F.last(head, ignorenulls=True).over(w)).where(~F.col("value").startswith(">")).select(
-        "seqid", f[0].cast("long").alias("start"), f[1].cast("long").alias("end"), f[2].alias("strand"), f[3].cast("int").alias("frame"), f[4].cast("double").alias("score")
+    own = rows.withColumn("seqid", F.last("head", ignorenulls=True).over(w)).join(parts, (F.col("file") == F.col("__file")) & (F.col("block") == F.col("__block")))
+    return own.where(F.col("head").isNull()).select(
+        F.coalesce("seqid", "__given").alias("seqid"), f[0].cast("long").alias("start"), f[1].cast("long").alias("end"), f[2].alias("strand"), f[3].cast("int").alias("frame"), f[4].cast("double").alias("score")
     )
 
 

@@ -279,6 +279,23 @@ def test_headers_may_hold_the_mark(spark, tmp_path):
     assert got == [("c1", "c1 len>5", "ACGTAC"), ("c2", "c2", ""), ("c3", "c3 >x", "GG")]
 
 
+def test_records_across_parts_of_a_file(spark, tmp_path):
+    """A file that many tasks read in parts: records and headers go over the parts' edges."""
+    n = 400
+    (tmp_path / "r.fq").write_text("".join(f"@r{k}/1 x\n{'ACGT' * (k % 7 + 1)}\n+\n{'I' * (4 * (k % 7 + 1))}\n" for k in range(n)))
+    (tmp_path / "g.out").write_text("".join(f">s{k} x\n" + "".join(f"{p}\t{p + 9}\t+\t1\t1.5\n" for p in range(k % 40)) for k in range(60)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert spark.read.text(str(tmp_path / "r.fq")).rdd.getNumPartitions() > 10
+        got = {r.qname: (r.seq, len(r.qual)) for r in formats.fastq(spark, str(tmp_path / "r.fq"), 1).collect()}
+        assert got == {f"r{k}": ("ACGT" * (k % 7 + 1), 4 * (k % 7 + 1)) for k in range(n)}
+        calls = sorted((r.seqid, r.start) for r in formats.gene_calls(spark, str(tmp_path / "g.out")).collect())
+        assert calls == sorted((f"s{k}", p) for k in range(60) for p in range(k % 40))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
 def test_empty_matrix_is_balanced(spark):
     none = spark.createDataFrame([], "i long, j long, v long")
     x, scaled = matrix.balanced(none, 5, 1e-6)
