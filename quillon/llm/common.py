@@ -7,6 +7,8 @@ otherwise; a null id is carried through; each input row gives a row of its own,
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import re
 import tempfile
@@ -88,15 +90,20 @@ def released(spark: SparkSession) -> None:
 _HELD: dict[str, dict] = {}
 
 
+def tidy() -> None:
+    """Give memory that a Python worker does not use back to the system: Arrow's pool and the C library keep what was freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without malloc_trim
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def held_for(name: str = "") -> dict:
     """What a Python worker keeps from task to task for one operator (models, remembered words). Workers outlive operators:
     whoever asks next makes the others' part go, so that a stage is not charged with what the one before it knew."""
-    others = [k for k in _HELD if k != name]
-    if others:
-        for k in others:
-            del _HELD[k]
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+    for k in [k for k in _HELD if k != name]:
+        del _HELD[k]
+    tidy()
     return _HELD.setdefault(name, {}) if name else {}
 
 
@@ -151,7 +158,7 @@ def mapped(df: DataFrame, row: Callable[[tuple], tuple], schema: str, setup: Cal
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out
                     )
-        pa.default_memory_pool().release_unused()  # workers live on and work for other operators
+        tidy()
 
     return df.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import MULTIPLIER, Hashes, dropped, held_for, lowered, mixed, pa_schema, pick, pieces, stored
+from .common import MULTIPLIER, Hashes, dropped, held_for, lowered, mixed, pa_schema, pick, pieces, stored, tidy
 
 BINS, ROWS = 128, 4  # 32 bands of 4: two sets of similarity 0.8 share no bucket with a probability of 5e-8
 SHINGLE, SIMILARITY = 5, 0.8
@@ -85,6 +85,7 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
                     [pa.array(ids, pa.int64()), pa.array(list(map(len, own)), pa.int32()), pa.array([x[0] for x in k], pa.int64()), pa.array([x[1] for x in k], pa.int64()), pa.array([bands(s) if len(s) else [] for s in own], out.field("bands").type)],
                     schema=out,
                 )
+        tidy()
 
     return docs.mapInArrow(run, schema)
 
@@ -107,6 +108,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
                         k.append(k1)
                         own.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(k, pa.int64()), pa.array(own, out.field("own").type)], schema=out)
+        tidy()
 
     return docs.join(classes.select(F.col("cls").alias("doc_id"), "k1", "k2"), "doc_id").select("doc_id", "text", "k1", "k2").mapInArrow(run, schema)
 

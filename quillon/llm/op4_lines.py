@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from .common import held_for, mixed, pa_schema, pick, pieces, stored
+from .common import held_for, mixed, pa_schema, pick, pieces, stored, tidy
 
 MIN_WORDS = 50
 BLANK = re.compile(r"[\x20\x09-\x0d]*\Z")
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, least: int) -> DataFrame:
                 ]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+        tidy()
 
     return docs.select("doc_id", "text", "mark").mapInArrow(run, schema)
 
