@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import bins, contacts, hits, jobs, ordering
+from ..operators import bins, contacts, hits, jobs, models, ordering
 from .bin_queries import SQL_H
 from .bin_queries import hits as marker_hits
 from .graph_queries import GAMMAS
@@ -157,3 +157,54 @@ def modularity_of_groups(spark, sf):
 
     c = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"), F.col("s_nationkey").alias("cluster"))
     return rounded(graph.modularity(edges(spark, sf), c), "modularity")
+
+
+def _em_sql(steps: int) -> str:
+    """So many steps of expectation maximisation as chained one-row tables."""
+    pdf = lambda m, s: f"exp(-((x - {m}) ** 2) / (2 * {s} * {s})) / ({s} * sqrt(2 * pi()))"
+    parts = [
+        "x as (select cast(value as double) x from events where value is not null and not isnan(value))",
+        "c as (select quantile_cont(x, 0.8) q from x)",
+        """s0 as (select avg(x) filter (x <= q) mn, greatest(stddev_pop(x) filter (x <= q), 1e-6) sn, avg(x) filter (x > q) mc, greatest(stddev_pop(x) filter (x > q), 1e-6) sc, 0.2 share from x, c)""",
+    ]
+    for k in range(steps):
+        n, c = f"(1 - share) * {pdf('mn', 'sn')}", f"share * {pdf('mc', 'sc')}"
+        parts += [
+            f"g{k} as (select x, greatest({c} / greatest({n} + {c}, 1e-300), 1e-10) g from x, s{k})",
+            f"t{k} as (select sum(g) a, sum(g * x) ax, sum(g * x * x) axx, sum(1 - g) b, sum((1 - g) * x) bx, sum((1 - g) * x * x) bxx, count(*) n from g{k})",
+            f"s{k + 1} as (select bx / b mn, greatest(sqrt(greatest(bxx / b - (bx / b) ** 2, 0)), 1e-6) sn, ax / a mc, greatest(sqrt(greatest(axx / a - (ax / a) ** 2, 0)), 1e-6) sc, a / n share from t{k})",
+        ]
+    low, high = f"mc - {C.Z95} * sc", f"mn + {C.Z95} * sn"
+    cut = f"greatest(case when {high} <= 0 then {low} when {low} <= 0 then {high} else least({low}, {high}) end, 100.0)"
+    last = ", ".join(f"round({v}, 4) {k}" for k, v in (("mean_n", "mn"), ("std_n", "sn"), ("mean_c", "mc"), ("std_c", "sc"), ("share_c", "share"), ("cutoff", cut)))
+    return f"with {', '.join(parts)} select {last} from s{steps}"
+
+
+@query("gaussian_em_3", _em_sql(3))
+def gaussian_em_3(spark, sf):
+    got = models.gaussian_mixture(table(spark, sf, "events"), "value", steps=3, tolerance=0.0)
+    one = spark.createDataFrame([tuple(got.values())], ", ".join(f"{k} double" for k in got))
+    return one.select(*[F.round(c, 4).alias(c) for c in one.columns])
+
+
+def _regression_sql(steps: int) -> str:
+    """So many reweighted steps for one covariate: the normal equations of two unknowns, solved in closed form."""
+    parts = [
+        f"""obs as (select cast(s as double) y, ln(sites + 1) x from vert join (select i, sum(v) s from full_e where i <> j group by 1) on i = contig where s > 0)""",
+        "b0 as (select ln(avg(y)) p, cast(0.0 as double) q from obs)",
+    ]
+    for k in range(steps):
+        parts += [
+            f"e{k} as (select x, y, exp(p + q * x) m, p + q * x eta from obs, b{k})",
+            f"w{k} as (select x, m / (1 + m) w, eta + (y - m) / m z from e{k})",
+            f"n{k} as (select sum(w) a, sum(w * x) b, sum(w * x * x) c, sum(w * z) d, sum(w * x * z) e from w{k})",
+            f"b{k + 1} as (select (c * d - b * e) / (a * c - b * b) p, (a * e - b * d) / (a * c - b * b) q from n{k})",
+        ]
+    return f"with {SQL_E}, {SQL_V}, {', '.join(parts)} select round(p, 5) intercept, round(q, 5) sites from b{steps}"
+
+
+@query("regression_3", _regression_sql(3))
+def regression_3(spark, sf):
+    s = contacts.signal(edges(spark, sf), contigs(spark, sf)).where("signal > 0")
+    beta = models.negative_binomial(s.select("signal", F.log(F.col("sites") + 1).alias("sites")), "signal", ["sites"], steps=3, tolerance=0.0)
+    return spark.createDataFrame([tuple(round(b, 5) for b in beta)], "intercept double, sites double")
