@@ -89,6 +89,7 @@ def repeats(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     found = stored(found.select("doc_id", "mark", "fp", "w.*").distinct(), "windows", True)  # a repeated row counts once
     place = F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("i"), "mark", "start")
     first = found.groupBy("fp", "win").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = stored(first, "first", True)  # joined from a table, so that a hot window's partition can be split
     return (
         found.join(first, ["fp", "win"])
         .where(place != F.col("first"))
