@@ -21,25 +21,25 @@ def normalise_raw(spark, sf):
     return jobs.normalised(edges(spark, sf), contigs(spark, sf), "raw")
 
 
-@query("normalise_metator", f"""with {SQL_E}, {SQL_V}, n as (select i, j, v / sqrt((a.coverage + 1e-9) * (b.coverage + 1e-9)) v from e join vert a on a.contig = i join vert b on b.contig = j where i <> j)
+@query("normalise_coverage", f"""with {SQL_E}, {SQL_V}, n as (select i, j, v / sqrt((a.coverage + 1e-9) * (b.coverage + 1e-9)) v from e join vert a on a.contig = i join vert b on b.contig = j where i <> j)
 select i, j, round(v, 6) v from n {SQL_CUT}""")
-def normalise_metator(spark, sf):
-    return rounded(jobs.normalised(edges(spark, sf), contigs(spark, sf), "metator"))
+def normalise_coverage(spark, sf):
+    return rounded(jobs.normalised(edges(spark, sf), contigs(spark, sf), "coverage"))
 
 
-@query("normalise_normcc")
-def normalise_normcc(spark, sf):
-    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "normcc")
+@query("normalise_fitted")
+def normalise_fitted(spark, sf):
+    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "fitted")
 
 
-@query("normalise_hiczin")
-def normalise_hiczin(spark, sf):
-    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "hiczin")
+@query("normalise_pair_fitted")
+def normalise_pair_fitted(spark, sf):
+    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "pair_fitted")
 
 
-@query("normalise_bin3c")
-def normalise_bin3c(spark, sf):
-    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "bin3c", percent=None)
+@query("normalise_balanced")
+def normalise_balanced(spark, sf):
+    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "balanced", percent=None)
 
 
 @query("balanced_row_sums", f"with {SQL_E} select distinct i contig, 1.0 as total from full_e")

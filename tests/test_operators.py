@@ -357,10 +357,10 @@ def test_normalisers(spark):
     e, vertices = spark.createDataFrame(rows, "i long, j long, v double"), spark.createDataFrame(v, "contig long, sites long, length long, coverage double")
     spread = lambda d: float(np.std([r.v for r in d.collect()]) / np.mean([r.v for r in d.collect()]))
     raw = spread(jobs.normalised(e, vertices, "raw", None))
-    for kind in ("normcc", "hiczin"):
+    for kind in ("fitted", "pair_fitted"):
         assert spread(jobs.normalised(e, vertices, kind, None)) < 0.6 * raw
     assert jobs.normalised(e, vertices, "raw", 5.0).count() < len(rows)
-    assert jobs.normalised(e.where("v < 0"), vertices, "metator").count() == 0
+    assert jobs.normalised(e.where("v < 0"), vertices, "coverage").count() == 0
     with pytest.raises(ValueError):
         jobs.normalised(e, vertices, "other")
     got = jobs.binned(e, vertices, 0, [1.0, 5.0], 1)
