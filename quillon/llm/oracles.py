@@ -86,3 +86,30 @@ kept as (select l.doc_id, string_agg(l.l, chr(10) order by l.k) t from l left jo
 n as (select doc_id, count(*) n from own group by 1)
 select d.doc_id, coalesce(n.n, 0) n_lines, cast(coalesce(removed, 0) as bigint) n_removed, coalesce(r.n, 0) n_runs, coalesce(runs, '') runs, sha256(coalesce(kept.t, '')) kept_sha256
 from documents d left join n using (doc_id) left join r using (doc_id) left join kept using (doc_id)"""
+
+#: All anchors against all rows.
+HARD_NEGATIVES = """
+with r as (select vec_id id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l, list_transform(embedding, lambda x: floor(256 * cast(x as double))) v from embeddings
+ where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.id a, b.id b, a.l = b.l same, cast(list_dot_product(a.v, b.v) as bigint) s from r a join r b on a.id % 50 = 0 and a.id <> b.id),
+pos as (select a, b p, s ps from s where same qualify row_number() over (partition by a order by s desc, b) <= 5),
+neg as (select pos.a, p, ps, s.b n, s.s ns, row_number() over (partition by pos.a, p order by s.s desc, s.b) k from pos join s on s.a = pos.a and not s.same and 50 * ps <= 100 * s.s and 100 * s.s <= 95 * ps)
+select a anchor_id, p positive_id, cast(k as int) "rank", n negative_id, ps positive_score, ns negative_score from neg where k <= 3"""
+
+#: Every stretch of six words that is found again a period later; neighbouring ones make a run.
+PERIODIC_RUNS = r"""
+with h as (select doc_id, text, xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::ubigint)),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384::ubigint * (x & 1)))), 4294967295::ubigint) h from documents),
+o as (select doc_id, h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from h),
+z as (select doc_id, w, h % 10 = 0 and len(w) > 0 alt, len(w) n, cast((h // 10) % greatest(len(w), 1) as bigint) a, cast((h // 10) % 8 as bigint) g from o),
+d as (select doc_id, n, case when alt then list_transform(range(0, n), lambda i: w[1 + (case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g)) end)]) else w end w from z),
+six as (select doc_id, n, i, array_to_string(w[i + 1 : i + 6], ' ') s from (select doc_id, n, w, unnest(range(0, n - 5)) i from d where n >= 12)),
+twice as (select x.doc_id, x.i, y.i - x.i p from six x join six y on x.doc_id = y.doc_id and x.s = y.s and y.i > x.i and 2 * (y.i - x.i) <= x.n),
+own as (select doc_id, p, min(i) s, max(i) + 6 + p - min(i) len from (select *, i - row_number() over (partition by doc_id, p order by i) k from twice) group by doc_id, p, k),
+run as (select doc_id, s, len, min(p) p from own where len >= greatest(12, 2 * p) group by doc_id, s, len),
+best as (select *, row_number() over (partition by doc_id order by len desc, s, p) k from run),
+said as (select doc_id, count(*) n, string_agg(s || ',' || len || ',' || p || chr(10), '' order by s, p) t from run group by 1),
+gone as (select distinct doc_id, unnest(range(s + p, s + len)) i from run),
+kept as (select x.doc_id, string_agg(x.t, ' ' order by x.i) t from (select doc_id, unnest(w) t, generate_subscripts(w, 1) - 1 i from d) x left join gone using (doc_id, i) where gone.doc_id is null group by 1)
+select d.doc_id, coalesce(said.n, 0) n_runs, s "start", len "length", p "period", 1000 * len // p exponent_milli, sha256(coalesce(said.t, '')) runs_sha256, sha256(coalesce(kept.t, '')) collapsed_sha256
+from d left join said using (doc_id) left join (select * from best where k = 1) b using (doc_id) left join kept using (doc_id)"""

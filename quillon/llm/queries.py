@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash, oracles
+from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash, op12_negatives, op13_periods, oracles
 from .common import table
 
 
@@ -58,6 +58,15 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_minhash.duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op12_negatives.mined(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_periods.digested(op13_periods.found(table(spark, sf_dir, "documents"), repeat_some=True))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[:2] == "op" and k[2:3].isdigit() and callable(f)}
 
@@ -69,4 +78,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontaminate_benchmark": oracles.DECONTAMINATION,
         "op8_suffix_dedup": oracles.SUFFIXES,
         "op10_near_duplicates": oracles.NEAR_DUPLICATES,
+        "op12_hard_negatives": oracles.HARD_NEGATIVES,
+        "op13_periodic_runs": oracles.PERIODIC_RUNS,
     }
