@@ -60,6 +60,7 @@ class Tree:
         self.low, self.high = nodes[:, 4], nodes[:, 5]
         self.leaves = np.flatnonzero(nodes[:, 2] < 0)
         self.most = float(np.abs(self.x).max(initial=0.0))
+        self.looked = 0  # inner products with rows so far
 
     @classmethod
     def grown(cls, ids: np.ndarray, labels: np.ndarray, whole: np.ndarray) -> Tree:
@@ -117,6 +118,7 @@ class Tree:
                 return
             done[at, node] = True
             first, end = self.nodes[node, :2]
+            self.looked += len(at) * int(end - first)
             s = (point[at] @ self.x[first:end].T).astype(np.int64) if exact else q[at].astype(np.int64) @ self.whole[first:end].astype(np.int64).T
             alike = labels[at][:, None] == self.labels[first:end]
             ok = (alike if same else ~alike) & (ids[at][:, None] != self.ids[first:end])

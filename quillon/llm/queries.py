@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash, op12_negatives, op13_periods, oracles
+from . import op1_toxicity, op2_licenses, op3_pii, op4_lines, op5_katz, op6_quality, op7_decontaminate, op8_suffixes, op9_pieces, op10_minhash, op11_quality, op12_negatives, op13_periods, oracles
 from .common import table
 
 
@@ -58,6 +58,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_minhash.duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op11_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return op12_negatives.mined(table(spark, sf_dir, "embeddings").withColumn("label", label))
