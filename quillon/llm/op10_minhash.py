@@ -224,16 +224,21 @@ def candidates(star: DataFrame, labels: DataFrame, similarity: float) -> DataFra
     at = own.select("b", "k_b", "a", "n", "d", "label", (F.col("d") - F.size("own")).alias("alone"), F.posexplode("own").alias("at", "x"))
     at = at.select("b", "k_b", "a", "n", "d", "label", F.col("x.e").alias("e"), (F.col("alone") + F.col("at")).alias("at")).where(p * F.col("at") <= (q - p) * F.col("n"))
     at = stored(at, "prefixes", True)
-    left = at.select("b", "k_b", "e", *[F.col(c).alias(f"{c}1") for c in ("a", "n", "d", "label", "at")])
-    right = at.select("b", "k_b", "e", *[F.col(c).alias(f"{c}2") for c in ("a", "n", "d", "label", "at")])
+    # of an element's classes those in its commonest component meet only those outside it, so a family that is linked
+    # already makes no pairs
+    on = ["b", "k_b", "e"]
+    held = at.groupBy(*on, "label").agg(F.count("*").alias("rows")).groupBy(*on)
+    main = held.agg(F.max(F.struct("rows", "label")).alias("m"), F.count("*").alias("labels")).where("labels > 1").select(*on, F.col("m.label").alias("main"))
+    few = at.join(main, on).where(F.col("label") != F.col("main"))
+    left, right = (d.select(*on, *[F.col(c).alias(f"{c}{x}") for c in ("a", "n", "d", "label", "at")]) for x, d in ((1, few), (2, at)))
     least = (q + p) * (F.col("d1") + F.col("d2")) - (q - p) * (F.col("n1") + F.col("n2"))  # 2 (q+p) t
     fits = (
-        (F.col("a1") < F.col("a2")) & (F.col("label1") != F.col("label2"))
+        (F.col("label1") != F.col("label2"))
         & (q * F.least("n1", "n2") >= p * F.greatest("n1", "n2"))
         & (2 * (q + p) * (F.col("d1") - F.col("at1")) >= least) & (2 * (q + p) * (F.col("d2") - F.col("at2")) >= least)
     )
-    same = [left[c] == right[c] for c in ("b", "k_b", "e")]
-    return left.join(right, same[0] & same[1] & same[2] & fits).select(F.col("a1").alias("a"), F.col("a2").alias("b")).distinct()
+    same = [left[c] == right[c] for c in on]
+    return left.join(right, same[0] & same[1] & same[2] & fits).select(F.least("a1", "a2").alias("a"), F.greatest("a1", "a2").alias("b")).distinct()
 
 
 def kept(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
