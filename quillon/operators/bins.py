@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import at_rank, group_percentiles
+
 
 def extents(members: DataFrame, least: int = 0) -> DataFrame:
     return members.groupBy("bin").agg(F.sum("length").alias("extent"), F.count("*").alias("size")).where(F.col("extent") >= least)
@@ -16,10 +18,11 @@ def large_clusters(members: DataFrame, least: int) -> DataFrame:
 
 def cluster_report(members: DataFrame, value: str) -> DataFrame:
     """Size, extent and, of a value of each contig, the length-weighted mean, mean, median and population deviation."""
-    return members.groupBy("bin").agg(
+    moments = members.groupBy("bin").agg(
         F.count("*").alias("size"), F.sum("length").alias("extent"), (F.sum(F.col("length") * F.col(value)) / F.sum("length")).alias("expect"),
-        F.avg(value).alias("mean"), F.percentile(value, 0.5).alias("median"), F.stddev_pop(value).alias("std"),
+        F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"),
     )
+    return moments.join(group_percentiles(members, "bin", value, 0.5, "median"), "bin", "left")
 
 
 def intersections(members: DataFrame, sets: list[str], least: int) -> DataFrame:
@@ -123,14 +126,13 @@ def marker_counts(hits: DataFrame) -> DataFrame:
 
 def seed_marker(hits: DataFrame) -> DataFrame:
     """The marker with the upper-median number of contigs and the shortest query; no row if that number is 1 or less."""
-    per = hits.groupBy("marker").agg(F.count_distinct("contig").alias("contigs"), F.min("qlen").alias("qlen"))
-    # the histogram of the counts, which is small, gives the median: no sort of all markers
-    hist = per.groupBy("contigs").agg(F.count("*").alias("n"))
-    up_to = hist.alias("a").join(hist.alias("b"), F.col("b.contigs") <= F.col("a.contigs")).groupBy(F.col("a.contigs").alias("contigs")).agg(F.sum("b.n").alias("up_to"))
-    total = per.agg(F.floor(F.count("*") / 2).alias("half"))
-    median = up_to.crossJoin(F.broadcast(total)).where("up_to > half").agg(F.min("contigs").alias("median"))
-    at = per.crossJoin(F.broadcast(median)).where("contigs = median and median > 1")
-    return at.agg(F.min(F.struct("qlen", "marker")).alias("m"), F.max("median").alias("median")).where("m is not null").select("m.marker", "m.qlen", "median")
+    from ..sources.tables import stored
+
+    per = stored(hits.groupBy("marker").agg(F.count_distinct("contig").alias("contigs"), F.min("qlen").alias("qlen")))
+    median = at_rank(per, "contigs", 0.5)
+    at = per.where(F.col("contigs") == F.lit(median)).where("contigs > 1")
+    one = at.agg(F.min(F.struct("qlen", "marker")).alias("m"), F.max("contigs").alias("median")).where("m is not null")
+    return one.select("m.marker", "m.qlen", "median")
 
 
 def marker_order(hits: DataFrame) -> DataFrame:

@@ -78,8 +78,10 @@ def mate_gated(records: DataFrame, allowed: DataFrame) -> DataFrame:
 
 
 def symmetric(edges: DataFrame) -> DataFrame:
-    """The full matrix of an upper half."""
-    return edges.union(edges.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "v"))
+    """The full matrix of an upper half; the input is read once."""
+    both = F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    ends = F.when(F.col("i") == F.col("j"), F.slice(both, 1, 1)).otherwise(both)
+    return edges.select(F.explode(ends).alias("x"), "v").select("x.i", "x.j", "v")
 
 
 def off_diagonal(edges: DataFrame) -> DataFrame:

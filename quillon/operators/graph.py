@@ -1,12 +1,8 @@
-"""Graph operators: components by least labels, modularity clustering within components, matching."""
+"""Graph operators: components by least labels, modularity of clusters, matching. Communities are in communities.py."""
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,152 +23,6 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def moved(nodes: list, weights: dict, total: float, gamma: float, fixed: dict | None = None) -> dict:
-    """Communities of one component by moves that raise the quality sum(A - gamma k k / 2m), then by merging communities
-    and moving again; the order is that of the names, so runs agree. Fixed nodes keep the community they are given."""
-    fixed = fixed or {}
-    community = {n: ("f", fixed[n]) if n in fixed else ("n", n) for n in nodes}
-    near: dict = defaultdict(list)
-    degree: dict = defaultdict(float)
-    for (a, b), w in weights.items():
-        near[a].append((b, w))
-        near[b].append((a, w))
-        degree[a] += w
-        degree[b] += w
-    groups = [{n} for n in nodes if n not in fixed]
-    while True:
-        changed_any = False
-        held: dict = defaultdict(float)
-        for n in nodes:
-            held[community[n]] += degree[n]
-        for _ in range(50):
-            changed = False
-            for group in groups:
-                one = next(iter(group))
-                here = community[one]
-                k = sum(degree[n] for n in group)
-                to: dict = defaultdict(float)
-                for n in group:
-                    for m, w in near[n]:
-                        if m not in group:
-                            to[community[m]] += w
-                held[here] -= k
-                gain = lambda c: to.get(c, 0.0) - gamma * k * held[c] / (2 * total)
-                best = max([here, *sorted(to, key=str)], key=lambda c: (round(gain(c), 12), c == here))
-                held[best] += k
-                if best != here:
-                    for n in group:
-                        community[n] = best
-                    changed = changed_any = True
-            if not changed:
-                break
-        merged: dict = defaultdict(set)
-        for n in nodes:
-            if n not in fixed:
-                merged[community[n]].add(n)
-        new = [g for c, g in sorted(merged.items(), key=lambda x: str(x[0])) if c[0] != "f"]
-        new += [{n} for c, g in merged.items() if c[0] == "f" for n in sorted(g)]
-        if not changed_any or len(new) >= len(groups):
-            return community
-        groups = new
-
-
-def weighted(edges: DataFrame, fixed: DataFrame | None = None) -> tuple[DataFrame, float]:
-    """What clustered() works on, for several resolutions: stored weights with their components and pins, and the total."""
-    from ..sources.tables import stored
-
-    parts = stored(components(edges))
-    weights = edges.where("i <> j").groupBy(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(F.sum("v").cast("double").alias("v"))
-    total = weights.agg(F.sum("v")).first()[0] or 1.0
-    rows = weights.join(parts.withColumnRenamed("node", "i"), "i")
-    if fixed is None:
-        rows = rows.withColumns({"fi": F.lit(None).cast("string"), "fj": F.lit(None).cast("string")})
-    else:
-        pin = lambda c: fixed.select(F.col("node").alias(c), F.col("cluster").cast("string").alias(f"f{c}"))
-        rows = rows.join(pin("i"), "i", "left").join(pin("j"), "j", "left")
-    return stored(rows), total
-
-
-def moved_apart(rows: DataFrame, total: float, gamma: float, rounds: int = 20) -> DataFrame:
-    """node, cluster of components that no task should hold: (i, j, v, fi, fj) as weighted() makes them.
-
-    In each round every node's weights to the communities around it are summed, and half of the nodes (by a hash of node
-    and round, so that neighbours do not swap places for ever) go where the quality gains most; pinned ones stay. When none
-    moves, communities become the nodes of a smaller graph, until no two are joined. A round is a few shuffles of the edges
-    and their ends; nothing is gathered but the number of moves.
-    """
-    from ..sources.tables import dropped, stored
-
-    name = lambda c: F.col(c).cast("string")
-    ends = rows.select(name("i").alias("node"), F.col("fi").alias("pin")).union(rows.select(name("j"), "fj"))
-    pins = ends.groupBy("node").agg(F.max("pin").alias("pin"))
-    member = stored(pins.select("node", F.coalesce(F.concat(F.lit("f"), "pin"), F.concat(F.lit("n"), "node")).alias("at"), F.col("pin").isNotNull().alias("pinned")))
-    first = rows.join(member.select(F.col("node").alias("si"), F.col("at").alias("a")), name("i") == F.col("si")).join(member.select(F.col("node").alias("sj"), F.col("at").alias("b")), name("j") == F.col("sj"))
-    graph = stored(first.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("v").alias("v")))
-    while True:
-        both = graph.select("a", "b", "v").union(graph.where("a <> b").select("b", "a", "v"))
-        degree = graph.select("a", "v").union(graph.select("b", "v")).groupBy("a").agg(F.sum("v").alias("k"))
-        own = stored(degree.select(F.col("a").alias("node"), "k", F.col("a").alias("c"), F.col("a").startswith("f").alias("pinned")))
-        before, idle, moved_any = own.count(), 0, False
-        for r in range(rounds):
-            held = own.groupBy("c").agg(F.sum("k").alias("held"))
-            near = both.where("a <> b").join(own.select(F.col("node").alias("b"), "c"), "b").select(F.col("a").alias("node"), "c", "v")
-            to = near.union(own.select("node", "c", F.lit(0.0).alias("v"))).groupBy("node", "c").agg(F.sum("v").alias("w"))
-            here = own.select("node", "k", F.col("c").alias("old"), "pinned")
-            same = F.col("c") == F.col("old")
-            gain = F.col("w") - gamma * F.col("k") * (F.col("held") - F.when(same, F.col("k")).otherwise(0.0)) / (2 * total)
-            best = to.join(here, "node").join(held, "c").groupBy("node", "k", "old", "pinned").agg(F.max(F.struct(F.round(gain, 9).alias("g"), same.alias("stay"), F.col("c"))).alias("m"))
-            turn = (F.xxhash64("node", F.lit(r)) % 2 == 0) & ~F.col("pinned")
-            new = stored(best.select("node", "k", F.when(turn, F.col("m.c")).otherwise(F.col("old")).alias("c"), "pinned", "old"))
-            n = new.where("c <> old").count()
-            dropped(own)
-            own = new.drop("old")
-            moved_any |= n > 0
-            idle = 0 if n else idle + 1
-            if idle == 4:  # each node has had its turn, but for one in sixteen
-                break
-        map_to = own.select(F.col("node").alias("at"), F.col("c").alias("to"))
-        member = stored(member.join(map_to, "at").select("node", F.col("to").alias("at"), "pinned"))
-        if not moved_any or own.select("c").distinct().count() == before:
-            break
-        up = graph.join(own.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(own.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
-        smaller = stored(up.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("v").alias("v")))
-        dropped(graph)
-        graph = smaller
-    kind = dict(rows.dtypes)["i"]
-    out = member.select(F.col("node").cast(kind).alias("node"), "at")
-    return out.join(out.groupBy("at").agg(F.min("node").alias("cluster")), "at").select("node", "cluster")
-
-
-def clustered(
-    edges: DataFrame, gamma: float = 1.0, fixed: DataFrame | None = None, ready: tuple[DataFrame, float] | None = None, most: int = 1_000_000
-) -> DataFrame:
-    """node, cluster (its least node) by modularity with a resolution. Communities never span components, so each
-    component of at most `most` edges is one group, and larger ones are moved apart by joins; the total weight is global.
-    Fixed (node, cluster) pins nodes to communities. ready is weighted(edges, fixed), if it is at hand. No contact is
-    dropped. The two ways order their moves differently, so a component's clusters may differ between them.
-    """
-    rows, total = ready or weighted(edges, fixed)
-    large = rows.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > most).select("component")
-    apart = rows.join(large, "component", "left_semi")
-    some = bool(apart.limit(1).count())
-    whole = rows.join(large, "component", "left_anti") if some else rows
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        weights = {(a, b): w for a, b, w in zip(frame["i"], frame["j"], frame["v"], strict=True)}
-        pinned = {n: c for n, c in [*zip(frame["i"], frame["fi"], strict=True), *zip(frame["j"], frame["fj"], strict=True)] if c is not None and c == c}
-        nodes = sorted({n for e in weights for n in e})
-        found = moved(nodes, weights, total, gamma, pinned)
-        least: dict = {}
-        for n in nodes:
-            least.setdefault(found[n], n)
-        return pd.DataFrame({"node": nodes, "cluster": [least[found[n]] for n in nodes]})
-
-    kind = dict(edges.dtypes)["i"]
-    out = whole.groupBy("component").applyInPandas(run, f"node {kind}, cluster {kind}")
-    return out.union(moved_apart(apart, total, gamma)) if some else out
-
-
 def modularity(edges: DataFrame, clusters: DataFrame, gamma: float = 1.0) -> DataFrame:
     c = lambda e: clusters.select(F.col("node").alias(e), F.col("cluster").alias(f"c{e}"))
     off = edges.where("i <> j")
@@ -267,44 +117,3 @@ def matched_bins(markers: list[tuple[str, list[str]]], weight, intra: float, int
             if (w[r] <= inter).all():
                 opened(new[r])
     return placed
-
-
-def best_resolution(edges: DataFrame, gammas: Iterable[float], score) -> tuple[float, DataFrame]:
-    """The first resolution with the highest score(clusters)."""
-    best = None
-    for g in gammas:
-        got = clustered(edges, g)
-        s = score(got)
-        if best is None or s > best[0]:
-            best = s, g, got
-    return best[1], best[2]
-
-
-def resplit(edges: DataFrame, members: DataFrame, stats: DataFrame, least: int, comp: float = 50.0, cont: float = 10.0, gamma: float = 1.0) -> DataFrame:
-    """bin, piece, contig: contaminated bins (completeness at least comp, contamination above cont) are cut into the
-    communities of their own contacts, pieces of at least `least` length stay; other bins pass as they are. A bin is
-    one group, with its own contacts only."""
-    bad = stats.where((F.col("completeness") >= comp) & (F.col("contamination") > cont)).select("bin")
-    good = members.join(bad, "bin", "left_anti").select("bin", F.lit("0").alias("piece"), "contig")
-    own = members.join(bad, "bin", "left_semi")
-    end = lambda c: own.select(F.col("contig").alias(c), F.col("bin").alias(f"bin_{c}"))
-    inner = edges.where("i <> j").join(end("i"), "i").join(end("j"), "j").where("bin_i = bin_j").select(F.col("bin_i").alias("bin"), "i", "j", F.col("v").cast("double").alias("v"))
-    kind = dict(members.dtypes)["contig"]
-
-    def run(key: tuple, nodes: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
-        weights = {(min(a, b), max(a, b)): w for a, b, w in zip(links["i"], links["j"], links["v"], strict=True)}
-        names = sorted(set(nodes["contig"]))
-        found = moved(names, weights, sum(weights.values()) or 1.0, gamma)
-        length = dict(zip(nodes["contig"], nodes["length"], strict=True))
-        size: dict = defaultdict(int)
-        for n in names:
-            size[found[n]] += length[n]
-        first: dict = {}
-        for n in names:
-            first.setdefault(found[n], str(n))
-        rows = [(key[0], first[found[n]], n) for n in names if size[found[n]] >= least]
-        return pd.DataFrame(rows, columns=["bin", "piece", "contig"])
-
-    bin_kind = dict(members.dtypes)["bin"]
-    cut = own.groupBy("bin").cogroup(inner.groupBy("bin")).applyInPandas(run, f"bin {bin_kind}, piece string, contig {kind}")
-    return good.union(cut)

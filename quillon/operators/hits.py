@@ -31,7 +31,8 @@ def without_twins(hits: DataFrame, near: int = 3, share: float = 0.95) -> DataFr
     d = hits.withColumns({"__s": s, "__e": e})
     flush = (F.abs(F.col("start") - F.col("__s")) <= near) & (F.abs(F.col("end") - F.col("__e")) <= near)
     inside = F.greatest(F.lit(0), F.least("end", "__e") - F.greatest("start", "__s") + 1) >= share * (F.col("end") - F.col("start") + 1)
-    return d.where(F.col("__s").isNull() | ~F.coalesce(flush | inside, F.lit(False)))  # least() would skip a null.drop("__s", "__e")
+    # a target's first hit has no neighbour; least() would skip its nulls
+    return d.where(F.col("__s").isNull() | ~F.coalesce(flush | inside, F.lit(False))).drop("__s", "__e")
 
 
 def of_known(hits: DataFrame, contigs: DataFrame) -> DataFrame:

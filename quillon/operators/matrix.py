@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import mean_of
 from .contacts import symmetric
+from .quantiles import percentiles
 
 
 def with_attributes(edges: DataFrame, vertices: DataFrame, *columns: str) -> DataFrame:
@@ -41,12 +44,17 @@ def regression_scaled(edges: DataFrame, vertices: DataFrame, expected: Column) -
 
 
 def above_percentile(edges: DataFrame, p: float, keep_equal: bool = False) -> DataFrame:
-    """Entries above the p-th percentile of the values (p in percent); keep_equal keeps those equal to it."""
+    """Entries above the p-th percentile of the values (p in percent); keep_equal keeps those equal to it. Edges are
+    stored once, for the exact percentile reads them a few times. An empty matrix stays empty."""
+    from ..sources.tables import stored
+
     if not 0 < p < 100:
         raise ValueError("a percentile is between 0 and 100")
-    cut = edges.agg(F.percentile("v", p / 100).alias("cut"))  # one row
-    keep = F.col("v") >= F.col("cut") if keep_equal else F.col("v") > F.col("cut")
-    return edges.crossJoin(F.broadcast(cut)).where(keep).drop("cut")
+    edges = stored(edges)
+    cut = percentiles(edges, "v", [p / 100])[0]
+    if cut is None:
+        return edges
+    return edges.where(F.col("v") >= F.lit(cut) if keep_equal else F.col("v") > F.lit(cut))
 
 
 def max_scaled(edges: DataFrame) -> DataFrame:
@@ -82,10 +90,92 @@ def downsampled(edges: DataFrame, block: int, how: str = "mean") -> DataFrame:
     return edges.groupBy(F.floor(F.col("i") / block).alias("i"), F.floor(F.col("j") / block).alias("j")).agg(value.alias("v"))
 
 
+#: Entries of one side that a group of inner indices has, about; an index with more is cut into pieces of this size.
+GROUP = 200_000
+PIECE = 4_000
+#: Products that a group sums at once.
+SUMMED = 2_000_000
+
+
 def product(left: DataFrame, right: DataFrame) -> DataFrame:
-    """left . right as a join on the inner index and sums."""
-    r = right.select(F.col("i").alias("k"), F.col("j").alias("c"), F.col("v").alias("w"))
-    return left.join(r, left.j == r.k).groupBy("i", F.col("c").alias("j")).agg(F.sum(F.col("v") * F.col("w")).alias("v"))
+    """left . right: inner indices are dealt to groups, whose products are summed before the shuffle.
+
+    A hub, an inner index with many entries, is cut along the rows of left and the columns of right; every piece of one
+    side meets every piece of the other, so no key holds a whole hub. Values of whole numbers give whole numbers.
+    """
+    from ..sources.tables import stored
+
+    whole = all(dict(d.dtypes)["v"] in ("bigint", "int") for d in (left, right))
+    kinds = dict(left.dtypes)["i"], dict(right.dtypes)["j"]
+    a = stored(left.select(F.col("j").alias("k"), F.col("i").alias("o"), F.col("v").cast("double").alias("v")))
+    b = stored(right.select(F.col("i").alias("k"), F.col("j").alias("o"), F.col("v").cast("double").alias("v")))
+    size = lambda d, n: d.groupBy("k").agg(F.count("*").alias(n))
+    ends = size(a, "na").join(size(b, "nb"), "k")
+    pieces = lambda n: F.ceil(F.col(n) / PIECE).cast("int")
+    # a hub is a group of its own; the others share groups
+    hubs = stored(ends.where(f"na > {PIECE} or nb > {PIECE}").select("k", pieces("na").alias("pa"), pieces("nb").alias("pb")))
+    rows = max(a.count(), b.count())
+    groups = -(-rows // GROUP) or 1
+
+    def dealt(d: DataFrame, own: str, other: str) -> DataFrame:
+        d = d.join(hubs, "k", "left")
+        mine = F.coalesce(F.pmod(F.xxhash64("o"), F.col(own)), F.lit(0)).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0)))).cast("int")
+        hub = F.when(F.col(own).isNotNull(), F.col("k").cast("string"))
+        group = F.pmod(F.xxhash64("k"), F.lit(groups)).cast("int")
+        return d.select("k", "o", "v", hub.alias("hub"), group.alias("g"), mine.alias(own), theirs.alias(other))
+
+    x, y = dealt(a, "pa", "pb"), dealt(b, "pb", "pa")
+    keys = [F.coalesce("hub", F.lit("")).alias("hub"), "g", "pa", "pb"]
+    schema = f"i {kinds[0]}, j {kinds[1]}, v double"
+
+    def multiplied(one: pa.Table, other: pa.Table) -> pa.Table:
+        sums = _products(*[[t[c].combine_chunks() for c in ("k", "o", "v")] for t in (one, other)])
+        i, j, v = (np.concatenate(z) for z in zip(*sums, strict=True)) if sums else (np.empty(0, np.int64),) * 3
+        left_names, right_names = (t["o"].combine_chunks().unique() for t in (one, other))
+        return pa.Table.from_arrays([left_names.take(pa.array(i, pa.int64())), right_names.take(pa.array(j, pa.int64())), pa.array(v, pa.float64())], names=["i", "j", "v"])
+
+    by = ["hub", "g", "pa", "pb"]
+    parts = x.select("k", "o", "v", *keys).groupBy(*by).cogroup(y.select("k", "o", "v", *keys).groupBy(*by)).applyInArrow(multiplied, schema)
+    total = F.sum("v")
+    return parts.groupBy("i", "j").agg((F.round(total).cast("long") if whole else total).alias("v"))
+
+
+def _products(a: list[pa.Array], b: list[pa.Array]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sums over the inner index k of a group, as places among the distinct outer names of both sides; partial sums of at
+    most SUMMED products each, or one matrix product where that is dense enough."""
+    if not len(a[0]) or not len(b[0]):
+        return []
+    inner = pa.chunked_array([a[0], b[0]]).combine_chunks().dictionary_encode().indices.to_numpy()
+    (ka, kb), va, vb = np.split(inner, [len(a[0])]), a[2].to_numpy(), b[2].to_numpy()
+    i, j = (z.dictionary_encode().indices.to_numpy().astype(np.int64) for z in (a[1], b[1]))
+    ni, nj, nk = i.max() + 1, j.max() + 1, inner.max() + 1
+    flops = float((np.bincount(ka, minlength=nk).astype(float) * np.bincount(kb, minlength=nk)).sum())
+    if max(ni * nk, nk * nj, ni * nj) <= 8_000_000 and ni * nj * nk <= 64 * flops:
+        x, y, in_x, in_y = np.zeros((ni, nk)), np.zeros((nk, nj)), np.zeros((ni, nk), np.float32), np.zeros((nk, nj), np.float32)
+        np.add.at(x, (i, ka), va)
+        np.add.at(y, (kb, j), vb)
+        in_x[i, ka] = in_y[kb, j] = 1
+        r, c = np.nonzero(in_x @ in_y)  # sums that are zero stay
+        return [(r, c, (x @ y)[r, c])]
+    order_a, order_b = np.argsort(ka, kind="stable"), np.argsort(kb, kind="stable")
+    ka, i, va, kb, j, vb = ka[order_a], i[order_a], va[order_a], kb[order_b], j[order_b], vb[order_b]
+    first = np.searchsorted(kb, np.arange(nk + 1))
+    width = (first[1:] - first[:-1])[ka]  # products of each entry of a
+    out, lo, so_far = [], 0, np.cumsum(width)
+    while lo < len(ka):
+        hi = max(lo + 1, int(np.searchsorted(so_far, (so_far[lo - 1] if lo else 0) + SUMMED, side="right")))
+        w = width[lo:hi]
+        at = np.repeat(np.arange(lo, hi), w)
+        to = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + first[ka[at]]
+        key = i[at] * nj + j[to]
+        order = np.argsort(key, kind="stable")
+        key, v = key[order], (va[at] * vb[to])[order]
+        if len(key):
+            start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            out.append((key[start] // nj, key[start] % nj, np.add.reduceat(v, start)))
+        lo = hi
+    return out
 
 
 def column_stochastic(full: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -106,29 +196,46 @@ def degree_normalised(full: DataFrame) -> DataFrame:
     return both.join(di, "i").join(dj, "j").select("i", "j", (F.col("v") / F.sqrt(one("di") * one("dj"))).alias("v"))
 
 
-def walked(stochastic: DataFrame, starts: DataFrame, restart: float, steps: int, percent: float | None = None, tolerance: float = 0.01) -> DataFrame:
-    """Random walk with restart from the start rows: Q <- (1 - r) Q P + r I, from the second step on only above the
-    percentile; stops when the Frobenius norm of the change is below the tolerance."""
-    from ..sources.tables import stored
+def row_stochastic(full: DataFrame, vertices: DataFrame) -> DataFrame:
+    """No diagonal, a loop for vertices without entries, rows divided by their sums: of a symmetric matrix, the transpose
+    of column_stochastic()."""
+    return column_stochastic(full, vertices).select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
+
 
-    unit = starts.select(F.col("contig").alias("i"), F.col("contig").alias("j"), F.lit(1.0).alias("v"))
-    q = unit
+def walked(
+    stochastic: DataFrame, starts: DataFrame, restart: float, steps: int, percent: float | None = None, tolerance: float = 0.01, steady: int = 5, change: float = 1e-3, digits: int = 12
+) -> DataFrame:
+    """Random walk with restart from the start rows: Q <- (1 - r) Q P + r I.
+
+    From the second step on, what is not above the percentile of the values goes before the next step, if that percentile is
+    above zero. It stops when the Frobenius norm of a step's change (before the cut) is below the tolerance, or when
+    `steady` steps in all changed about as much as the step before (by less than `change`). Values are rounded to
+    `digits` digits, so that a rerun, which may add up in another order, cuts alike. Each step's matrix is a stored table.
+    """
+    from ..sources.tables import dropped, stored
+
+    unit = stored(starts.select(F.col("contig").alias("i"), F.col("contig").alias("j"), F.lit(1.0).alias("v")))
+    q, table, before, still = unit, None, 0.0, 0
     for step in range(steps):
-        moved = product(q, stochastic).select("i", "j", (F.col("v") * (1 - restart)).alias("v")).union(unit.select("i", "j", (F.col("v") * restart).alias("v")))
-        new = moved.groupBy("i", "j").agg(F.sum("v").alias("v"))
+        spread = product(q, stochastic).select("i", "j", (F.col("v") * (1 - restart)).alias("v"))
+        new = spread.union(unit.select("i", "j", (F.col("v") * restart).alias("v"))).groupBy("i", "j").agg(F.round(F.sum("v"), digits).alias("v"))
+        new = stored(new.where("v <> 0"))
+        last = step == steps - 1
+        if tolerance and not last:  # the last step's change decides nothing, and without a tolerance none does
+            both = new.union(q.select("i", "j", (-F.col("v")).alias("v"))).groupBy("i", "j").agg(F.sum("v").alias("d"))
+            gap = both.agg(F.sqrt(F.sum(F.col("d") ** 2)).alias("d")).first().d or 0.0
+        if table is not None:
+            dropped(table)
+        table = q = new
         if percent is not None and step:
-            new = above_percentile(new, percent)
-        new = stored(new)
-        was = q.withColumnRenamed("v", "w")
-        # the last step's change decides nothing, and without a tolerance none does
-        if tolerance and step < steps - 1:
-            both = new.select("i", "j", "v").union(was.select("i", "j", (-F.col("w")).alias("v")))
-            gap = both.groupBy("i", "j").agg(F.sum("v").alias("d")).agg(F.sqrt(F.sum(F.col("d") ** 2)).alias("d")).first().d
-        else:
-            gap = 1.0 + tolerance
-        q = new
-        if gap is None or gap < tolerance:
-            break
+            cut = percentiles(new, "v", [percent / 100])[0]
+            if cut is not None and cut > 0:
+                q = new.where(F.col("v") > F.lit(cut))
+        if tolerance and not last:
+            still += abs(gap - before) < change
+            if gap < tolerance or still == steady:
+                break
+            before = gap
     return q
 
 
@@ -150,8 +257,112 @@ def balanced(edges: DataFrame, rounds: int, tolerance: float = 0.0) -> tuple[Dat
         off = new.agg(F.max("off")).first()[0] if tolerance else 1.0
         if off is None or off < tolerance:  # an empty matrix is balanced
             break
-    xi, xj = x.select(F.col("contig").alias("i"), F.col("x").alias("xi")), x.select(F.col("contig").alias("j"), F.col("x").alias("xj"))
-    return x, edges.join(xi, "i").join(xj, "j").select("i", "j", (F.col("xi") * F.col("v") * F.col("xj")).alias("v"))
+    return x, rescaled(edges, x)
+
+
+def newton_balanced(edges: DataFrame, tolerance: float = 1e-6, rounds: int = 1000, low: float = 0.1, high: float = 3.0) -> tuple[DataFrame, DataFrame, int]:
+    """Scale factors x with x * (A x) = 1 by Newton steps, the scaled original matrix, and the matrix products it took.
+
+    Ones stand on empty diagonals for the scaling only. Each Newton step solves (diag(x A x) + x A x) y = 2 or so by
+    conjugate gradients, as far as the residual deserves; factors of one step stay between `low` and `high`, where the
+    inner loop ends. It is done when the norm of 1 - x * (A x) is below the tolerance. A round is one product, a join on
+    the contigs; the driver holds a few sums.
+    """
+    from ..sources.tables import dropped, stored
+
+    full = symmetric(edges.select("i", "j", F.col("v").cast("double").alias("v")).where("v <> 0"))
+    ids = edges.select(F.col("i").alias("contig")).union(edges.select("j")).distinct()
+    holes = ids.join(full.where("i = j").select(F.col("i").alias("contig")), "contig", "left_anti")
+    work = stored(full.union(holes.select(F.col("contig").alias("i"), F.col("contig").alias("j"), F.lit(1.0).alias("v"))))
+
+    def times(vector: DataFrame) -> DataFrame:
+        """(contig, m): the matrix times (contig, value)."""
+        by = work.join(vector.select(F.col("contig").alias("j"), F.col("value").alias("x")), "j")
+        return by.groupBy(F.col("i").alias("contig")).agg(F.sum(F.col("v") * F.col("x")).alias("m"))
+
+    def begun(x: DataFrame) -> DataFrame:
+        """x with v = x * (A x), the residual, and a step of ones."""
+        v = F.col("x") * F.col("m")
+        made = x.join(times(x.select("contig", F.col("x").alias("value"))), "contig").select("contig", "x", v.alias("v"), (1 - v).alias("r"))
+        return stored(made.withColumns({"y": F.lit(1.0), "p": F.lit(0.0)}))
+
+    state = begun(ids.select("contig", F.lit(1.0).alias("x")))
+    products, forcing = 1, 0.1
+    outer = state.agg(F.sum(F.col("r") ** 2)).first()[0] or 0.0
+    while outer > tolerance**2 and products < rounds:
+        goal, beta, rho = max(forcing**2 * outer, tolerance**2), 0.0, None
+        while products < rounds:
+            z = F.col("r") / F.col("v")
+            rho_now = state.agg(F.sum(F.col("r") * z)).first()[0] if rho is None else rho
+            if rho_now <= goal:
+                break
+            rho = rho_now
+            # the direction, and the matrix of the step times it, in one table
+            aimed = state.select("contig", "x", "v", "r", "y", (z + F.lit(beta) * F.col("p")).alias("p"))
+            w = F.col("x") * F.col("m") + F.col("v") * F.col("p")
+            new = stored(aimed.join(times(aimed.select("contig", (F.col("x") * F.col("p")).alias("value"))), "contig").select("contig", "x", "v", "r", "y", "p", w.alias("w")))
+            products += 1
+            dropped(state)
+            alpha = rho / new.agg(F.sum(F.col("p") * F.col("w"))).first()[0]
+            step, y = F.lit(alpha) * F.col("p"), F.col("y")
+            rest = F.col("r") - F.lit(alpha) * F.col("w")
+            seen = new.agg(
+                F.min(y + step).alias("least"), F.max(y + step).alias("most"), F.sum(rest * rest / F.col("v")).alias("rho"),
+                F.min(F.when(step < 0, (low - y) / step)).alias("down"), F.min(F.when(y + step > high, (high - y) / step)).alias("up"),
+            ).first()
+            if seen.least <= low or seen.most >= high:
+                part = F.lit(float(seen.down if seen.least <= low else seen.up))
+                state = new.select("contig", "x", "v", "r", (y + part * step).alias("y"), "p")
+                break
+            state = new.select("contig", "x", "v", rest.alias("r"), (y + step).alias("y"), "p")
+            beta, rho = seen.rho / rho, seen.rho
+        was, before = state, outer
+        state = begun(was.select("contig", (F.col("x") * F.col("y")).alias("x")))
+        products += 1
+        outer = state.agg(F.sum(F.col("r") ** 2)).first()[0] or 0.0
+        aim, forcing = forcing, 0.9 * outer / before
+        if 0.9 * aim**2 > 0.1:
+            forcing = max(forcing, 0.9 * aim**2)
+        forcing = max(min(forcing, 0.1), 0.5 * tolerance / max(outer**0.5, 1e-300))
+    x = state.select("contig", "x")
+    return x, rescaled(edges, x), products
+
+
+def rescaled(edges: DataFrame, x: DataFrame) -> DataFrame:
+    """Every entry times the factors (contig, x) of both its ends; other columns than i, j and v stay."""
+    end = lambda e: x.select(F.col("contig").alias(e), F.col("x").alias(f"__{e}"))
+    both = edges.join(end("i"), "i").join(end("j"), "j")
+    return both.select(*[(F.col("__i") * F.col("v") * F.col("__j")).alias("v") if c == "v" else F.col(c) for c in edges.columns])
+
+
+# -- four dimensions: (i, j, k, l, v), k and l the ends of contigs i and j that a pair touches -------------------------
+def tip(position: Column, length: Column, size: int) -> Column:
+    """0 for a read in the first `size` bases (positions from 0), 1 in the last ones, null between; a contig shorter than
+    two tips is halved."""
+    reach = F.when(length < 2 * size, F.floor(length / 2)).otherwise(F.lit(size))
+    return F.when(position < reach, 0).when(position >= length - reach, 1)
+
+
+def tip_counts(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b, tip_a, tip_b) counted by contigs and tips, i <= j; on the diagonal k <= l. Pairs with a read outside
+    the tips do not count."""
+    kept = pairs.where("tip_a is not null and tip_b is not null")
+    swap = (F.col("a") > F.col("b")) | ((F.col("a") == F.col("b")) & (F.col("tip_a") > F.col("tip_b")))
+    one = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    return kept.groupBy(one("a", "b").alias("i"), one("b", "a").alias("j"), one("tip_a", "tip_b").alias("k"), one("tip_b", "tip_a").alias("l")).agg(F.count("*").alias("v"))
+
+
+def tensor_symmetric(tensor: DataFrame) -> DataFrame:
+    """The full tensor of an upper half: off the diagonal both pairs of axes are swapped; the diagonal stays as it is."""
+    both = F.array(F.struct("i", "j", "k", "l"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("l").alias("k"), F.col("k").alias("l")))
+    own = F.when(F.col("i") == F.col("j"), F.slice(both, 1, 1)).otherwise(both)
+    return tensor.select(F.explode(own).alias("x"), "v").select("x.i", "x.j", "x.k", "x.l", "v")
+
+
+def tensor_balanced(tensor: DataFrame, tolerance: float = 1e-6, rounds: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Scale factors of the marginal matrix of an upper half (i <= j), and the tensor's entries times both ends' factors."""
+    x, _, _ = newton_balanced(marginal(tensor), tolerance, rounds)
+    return x, rescaled(tensor, x)
 
 
 def marginal(tensor: DataFrame) -> DataFrame:

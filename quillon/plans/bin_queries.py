@@ -87,10 +87,10 @@ def dereplicate_best(spark, sf):
     return bins.dereplicated(members(spark, sf).select("bin", "contig"), stats(spark, sf))
 
 
-@query("dereplicate_remove", f"with {SQL_M}, k as (select * from m where bin_set <> 'B' or length >= 30000) select contig, bin from k where bin_set <> 'C' and contig in (select contig from k where bin_set <> 'C' group by 1 having count(*) = 1)")
+@query("dereplicate_remove", "with m as (select distinct l_returnflag bin, l_orderkey contig from lineitem) select contig, bin from m where contig in (select contig from m group by 1 having count(*) = 1)")
 def dereplicate_remove(spark, sf):
-    k = members(spark, sf).where("bin_set <> 'C' and (bin_set <> 'B' or length >= 30000)")
-    return bins.dereplicated(k, stats(spark, sf), remove=True)
+    m = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("bin"), F.col("l_orderkey").alias("contig")).distinct()
+    return bins.dereplicated(m, stats(spark, sf), remove=True)
 
 
 @query("best_version", f"""with {SQL_S} select base, version, round(score, 4) score from (select substring(bin, 1, 8) base, bin version, completeness + 5 * (100 - contamination) score,
@@ -147,11 +147,11 @@ def bin_stats_summary(spark, sf):
     return stats(spark, sf).join(k, "bin_set", "left").select("bin", truncated(F.col("completeness")).alias("completeness"), F.lit("Unknown").alias("lineage"), "n50", F.col("extent").alias("size"), F.coalesce("binner", F.lit("Unknown")).alias("binner"))
 
 
-SQL_H = "h as (select p_type marker, l_suppkey contig, p_size qlen, l_partkey % 40 bin from lineitem join part on p_partkey = l_partkey where l_quantity > 45)"
+SQL_H = "h as (select p_type marker, l_suppkey contig, p_size qlen, l_partkey % 40 bin from lineitem join part on p_partkey = l_partkey)"
 
 
 def hits(spark, sf):
-    li, p = table(spark, sf, "lineitem").where("l_quantity > 45"), table(spark, sf, "part")
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
     return li.join(p, li.l_partkey == p.p_partkey).select(F.col("p_type").alias("marker"), F.col("l_suppkey").alias("contig"), F.col("p_size").alias("qlen"), (F.col("l_partkey") % 40).alias("bin"))
 
 

@@ -27,21 +27,6 @@ def normalise_coverage(spark, sf):
     return rounded(jobs.normalised(edges(spark, sf), contigs(spark, sf), "coverage"))
 
 
-@query("normalise_fitted")
-def normalise_fitted(spark, sf):
-    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "fitted")
-
-
-@query("normalise_pair_fitted")
-def normalise_pair_fitted(spark, sf):
-    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "pair_fitted")
-
-
-@query("normalise_balanced")
-def normalise_balanced(spark, sf):
-    return jobs.normalised(edges(spark, sf), contigs(spark, sf), "balanced", percent=None)
-
-
 @query("balanced_row_sums", f"with {SQL_E} select distinct i contig, 1.0 as total from full_e")
 def balanced_row_sums(spark, sf):
     """Rows of the balanced matrix, with ones on empty diagonals, sum to one."""
@@ -163,20 +148,21 @@ def _em_sql(steps: int) -> str:
     """So many steps of expectation maximisation as chained one-row tables."""
     pdf = lambda m, s: f"exp(-((x - {m}) ** 2) / (2 * {s} * {s})) / ({s} * sqrt(2 * pi()))"
     parts = [
-        "x as (select cast(value as double) x from events where value is not null and not isnan(value))",
+        "x as materialized (select cast(value as double) x from events where value is not null and not isnan(value))",
         "c as (select quantile_cont(x, 0.8) q from x)",
-        """s0 as (select avg(x) filter (x <= q) mn, greatest(stddev_pop(x) filter (x <= q), 1e-6) sn, avg(x) filter (x > q) mc, greatest(stddev_pop(x) filter (x > q), 1e-6) sc, 0.2 share from x, c)""",
+        """s0 as materialized (select avg(x) filter (x <= q) mn, greatest(stddev_samp(x) filter (x <= q), 1) sn, avg(x) filter (x > q) mc, greatest(stddev_samp(x) filter (x > q), 1) sc,
+ count(*) filter (x <= q) / count(*) pn, count(*) filter (x > q) / count(*) pc from x, c)""",
     ]
     for k in range(steps):
-        n, c = f"(1 - share) * {pdf('mn', 'sn')}", f"share * {pdf('mc', 'sc')}"
+        n, c = f"pn * {pdf('mn', 'sn')}", f"pc * {pdf('mc', 'sc')}"
         parts += [
-            f"g{k} as (select x, greatest({c} / greatest({n} + {c}, 1e-300), 1e-10) g from x, s{k})",
-            f"t{k} as (select sum(g) a, sum(g * x) ax, sum(g * x * x) axx, sum(1 - g) b, sum((1 - g) * x) bx, sum((1 - g) * x * x) bxx, count(*) n from g{k})",
-            f"s{k + 1} as (select bx / b mn, greatest(sqrt(greatest(bxx / b - (bx / b) ** 2, 0)), 1e-6) sn, ax / a mc, greatest(sqrt(greatest(axx / a - (ax / a) ** 2, 0)), 1e-6) sc, a / n share from t{k})",
+            f"g{k} as materialized (select x, {n} / greatest({n} + {c}, 1e-10) h, {c} / greatest({n} + {c}, 1e-10) g from x, s{k})",
+            f"m{k} as materialized (select sum(h * x) / sum(h) mn, sum(g * x) / sum(g) mc, sum(h) / count(*) pn, sum(g) / count(*) pc from g{k})",
+            f"s{k + 1} as materialized (select any_value(mn) mn, greatest(sqrt(sum(h * (x - mn) ** 2) / sum(h)), 1e-6) sn, any_value(mc) mc, greatest(sqrt(sum(g * (x - mc) ** 2) / sum(g)), 1e-6) sc, any_value(pn) pn, any_value(pc) pc from g{k}, m{k})",
         ]
     low, high = f"mc - {C.Z95} * sc", f"mn + {C.Z95} * sn"
     cut = f"greatest(case when {high} <= 0 then {low} when {low} <= 0 then {high} else least({low}, {high}) end, 100.0)"
-    last = ", ".join(f"round({v}, 4) {k}" for k, v in (("mean_n", "mn"), ("std_n", "sn"), ("mean_c", "mc"), ("std_c", "sc"), ("share_c", "share"), ("cutoff", cut)))
+    last = ", ".join(f"round({v}, 4) {k}" for k, v in (("mean_n", "mn"), ("std_n", "sn"), ("mean_c", "mc"), ("std_c", "sc"), ("share_c", "pc"), ("cutoff", cut)))
     return f"with {', '.join(parts)} select {last} from s{steps}"
 
 

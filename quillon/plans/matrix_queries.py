@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import contacts, matrix, models
+from ..operators.quantiles import percentiles
 from .inputs import SQL_E, SQL_V, contigs, edges, table
 from .registry import query
 
@@ -53,7 +54,8 @@ def denoise_percentile(spark, sf):
 
 @query("percentile_prices", "select round(quantile_cont(l_extendedprice, 0.05), 6) p5, round(quantile_cont(l_extendedprice, 0.8), 6) p80 from lineitem")
 def percentile_prices(spark, sf):
-    return table(spark, sf, "lineitem").agg(F.round(F.percentile("l_extendedprice", 0.05), 6).alias("p5"), F.round(F.percentile("l_extendedprice", 0.8), 6).alias("p80"))
+    p5, p80 = percentiles(table(spark, sf, "lineitem"), "l_extendedprice", [0.05, 0.8])
+    return spark.createDataFrame([(p5, p80)], "p5 double, p80 double").select(F.round("p5", 6).alias("p5"), F.round("p80", 6).alias("p80"))
 
 
 @query("max_scaled", f"with {SQL_E} select i, j, round(v / (select max(v) from e), 6) v from e")
@@ -128,11 +130,6 @@ def balance_3(spark, sf):
     return rounded(matrix.balanced(edges(spark, sf), 3)[1])
 
 
-@query("balance_converged")
-def balance_converged(spark, sf):
-    return matrix.balanced(edges(spark, sf), 200, 1e-6)[1]
-
-
 @query("matrix_sparsity", f"with {SQL_E} select round(count(*) / ((select count(*) from supplier) * (select count(*) from supplier)), 6) sparsity from full_e")
 def matrix_sparsity(spark, sf):
     return rounded(matrix.sparsity(contacts.symmetric(edges(spark, sf)), contigs(spark, sf)), "sparsity")
@@ -173,21 +170,6 @@ def heatmap_intensity(spark, sf):
     return contacts.symmetric(edges(spark, sf)).select("i", "j", F.round(F.log(F.col("v") + 0.01), 6).alias("v"))
 
 
-@query("nb_regression")
-def nb_regression(spark, sf):
-    s = contacts.signal(edges(spark, sf), contigs(spark, sf)).where("signal > 0")
-    x = s.select("signal", F.log(F.col("sites") + 1).alias("sites"), F.log("length").alias("length"), F.log(F.col("coverage") + 1e-9).alias("coverage"))
-    beta = models.negative_binomial(x, "signal", ["sites", "length", "coverage"])
-    return spark.createDataFrame(list(zip(["intercept", "sites", "length", "coverage"], beta, strict=True)), "term string, coefficient double")
-
-
-@query("norm_pair_regression")
-def norm_pair_regression(spark, sf):
-    from ..operators import jobs
-
-    return matrix.above_percentile(jobs.pair_expected(edges(spark, sf), contigs(spark, sf)), 5)
-
-
 @query("gaussian_em")
 def gaussian_em(spark, sf):
     got = models.gaussian_mixture(table(spark, sf, "events"), "value")

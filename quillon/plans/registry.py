@@ -24,7 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _loaded() -> None:
-    from . import bin_queries, contact_queries, graph_queries, job_queries, matrix_queries, more_queries, scalar_queries, source_queries  # noqa: F401
+    from . import bin_queries, contact_queries, fit_queries, graph_queries, job_queries, matrix_queries, more_queries, scalar_queries, source_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import formats, tables
+from ..sources import bam, formats, keyed, tables
 from ..streaming import counts
-from .inputs import SQL_P, paired, table
+from .inputs import SQL_P, contigs, paired, table
 from .registry import query
 
 
@@ -77,3 +77,86 @@ def streaming_windows(spark, sf):
     by = stream.withWatermark("ts", "1 day").groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("v"))
     counts.run_once(by, out, tables.shared_dir(spark))
     return spark.read.parquet(out).select(F.unix_timestamp("w.start").alias("day"), "event_type", "v")
+
+
+SQL_READS = """c as (select 's' || s_suppkey rname, 1000 + s_suppkey * 7919 % 50000 length from supplier),
+a as (select 'r' || l_orderkey qname, cast(l_linenumber * 16 % 256 as int) flag, 's' || l_suppkey rname, 1 + l_partkey * 7919 % length pos, cast(l_quantity as int) mapq, (l_linenumber + 20) || 'M' cigar, l_partkey tlen, l_comment_or seq from
+ (select l.*, length, substring('ACGTTGCAACGGTTAACCGGTATCGATCGAT', 1, cast(l_linenumber + 20 as int)) l_comment_or from lineitem l join c on c.rname = 's' || l_suppkey))"""
+
+
+def reads(spark, sf):
+    """Line items as alignments to their suppliers."""
+    k = F.col
+    v = contigs(spark, sf).select(k("contig").alias("l_suppkey"), "length")
+    name, none = F.concat(F.lit("s"), k("l_suppkey").cast("string")), F.lit("*")
+    bases = (k("l_linenumber") + 20).cast("int")
+    return table(spark, sf, "lineitem").join(v, "l_suppkey").select(
+        F.concat(F.lit("r"), k("l_orderkey").cast("string")).alias("qname"), (k("l_linenumber") * 16 % 256).cast("int").alias("flag"), name.alias("rname"), (1 + k("l_partkey") * 7919 % k("length")).alias("pos"),
+        k("l_quantity").cast("int").alias("mapq"), F.concat(bases.cast("string"), F.lit("M")).alias("cigar"), none.alias("rnext"), F.lit(0).cast("long").alias("pnext"), k("l_partkey").cast("long").alias("tlen"),
+        F.substring(F.lit("ACGTTGCAACGGTTAACCGGTATCGATCGAT"), F.lit(1), bases).alias("seq"), none.alias("qual"), F.array(F.concat(F.lit("NM:i:"), k("l_linenumber").cast("string"))).alias("tags"),
+    )
+
+
+def references(spark, sf):
+    return contigs(spark, sf).select(F.concat(F.lit("s"), F.col("contig").cast("string")).alias("name"), "length")
+
+
+@query("bam_roundtrip", f"with {SQL_READS} select qname, flag, rname, pos, mapq, cigar, tlen, seq, 'NM:i:' || (cast(substring(cigar, 1, 2) as int) - 20) tag from a")
+def bam_roundtrip(spark, sf):
+    """Written in the order of names, read in splits of 100 kB, none of which begins where a record does."""
+    path = tables.shared_dir(spark)
+    bam.write_bam(reads(spark, sf), path, references(spark, sf), "queryname")
+    got = bam.bam(spark, path, "queryname", split=100_000)
+    return got.select("qname", "flag", "rname", "pos", "mapq", "cigar", "tlen", "seq", F.element_at("tags", 1).alias("tag"))
+
+
+@query("bam_references", "select row_number() over (order by 's' || s_suppkey) - 1 refid, 's' || s_suppkey as name, 1000 + s_suppkey * 7919 % 50000 length from supplier")
+def bam_references(spark, sf):
+    path = tables.shared_dir(spark)
+    bam.write_bam(reads(spark, sf).where("mapq > 45"), path, references(spark, sf))
+    return bam.bam_header(spark, path).select(F.col("refid").cast("long").alias("refid"), "name", "length")
+
+
+@query("bam_mapped_order", f"with {SQL_READS} select rname, count(*) n, min(pos) first, max(pos) last, 0 as steps_back from a where flag & 4 = 0 group by 1")
+def bam_mapped_order(spark, sf):
+    """Mapped records in coordinate order: within a file none lies before the one ahead of it."""
+    from pyspark.sql import Window
+
+    path = tables.shared_dir(spark)
+    bam.write_bam(reads(spark, sf), path, references(spark, sf), "coordinate")
+    got = bam.mapped(spark, path, "file string, file_pos long, flag int, rname string, pos long")
+    back = F.coalesce(F.lag("pos").over(Window.partitionBy("file", "rname").orderBy("file_pos")) > F.col("pos"), F.lit(False))
+    return got.withColumn("back", back).groupBy("rname").agg(F.count("*").alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"), F.count_if("back").cast("int").alias("steps_back"))
+
+
+@query("bam_region", f"with {SQL_READS} select qname, pos from a where rname = 's7' and pos <= 20000 and pos + cast(substring(cigar, 1, 2) as int) - 1 >= 5000")
+def bam_region(spark, sf):
+    path = tables.shared_dir(spark)
+    bam.write_bam(reads(spark, sf), path, references(spark, sf), "coordinate")
+    return bam.bam(spark, path, region="s7:5000-20000", fields="qname string, pos long", split=20_000)
+
+
+@query("bin_files", r"""select 'BIN' || format('{:04d}', p_size) || '.fa' as file, count(*) records, cast(sum(length(p_name)) as bigint) bases from (select p_size, regexp_replace(p_name, '[>\s]', '', 'g') p_name from part) where length(p_name) > 0 group by 1""")
+def bin_files(spark, sf):
+    """One file for each bin, with padded numbers in their names; all of them are read back as a bin set."""
+    path = tables.shared_dir(spark)
+    p = table(spark, sf, "part").select(F.col("p_size").alias("bin"), F.concat(F.lit("k"), F.col("p_partkey").cast("string")).alias("contig"), F.regexp_replace("p_name", r"[>\s]", "").alias("seq"))
+    keyed.write_bin_files(p.where("length(seq) > 0"), path)
+    got = formats.bin_set(spark, f"{path}/*.fa")
+    return got.groupBy(F.concat("bin", F.lit(".fa")).alias("file")).agg(F.count("*").alias("records"), F.sum("length").alias("bases"))
+
+
+@query("cluster_files", r"""with d as (select doc_id, 'CL' || substring(lang, 1, 2) c, regexp_replace(text, '[^ACGTacgt]', '', 'g') s from documents), k as (select * from d where length(s) > 0),
+n as (select *, row_number() over (partition by c order by 'd' || doc_id) r, length(cast(count(*) over (partition by c) as varchar)) w from k)
+select c || '_' || lpad(cast(r as varchar), cast(w as int), '0') header, 'd' || doc_id contig, 'UNKNOWN' ori, length(s) length, s seq from n
+union all select c || '_' || lpad(cast(row_number() over (partition by c order by doc_id desc) as varchar), cast(length(cast(count(*) over (partition by c) as varchar)) as int), '0'), 'd' || doc_id, case when doc_id % 2 = 0 then '+' else '-' end, length(s),
+ case when doc_id % 2 = 0 then s else reverse(translate(s, 'ACGTacgt', 'TGCAtgca')) end from k where doc_id % 3 = 0""")
+def cluster_files(spark, sf):
+    """Clusters as FASTA with new headers, and an ordered variant of some of their contigs, in one pass; read back."""
+    path = tables.shared_dir(spark)
+    d = table(spark, sf, "documents").select(F.concat(F.lit("CL"), F.substring("lang", 1, 2)).alias("cluster"), "doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("contig"), F.regexp_replace("text", "[^ACGTacgt]", "").alias("seq"))
+    d = d.where("length(seq) > 0")
+    order = d.where("doc_id % 3 = 0").select("cluster", "contig", (-F.col("doc_id")).alias("place"), (F.col("doc_id") % 2 == 0).alias("forward"))
+    keyed.write_keyed(keyed.cluster_records(d, order), path, "n")
+    part = lambda n: F.regexp_extract("header", rf"{n}:(\S+)", 1)
+    return formats.fasta(spark, f"{path}/*.fna").select(F.col("contig").alias("header"), part("contig").alias("contig"), part("ori").alias("ori"), part("length").cast("long").alias("length"), "seq")

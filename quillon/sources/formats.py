@@ -98,14 +98,14 @@ def marker_table(spark: SparkSession, path: str) -> DataFrame:
 
 def cluster_tree(spark: SparkSession, path: str) -> DataFrame:
     """node and cluster of a flow tree: the path without its last step, clusters numbered by size."""
-    from pyspark.sql import Window
+    from ..operators.ordering import dense_numbers
 
     f = F.split(F.trim("value"), r"\s+")
     steps = F.split(f[0], ":")
     rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
     r = rows.select(F.element_at(f, -1).cast("long").alias("node"), F.array_join(F.slice(steps, F.lit(1), F.size(steps) - 1), ":").alias("path"))
-    size = r.groupBy("path").agg(F.count("*").alias("n"))  # one row a cluster
-    return r.join(size.select("path", (F.row_number().over(Window.orderBy(F.desc("n"), "path")) - 1).alias("cluster")), "path").select("node", "cluster")
+    size = r.groupBy("path").agg(F.count("*").alias("n")).select("path", F.struct((-F.col("n")).alias("n"), "path").alias("by"))
+    return r.join(dense_numbers(size, "by", "cluster").select("path", "cluster"), "path").select("node", "cluster")
 
 
 def table(spark: SparkSession, path: str, schema: str | None = None, sep: str = "\t") -> DataFrame:

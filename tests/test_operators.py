@@ -162,14 +162,6 @@ def test_mixture(spark):
     assert models.gaussian_mixture(spark.createDataFrame([], "x double"), "x")["cutoff"] == 500
 
 
-def test_graph(spark):
-    e = spark.createDataFrame([(a, b, 1.0) for g in (0, 10) for a in range(g, g + 4) for b in range(a + 1, g + 4)] + [(3, 10, 0.1)], "i long, j long, v double")
-    got = {r.node: r.cluster for r in graph.clustered(e, 1.0).collect()}
-    assert got == {**{k: 0 for k in range(4)}, **{k: 10 for k in range(10, 14)}}
-    parts = {r.component for r in graph.components(e).collect()}
-    assert parts == {0}
-
-
 def test_assignment():
     rng = np.random.default_rng(5)
     from itertools import permutations
@@ -210,20 +202,11 @@ def test_library_does_not_import_the_text_operators():
                 assert not any("llm" in x.split(".") for x in names), p
 
 
-def test_resplit(spark):
-    e = spark.createDataFrame([(a, b, 1.0) for g in (0, 10) for a in range(g, g + 4) for b in range(a + 1, g + 4)] + [(3, 10, 0.1), (20, 21, 1.0)], "i long, j long, v double")
-    rows = [("x", n, 100) for g in (0, 10) for n in range(g, g + 4)] + [("x", 30, 100), ("y", 20, 100), ("y", 21, 100)]
-    m = spark.createDataFrame(rows, "bin string, contig long, length long")
-    s = spark.createDataFrame([("x", 80.0, 20.0), ("y", 80.0, 2.0)], "bin string, completeness double, contamination double")
-    got = {r.contig: (r.bin, r.piece) for r in graph.resplit(e, m, s, 200).collect()}
-    assert got == {**{n: ("x", "0") for n in range(4)}, **{n: ("x", "10") for n in range(10, 14)}, 20: ("y", "0"), 21: ("y", "0")}
-
-
 def test_all_markers_are_matched(spark, tmp_path):
     """14 markers on contigs 1 and 2, then two on one contig each: 3 touches contig 1, 4 touches none."""
     on = [(m, c) for m in range(14) for c in (1, 2)] + [(14, 3), (15, 4)]
     hit = [(100 + n, 1, m, c, 1.0, 50.0) for n, (m, c) in enumerate(on)]
-    link = [(o, k, 0, c, 1.0, 20.0) for o in (1, 2) for k, c in ((1, 1), (2, 3))]
+    link = [(o, k, 99, c, 1.0, 20.0) for o in (1, 2) for k, c in ((1, 1), (2, 3))]
     kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
     spark.createDataFrame(hit + link, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
     spark.createDataFrame([(m, f"m{m:02}", 1) for m in range(16)], "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
@@ -247,7 +230,7 @@ def test_sums_agree_with_single_weights():
 def test_weak_contacts_are_clustered(spark, tmp_path):
     """Contigs 5 and 6 have weak contacts only; the seed marker is on two contigs, and no resolution gives three large clusters."""
     pairs = [(1, 2)] * 3 + [(3, 4)] * 3 + [(5, 1), (6, 3)]
-    link = [(o, k, 0, c, 1.0, 20.0) for o, ends in enumerate(pairs) for k, c in enumerate(ends)]
+    link = [(o, k, 99, c, 1.0, 20.0) for o, ends in enumerate(pairs) for k, c in enumerate(ends)]
     hit = [(100 + c, 1, 0, c, 1.0, 50.0) for c in (1, 2)]
     kinds = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double"
     spark.createDataFrame(link + hit, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
@@ -260,19 +243,6 @@ def test_weak_contacts_are_clustered(spark, tmp_path):
     assert {r.node for r in swept} == set(range(1, 7)) and {r.gamma for r in swept} == {500.0}
 
 
-def test_components_moved_apart_by_joins(spark):
-    """A ring of cliques, larger than a task should hold: every clique is a community, as in one task; pins stay."""
-    rows = [(10 * q + a, 10 * q + b, 5.0) for q in range(6) for a in range(5) for b in range(a + 1, 5)] + [(10 * q, 10 * ((q + 1) % 6) + 1, 1.0) for q in range(6)]
-    e = spark.createDataFrame(rows, "i long, j long, v double")
-    want = {10 * q + a: 10 * q for q in range(6) for a in range(5)}
-    got = {r.node: r.cluster for r in graph.clustered(e, most=0).collect()}
-    assert got == want == {r.node: r.cluster for r in graph.clustered(e).collect()}
-    pins = spark.createDataFrame([(0, 1), (20, 1), (30, 2)], "node long, cluster long")
-    pinned = {r.node: r.cluster for r in graph.clustered(e, fixed=pins, most=0).collect()}
-    assert pinned[0] == pinned[20] and pinned[30] != pinned[0] and len(pinned) == 30
-    assert graph.clustered(e.where("v < 0"), most=0).count() == 0
-
-
 def test_headers_may_hold_the_mark(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">c1 len>5\nACGT\nAC\n>c2\n>c3 >x\r\nGG\r\n")
     got = sorted((r.contig, r.header, r.seq) for r in formats.fasta(spark, str(tmp_path / "a.fa")).collect())
