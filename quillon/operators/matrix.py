@@ -120,7 +120,7 @@ def product(left: DataFrame, right: DataFrame) -> DataFrame:
     def dealt(d: DataFrame, own: str, other: str) -> DataFrame:
         d = d.join(hubs, "k", "left")
         mine = F.coalesce(F.pmod(F.xxhash64("o"), F.col(own)), F.lit(0)).cast("int")
-        theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0)))).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0))))
         hub = F.when(F.col(own).isNotNull(), F.col("k").cast("string"))
         group = F.pmod(F.xxhash64("k"), F.lit(groups)).cast("int")
         return d.select("k", "o", "v", hub.alias("hub"), group.alias("g"), mine.alias(own), theirs.alias(other))
@@ -263,7 +263,7 @@ def balanced(edges: DataFrame, rounds: int, tolerance: float = 0.0) -> tuple[Dat
 def newton_balanced(edges: DataFrame, tolerance: float = 1e-6, rounds: int = 1000, low: float = 0.1, high: float = 3.0) -> tuple[DataFrame, DataFrame, int]:
     """Scale factors x with x * (A x) = 1 by Newton steps, the scaled original matrix, and the matrix products it took.
 
-    Ones stand on empty diagonals for the scaling only. Each Newton step solves (diag(x A x) + x A x) y = 2 or so by
+    Ones stand on empty diagonals for the scaling only. Each Newton step solves (diag(x * A x) + diag(x) A diag(x)) y = 1 + x * A x by
     conjugate gradients, as far as the residual deserves; factors of one step stay between `low` and `high`, where the
     inner loop ends. It is done when the norm of 1 - x * (A x) is below the tolerance. A round is one product, a join on
     the contigs; the driver holds a few sums.
@@ -290,13 +290,11 @@ def newton_balanced(edges: DataFrame, tolerance: float = 1e-6, rounds: int = 100
     products, forcing = 1, 0.1
     outer = state.agg(F.sum(F.col("r") ** 2)).first()[0] or 0.0
     while outer > tolerance**2 and products < rounds:
-        goal, beta, rho = max(forcing**2 * outer, tolerance**2), 0.0, None
-        while products < rounds:
-            z = F.col("r") / F.col("v")
-            rho_now = state.agg(F.sum(F.col("r") * z)).first()[0] if rho is None else rho
-            if rho_now <= goal:
-                break
-            rho = rho_now
+        goal, beta, z = max(forcing**2 * outer, tolerance**2), 0.0, F.col("r") / F.col("v")
+        rho = state.agg(F.sum(F.col("r") * z)).first()[0]
+        stepped = False
+        while products < rounds and (not stepped or rho > goal):
+            stepped = True
             # the direction, and the matrix of the step times it, in one table
             aimed = state.select("contig", "x", "v", "r", "y", (z + F.lit(beta) * F.col("p")).alias("p"))
             w = F.col("x") * F.col("m") + F.col("v") * F.col("p")

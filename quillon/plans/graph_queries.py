@@ -142,9 +142,9 @@ def bin_resplit_whole(spark, sf):
 
 
 @query("code_length_of_nations", f"""with {SQL_E}, c as (select s_suppkey k, s_nationkey g from supplier), o as (select i, j, cast(v as double) v from e where i <> j), m as (select 2 * sum(v) m from o),
-ends as (select i n, j o, v from o union all select j, i, v from o), p as (select n, x.g, sum(v) / any_value(m) p, sum(case when x.g <> y.g then v else 0 end) / any_value(m) q from ends join c x on x.k = n join c y on y.k = o, m group by 1, 2),
-g as (select g, sum(p) p, sum(q) q from p group by 1), h as (select sum(q) q from g)
-select round((select case when q > 1e-15 then q * log2(q) else 0 end from h) - 2 * sum(case when q > 1e-15 then q * log2(q) else 0 end) + sum((q + p) * log2(q + p)) - (select sum(p * log2(p)) from p), 6) bits from g""")
+ends as (select i n, j o, v from o union all select j, i, v from o), pe as (select n, x.g, sum(v) / any_value(m) p, sum(case when x.g <> y.g then v else 0 end) / any_value(m) q from ends join c x on x.k = n join c y on y.k = o, m group by 1, 2),
+g as (select g, sum(p) p, sum(q) q from pe group by 1), h as (select sum(q) q from g)
+select round((select case when q > 1e-15 then q * log2(q) else 0 end from h) - 2 * sum(case when q > 1e-15 then q * log2(q) else 0 end) + sum((q + p) * log2(q + p)) - (select sum(p * log2(p)) from pe), 6) bits from g""")
 def code_length_of_nations(spark, sf):
     c = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"), F.col("s_nationkey").alias("cluster"))
     bits = communities.code_length(edges(spark, sf), c)
