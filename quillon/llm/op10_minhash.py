@@ -166,7 +166,7 @@ def duplicates(
     docs = pick(docs, id_col, text_col)
     rows = stored(signed(docs, words), "signed")
     some = rows.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
-    classes = stored(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes")
+    classes = stored(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.first("bands").alias("bands")), "classes", True)
     mates = classes.select("cls", F.explode("bands").alias("key"))  # a key differs by its band
     sizes = mates.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     crowd = stored(mates.join(sizes, "key"), "crowd", True)
@@ -177,7 +177,7 @@ def duplicates(
     members = crowd.join(central, "cls").select("key", "cls", "central")
     centre = members.groupBy("key").agg(F.max(F.struct("central", (-F.col("cls")).alias("least"))).alias("c"))
     pairs = members.join(centre, "key").select(F.col("cls").alias("a"), (-F.col("c.least")).alias("b")).where("a <> b").distinct()
-    star = stored(differences(pairs, sets), "star")
+    star = stored(differences(pairs, sets), "star", True)
     dropped(crowd)
     labels = components(star.where(alike(F.size("own"), F.col("n"), F.col("m"), similarity)))
 
@@ -217,7 +217,7 @@ def candidates(star: DataFrame, labels: DataFrame, similarity: float) -> DataFra
         .select("a", "b", "k_a", "k_b", "n", "own", F.coalesce("of_a", "a").alias("label"), F.coalesce("of_b", "b").alias("main"))
     )
     mixed_in = named.groupBy("b").agg(F.min(F.least("label", "main")).alias("lo"), F.max(F.greatest("label", "main")).alias("hi"))
-    named = stored(named.join(mixed_in.where("lo < hi").select("b"), "b"), "named")
+    named = stored(named.join(mixed_in.where("lo < hi").select("b"), "b"), "named", True)
     each = named.select("a", "b", "k_a", "k_b", "n", "label", F.size("own").alias("d"), F.explode("own").alias("e"))
     often = each.groupBy("b", "e").agg(F.count("*").alias("times")).where("times > 1")
     own = each.join(often, ["b", "e"]).groupBy("b", "k_b", "a", "k_a", "n", "d", "label").agg(F.sort_array(F.collect_list(F.struct("times", "e"))).alias("own"))
