@@ -43,6 +43,7 @@ def test_toxicity_held_out():
     rank = s.argsort().argsort()
     assert (rank[y == 1].mean() - rank[y == 0].mean()) / len(y) + 0.5 > 0.8
     assert (s[y == 0] >= 0.5).mean() < 0.03
+    assert (s[y == 1] >= 0.5).mean() > 0.5
 
 
 def test_misspelling_shares_vectors():
