@@ -262,10 +262,10 @@ def rank_clusters(spark, sf):
     return x.select("bin", "n", padded("CL", F.row_number().over(Window.orderBy(F.desc("n"), "bin"))).alias("name"))
 
 
-@query("set_symmetric_difference", "(select p_size v, 'left' side from part except select cast(l_quantity as int), 'left' from lineitem where l_quantity < 20) union all (select cast(l_quantity as int), 'right' from lineitem where l_quantity < 20 except select p_size, 'right' from part)")
+@query("set_symmetric_difference", "(select p_size + 10 v, 'left' side from part except select cast(l_quantity as int), 'left' from lineitem) union all (select cast(l_quantity as int), 'right' from lineitem except select p_size + 10, 'right' from part)")
 def set_symmetric_difference(spark, sf):
-    a = table(spark, sf, "part").select(F.col("p_size").alias("v")).distinct()
-    b = table(spark, sf, "lineitem").select(F.col("l_quantity").cast("int").alias("v")).where("v < 20").distinct()
+    a = table(spark, sf, "part").select((F.col("p_size") + 10).alias("v")).distinct()
+    b = table(spark, sf, "lineitem").select(F.col("l_quantity").cast("int").alias("v")).distinct()
     return a.join(b, "v", "left_anti").withColumn("side", F.lit("left")).union(b.join(a, "v", "left_anti").withColumn("side", F.lit("right")))
 
 

@@ -40,9 +40,9 @@ def hits_without_twins(spark, sf):
     return hits.without_twins(d).groupBy("target").agg(F.count("*").alias("n"))
 
 
-@query("hit_order", f"with {SQL_HITS} select target, hit, p, rank from (select target, hit, p, row_number() over (partition by target order by p, s, hit, e) rank from h) where rank <= 2")
+@query("hit_order", f"with {SQL_HITS} select target, hit, p, rank from (select target, hit, p, row_number() over (partition by target order by p, s, hit, e) rank from h)")
 def hit_order(spark, sf):
-    return ordering.ranked(profile_hits(spark, sf), ["target"], "p", "start", "hit", "end").where("rank <= 2").select("target", "hit", "p", F.col("rank").cast("long").alias("rank"))
+    return ordering.ranked(profile_hits(spark, sf), ["target"], "p", "start", "hit", "end").select("target", "hit", "p", F.col("rank").cast("long").alias("rank"))
 
 
 @query("name_sorted_head", "select l_orderkey q, l_linenumber n, l_partkey p from lineitem order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice limit 50")
@@ -51,6 +51,14 @@ def name_sorted_head(spark, sf):
     return d.select(F.col("l_orderkey").alias("q"), F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("p"))
 
 
+@query("name_sorted", "select l_orderkey q, l_linenumber n, l_partkey p, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 place from lineitem")
+def name_sorted(spark, sf):
+    """All records with their places in the order of names, numbered within ranges of it."""
+    by = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("by")
+    d = table(spark, sf, "lineitem").select(by)
+    return ordering.dense_numbers(d, "by", "place").select(F.col("by.l_orderkey").alias("q"), F.col("by.l_linenumber").alias("n"), F.col("by.l_partkey").alias("p"), "place")
+
+
 @query("kept_records", "select count(*) n from lineitem where l_partkey in (select p_partkey from part where p_size > 25)")
 def kept_records(spark, sf):
     p = table(spark, sf, "part").where("p_size > 25")

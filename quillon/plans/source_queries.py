@@ -160,3 +160,31 @@ def cluster_files(spark, sf):
     keyed.write_keyed(keyed.cluster_records(d, order), path, "n")
     part = lambda n: F.regexp_extract("header", rf"{n}:(\S+)", 1)
     return formats.fasta(spark, f"{path}/*.fna").select(F.col("contig").alias("header"), part("contig").alias("contig"), part("ori").alias("ori"), part("length").cast("long").alias("length"), "seq")
+
+
+@query("table_scan", "select s_suppkey, s_name, s_acctbal, s_nationkey from supplier")
+def table_scan(spark, sf):
+    """A table with a header, its kinds found by the reader."""
+    path = tables.shared_dir(spark)
+    formats.write_table(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey"), path, "\t")
+    got = formats.table(spark, path)
+    return got.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name", "s_acctbal", F.col("s_nationkey").cast("int").alias("s_nationkey"))
+
+
+@query("marker_table_scan", "select p_brand bin, p_type marker, 's' || p_size || '_' || p_partkey gene, 's' || p_size scaffold from part")
+def marker_table_scan(spark, sf):
+    """Markers with the first of several genes, and the scaffold in its name."""
+    path = tables.shared_dir(spark)
+    size, key = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
+    genes = F.concat(F.lit("s"), size, F.lit("_"), key, F.lit("&&x_"), key)
+    formats.write_table(table(spark, sf, "part").select(F.col("p_brand").alias("Bin Id"), F.col("p_type").alias("Marker Id"), genes.alias("Gene Id")), path, "\t")
+    return formats.marker_table(spark, path)
+
+
+@query("extension_majority", "select case when n_regionkey % 2 = 0 then 'fa' else 'fna' end extension, count(*) n from nation group by 1 order by n desc, extension limit 1")
+def extension_majority(spark, sf):
+    """The commonest extension of a folder's files."""
+    path = tables.shared_dir(spark)
+    ext = F.when(F.col("n_regionkey") % 2 == 0, ".fa").otherwise(".fna")
+    keyed.write_keyed(table(spark, sf, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), ext).alias("file"), F.col("n_name").alias("value")), path, "value")
+    return formats.majority_extension(spark, f"{path}/n*")
