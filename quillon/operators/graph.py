@@ -23,6 +23,33 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
+def local_regions(edges: DataFrame, top: int, hops: int) -> DataFrame:
+    """node, near: what each contig reaches by one step to `hops` + 1 steps, each to one of the `top` heaviest neighbours of
+    where it is (ties by name). Only new pairs are expanded, so a round is a join of the frontier with the stored lists of
+    neighbours; a contig has at most top + top^2 + ... pairs."""
+    from ..sources.tables import stored
+    from .contacts import symmetric
+    from .matrix import neighbours
+
+    lists = stored(neighbours(symmetric(edges.select("i", "j", "v")).where("v > 0"), top).select("i", "j"))
+    reached = frontier = stored(lists.select(F.col("i").alias("node"), F.col("j").alias("near")))
+    for _ in range(hops):
+        step = frontier.join(lists.select(F.col("i").alias("near"), F.col("j").alias("next")), "near").select("node", F.col("next").alias("near")).distinct()
+        frontier = stored(step.join(reached, ["node", "near"], "left_anti"))
+        reached = stored(reached.union(frontier))
+    return reached
+
+
+def degenerates(edges: DataFrame, vertices: DataFrame, most: float, least: int = 0, top: int = 5, hops: int = 1) -> DataFrame:
+    """contig, degenerate, coverage, local and fold of each contig of at least `least` length that has a neighbour: its coverage
+    against the geometric mean of its region's; a fold above `most` marks a repeat."""
+    v = vertices.select("contig", "length", F.col("coverage").cast("double").alias("coverage"))
+    near = local_regions(edges, top, hops).join(v.select(F.col("contig").alias("near"), F.col("coverage").alias("c")), "near")
+    mean = near.groupBy(F.col("node").alias("contig")).agg(F.exp(F.avg(F.log("c"))).alias("local"))
+    out = v.where(F.col("length") >= least).join(mean, "contig").withColumn("fold", F.col("coverage") / F.col("local"))
+    return out.select("contig", (F.col("fold") > most).alias("degenerate"), "coverage", "local", "fold")
+
+
 def modularity(edges: DataFrame, clusters: DataFrame, gamma: float = 1.0) -> DataFrame:
     c = lambda e: clusters.select(F.col("node").alias(e), F.col("cluster").alias(f"c{e}"))
     off = edges.where("i <> j")

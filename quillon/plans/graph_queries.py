@@ -8,7 +8,7 @@ from ..operators import bins, communities, contacts, graph, jobs
 from ..sources.formats import cluster_tree
 from ..sources.tables import shared_dir, stored
 from .bin_queries import hits
-from .inputs import SQL_E, contigs, edges, table
+from .inputs import SQL_E, SQL_V, contigs, edges, table
 from .registry import query
 
 
@@ -171,3 +171,17 @@ def flow_invariants(spark, sf):
     same = sizes.agg((F.max("n") == 1) & (F.count_distinct("module") == F.count("*"))).first()[0]
     flags = [bits <= one + 1e-9, abs(bits - communities.code_length(e, got)) < 1e-9, bool(same) and tree.count() == got.count()]
     return got.agg(F.count_distinct("node").alias("nodes")).select("nodes", *[F.lit(bool(x)).alias(n) for x, n in zip(flags, ("no_longer_than_one_module", "length_of_the_clusters", "read_back"), strict=True)])
+
+
+for _hops in (1, 2):
+    _sql = f"""with recursive {SQL_E}, {SQL_V}, top as materialized (select i, j from (select i, j, row_number() over (partition by i order by v desc, j) r from full_e where i <> j) where r <= 5),
+reach(node, near, d) as (select i, j, 0 from top union select r.node, t.j, d + 1 from reach r join top t on t.i = r.near where d < {_hops}),
+region as (select distinct node, near from reach), g as (select node, exp(avg(ln(coverage + 0.01))) m from region join vert on contig = near group by 1)
+select contig, (coverage + 0.01) / m > 2 degenerate, round(coverage + 0.01, 6) coverage, round(m, 6) as "local", round((coverage + 0.01) / m, 6) fold from vert join g on node = contig where length >= 5000"""
+
+    @query(f"degenerate_report_{_hops}", _sql)
+    def degenerate_report(spark, sf, hops=_hops):
+        """Contigs of high coverage against their region, which ends after so many hops from the nearest contigs."""
+        v = contigs(spark, sf).withColumn("coverage", F.col("coverage") + 0.01)
+        got = graph.degenerates(edges(spark, sf), v, 2.0, 5000, 5, hops)
+        return got.withColumns({c: F.round(c, 6) for c in ("coverage", "local", "fold")})
