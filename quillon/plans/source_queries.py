@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import bam, formats, keyed, tables
+from ..sources import bam, formats, keyed, npz, tables
 from ..streaming import counts
-from .inputs import SQL_P, contigs, paired, table
+from .inputs import SQL_E, SQL_P, contigs, edges, paired, table
 from .registry import query
 
 
@@ -188,3 +188,13 @@ def extension_majority(spark, sf):
     ext = F.when(F.col("n_regionkey") % 2 == 0, ".fa").otherwise(".fna")
     keyed.write_keyed(table(spark, sf, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string"), ext).alias("file"), F.col("n_name").alias("value")), path, "value")
     return formats.majority_extension(spark, f"{path}/n*")
+
+
+@query("sparse_archive", f"with {SQL_E} select i, j, cast(v as double) v from e")
+def sparse_archive(spark, sf):
+    """The contact matrix as sparse array files and back, in splits of a thousand entries."""
+    path = tables.shared_dir(spark)
+    e = tables.stored(edges(spark, sf))
+    size = int(contigs(spark, sf).agg(F.max("contig")).first()[0]) + 1
+    npz.write_npz(e, path, size, size)
+    return npz.npz(spark, path, 1000)

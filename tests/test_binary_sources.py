@@ -204,3 +204,59 @@ def test_group_percentiles(spark):
         got = {r.g: r.p for r in quantiles.group_percentiles(df, "g", "x", share, "p").collect()}
         want = {g: np.quantile([x for h, x in rows if h == g and x is not None], share) for g in {g for g, x in rows if x is not None}}
         assert got.keys() == want.keys() and all(got[g] == pytest.approx(want[g], rel=1e-12) for g in want)
+
+
+# -- sparse arrays -----------------------------------------------------------------------------------------------------
+def archive(path, dense, kind, compressed):
+    """A matrix as the usual tools write it."""
+    i, j = np.nonzero(dense)
+    if kind == "csc":
+        order = np.lexsort((i, j))
+        i, j = i[order], j[order]
+    own = {"format": np.array(kind.encode()), "shape": np.array(dense.shape), "data": dense[i, j]}
+    major, minor = (i, j) if kind == "csr" else (j, i)
+    if kind == "coo":
+        own |= {"row": i.astype(np.int32), "col": j.astype(np.int32)}
+    else:
+        own |= {"indices": minor.astype(np.int32), "indptr": np.searchsorted(major, np.arange(dense.shape[kind == "csc"] + 1)).astype(np.int32)}
+    (np.savez_compressed if compressed else np.savez)(path, **own)
+
+
+@pytest.mark.parametrize("kind", ["coo", "csr", "csc"])
+@pytest.mark.parametrize("compressed", [False, True])
+def test_sparse_archives(spark, tmp_path, monkeypatch, kind, compressed):
+    from quillon.sources import npz
+
+    rng = np.random.default_rng(5)
+    dense = np.where(rng.random((70, 90)) < 0.2, rng.integers(1, 9, (70, 90)), 0)
+    dense[10:40], dense[:, 30:50], dense[69] = 0, 0, 0
+    archive(str(tmp_path / "m.npz"), dense, kind, compressed)
+    monkeypatch.setattr(npz, "CHUNK", 7)  # chunks of entries and of rows end anywhere
+    reader = npz.NpzReader({"path": str(tmp_path / "m.npz"), "splitentries": "100"})
+    splits = reader.partitions()
+    assert len(splits) == (1 if compressed else -(-np.count_nonzero(dense) // 100))
+    got = np.zeros(dense.shape)
+    for s in splits:
+        for b in reader.read(s):
+            got[b["i"].to_numpy(), b["j"].to_numpy()] += b["v"].to_numpy()
+    assert (got == dense).all()
+    rows = {(r.i, r.j): r.v for r in npz.npz(spark, str(tmp_path / "m.npz"), 150).collect()}
+    assert rows == {(i, j): float(v) for (i, j), v in np.ndenumerate(dense) if v}
+
+
+def test_sparse_archives_are_written(spark, tmp_path):
+    from quillon.sources import npz
+
+    rows = [(k % 50, k * 7 % 60, k / 2) for k in range(1000)]
+    e = spark.createDataFrame(rows, "i long, j long, v double").repartition(5)
+    npz.write_npz(e, str(tmp_path / "m"), 50, 60)
+    assert sorted(map(tuple, npz.npz(spark, str(tmp_path / "m")).collect())) == sorted(rows)
+    one = np.load(next((tmp_path / "m").glob("*.npz")))
+    assert one["format"].item() == b"coo" and one["shape"].tolist() == [50, 60] and len(one["row"]) == len(one["data"])
+    with pytest.raises(Exception, match="outside"):
+        npz.write_npz(e, str(tmp_path / "small"), 10, 60)
+    npz.write_npz(e.limit(0), str(tmp_path / "none"), 1, 1)
+    assert npz.npz(spark, str(tmp_path / "none")).count() == 0
+    np.savez(str(tmp_path / "odd.npz"), data=np.ones(3))
+    with pytest.raises(Exception, match="no coordinates"):
+        npz.npz(spark, str(tmp_path / "odd.npz")).collect()
