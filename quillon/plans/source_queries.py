@@ -198,3 +198,27 @@ def sparse_archive(spark, sf):
     size = int(contigs(spark, sf).agg(F.max("contig")).first()[0]) + 1
     npz.write_npz(e, path, size, size)
     return npz.npz(spark, path, 1000)
+
+
+SQL_TRIM = f"""t as (select doc_id, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC') s from documents where text is not null),
+w as (select doc_id, unnest(p) s, generate_subscripts(p, 1) - 1 n from (select doc_id, regexp_extract_all(s, '.{{60}}') p from t)),
+u as (select doc_id, n, s || case when (doc_id + n) % 3 = 0 then left('AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', cast(12 + doc_id % 20 as int)) else '' end s from w),
+m as (select doc_id, n, left(s, length(s) - length(s) % 5) s from u), k as (select doc_id, n, s, unnest(range(1, length(s) - 21)) i from m),
+mers as (select distinct substring(a, j, 23) m from (select a, unnest(range(1, length(a) - 21)) j from (select unnest(['AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', reverse(translate('AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', 'ACGT', 'TGCA'))]) a))),
+hit as (select doc_id, n, min(i) - 1 cut from k, mers where hamming(substring(s, i, 23), m) <= 1 group by 1, 2),
+ends as (select doc_id, n, min(length(s) - z) cut from m, (select unnest(range(11, 23)) z), (select unnest(['AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', reverse(translate('AGATCGGAAGAGCACACGTCTGAACTCCAGTCA', 'ACGT', 'TGCA'))]) a) where length(s) >= z and hamming(right(s, cast(z as int)), left(a, cast(z as int))) <= 1 group by 1, 2)"""
+
+
+@query("trimmed_reads", f"with {SQL_TRIM} select doc_id, n, substring(s, 11, greatest(0, coalesce(hit.cut, ends.cut, length(s)) - 10)) seq from m left join hit using (doc_id, n) left join ends using (doc_id, n) where coalesce(hit.cut, ends.cut, length(s)) - 10 >= 35")
+def trimmed_reads(spark, sf):
+    """The letters of whole texts in reads of 60, some with the beginning of an adapter at their end; cut at adapters and at both ends."""
+    from ..operators import reads as trimming
+
+    letters = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "BDEFHIJKLMNOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTAC")
+    tiles = F.posexplode(F.regexp_extract_all(letters, F.lit(".{60}"), F.lit(0))).alias("n", "s")
+    d = table(spark, sf, "documents").where("text is not null").select("doc_id", tiles)
+    adapter = "AGATCGGAAGAGCACACGTCTGAACTCCAGTCA"
+    tail = F.when((F.col("doc_id") + F.col("n")) % 3 == 0, F.substring(F.lit(adapter), F.lit(1), (12 + F.col("doc_id") % 20).cast("int"))).otherwise("")
+    seq = F.concat("s", tail)
+    made = d.select("doc_id", F.col("n").cast("long").alias("n"), seq.alias("seq"), F.repeat(F.lit("I"), F.length(seq)).alias("qual"))
+    return trimming.trimmed(made, [adapter], shortest=35).select("doc_id", "n", "seq")
