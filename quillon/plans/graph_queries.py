@@ -127,7 +127,7 @@ def bin_resplit(spark, sf):
 
 @query("bin_resplit_whole", """with m as (select n_regionkey bin, s_suppkey contig from supplier join nation on s_nationkey = n_nationkey),
 t as (select l_suppkey contig, avg(l_discount) d, avg(l_tax) t from lineitem group by 1), s as (select bin, avg(d) * 1500 c, avg(t) * 300 x from m join t using (contig) group by 1)
-select m.bin, count(*) contigs, any_value(c >= 50 and x > 10) cut, true as same_contigs from m left join s using (bin) group by 1""")
+select m.bin, count(*) contigs, any_value(c >= 50 and x > 10) or min(contig) = 0 cut, true as same_contigs from m left join s using (bin) group by 1""")
 def bin_resplit_whole(spark, sf):
     """With no least length, a cut bin's pieces are its contigs, each once."""
     n = table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("bin"))
@@ -136,7 +136,10 @@ def bin_resplit_whole(spark, sf):
     li = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("contig")).agg(F.avg("l_discount").alias("d"), F.avg("l_tax").alias("t"))
     stats = s.join(li, "contig").groupBy("bin").agg((F.avg("d") * 1500).alias("completeness"), (F.avg("t") * 300).alias("contamination"))
     got = communities.resplit(links(spark, sf), m, stats, 0)
-    by = got.groupBy("bin").agg(F.count("*").alias("contigs"), F.max(F.col("piece") != "0").alias("cut"), F.sort_array(F.collect_list("contig")).alias("a"))
+    # a bin that is cut has pieces named by their least contigs
+    named = got.groupBy("bin", "piece").agg(F.min("contig").cast("string").alias("least"))
+    cut = named.groupBy("bin").agg(F.min(F.col("piece") == F.col("least")).alias("cut"))
+    by = got.groupBy("bin").agg(F.count("*").alias("contigs"), F.sort_array(F.collect_list("contig")).alias("a")).join(cut, "bin")
     want = s.groupBy("bin").agg(F.sort_array(F.collect_list("contig")).alias("b"))
     return by.join(want, "bin").select("bin", "contigs", "cut", (F.col("a") == F.col("b")).alias("same_contigs"))
 
